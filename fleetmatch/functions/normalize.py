@@ -28,9 +28,13 @@ def full_hostname(hostname: Column, suffixes: Sequence[str] = DOMAIN_SUFFIXES) -
     becomes ``X`` and ``X.CORP.LOCAL`` becomes ``X.CORP``.
     """
     name = F.upper(trim(present(hostname)))
+    short = name
     for suffix in suffixes:
-        name = F.regexp_replace(name, re.escape(suffix) + r"\z", "")
-    return name
+        short = F.regexp_replace(short, re.escape(suffix) + r"\z", "")
+    if not all(suffix.startswith(".") for suffix in suffixes):
+        return short
+    # Most hostnames carry no domain and need no regular expression.
+    return F.when(F.contains(hostname, F.lit(".")), short).otherwise(name)
 
 
 def normalize_hostname(hostname: Column, suffixes: Sequence[str] = DOMAIN_SUFFIXES,

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,25 +30,36 @@ def map_batches(df: DataFrame, function: Callable[[pd.DataFrame], pd.DataFrame],
     by batch_id to restore the order of the input.
     """
     columns = df.columns
-    batched = assign_batches(df, order, size)
-    arranged = batched.repartition("batch_id").sortWithinPartitions("batch_id", "row_index")
     fields = schema.fieldNames()
+    # A fixed number of partitions: merged ones would leave Python workers idle.
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    arranged = (
+        assign_batches(df, order, size)
+        .repartition(partitions, "batch_id")
+        .sortWithinPartitions("row_index")
+        .select(*columns, "batch_id")
+    )
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        def call(batch_id, batch):
-            result = function(batch[columns].reset_index(drop=True))[fields]
-            return result.assign(batch_id=batch_id)
+        def call(batches: list[pd.DataFrame]) -> pd.DataFrame:
+            results = []
+            for batch in batches:
+                result = function(batch[columns].reset_index(drop=True))[fields]
+                results.append(result.assign(batch_id=batch["batch_id"].iloc[0]))
+            return pd.concat(results, ignore_index=True)
 
-        waiting = None
+        rest = None  # the last batch of a frame may continue in the next one
         for frame in frames:
-            if waiting is not None:
-                frame = pd.concat([waiting, frame], ignore_index=True)
-            last = frame["batch_id"].iloc[-1] if len(frame) else None
-            waiting = frame[frame["batch_id"] == last]
-            for batch_id, batch in frame[frame["batch_id"] != last].groupby("batch_id", sort=True):
-                yield call(batch_id, batch)
-        if waiting is not None and len(waiting):
-            yield call(waiting["batch_id"].iloc[0], waiting)
+            if rest is not None:
+                frame = pd.concat([rest, frame], ignore_index=True)
+            ids = frame["batch_id"].to_numpy()
+            cuts = [0, *(np.flatnonzero(ids[1:] != ids[:-1]) + 1)]
+            batches = [frame.iloc[start:end] for start, end in zip(cuts, cuts[1:])]
+            rest = frame.iloc[cuts[-1]:]
+            if batches:
+                yield call(batches)
+        if rest is not None and len(rest):
+            yield call([rest])
 
     output = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
     return arranged.mapInPandas(run, output)

@@ -16,7 +16,7 @@ from fleetmatch.sources.delimited import Export, Layout, resolve_layout
 
 
 def split_rows(lines: DataFrame, layout: Layout) -> DataFrame:
-    """Raw trimmed fields per line; lines with a single field are skipped.
+    """Raw fields per line, not trimmed yet; lines with a single field are skipped.
 
     Splitting ignores quotes. A field missing in a short line is NULL.
     """
@@ -24,8 +24,8 @@ def split_rows(lines: DataFrame, layout: Layout) -> DataFrame:
     return lines.where(F.contains("value", F.lit(layout.delimiter))).select(
         "row_order",
         *[
-            (trim(F.get(fields, position)) if position >= 0 else F.lit(None).cast("string")).alias(field)
-            for field, position in layout.positions.items()
+            F.get(fields, position).alias(field)
+            for field, position in layout.positions.items() if position >= 0
         ],
     )
 
@@ -48,12 +48,16 @@ def parse_inventory(export: Export, spec: InventorySpec, run_ts: datetime) -> Da
     """One record per hostname, the first in the export, with its number of source rows.
 
     Only the key is normalised for every row; the other fields travel raw and
-    are normalised for the rows that won.
+    are trimmed and normalised for the rows that won.
     """
     rows, layout = parse_rows(export, spec)
     winners = first_wins(rows, ["hostname"], "row_order", rows_per_key="source_rows", keep_order=False)
     mapped = frozenset(field for field, position in layout.positions.items() if position >= 0)
-    columns = spec.record({field: F.col(field) for field in layout.positions}, mapped, run_ts)
+    fields = {
+        field: trim(F.col(field)) if field in mapped else F.lit(None).cast("string")
+        for field in layout.positions
+    }
+    columns = spec.record(fields, mapped, run_ts)
     return winners.select("hostname", *[column.alias(name) for name, column in columns.items()], "source_rows")
 
 

@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fleetmatch.functions import is_iso_date, present
+from fleetmatch.functions import is_iso_date
+from fleetmatch.operators.projection import select_once
 
 # Accepted shapes. The space class is the white space of trim().
 _SPACE = r"\t\n\x0B\f\r \u00A0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000\uFEFF"
@@ -76,27 +77,36 @@ def validate_devices(df: DataFrame, record: str) -> DataFrame:
     A NULL field and an absent field differ: only the present NULL breaks the
     rule that isOnline is a boolean.
     """
-    parsed = F.try_parse_json(F.col(record))
+    fields = ("id", "deviceId", "name", "isOnline", "lastActivity")
+    names = df.columns
+    parsed = select_once(df, {**{name: F.col(name) for name in names},
+                              "parsed": F.try_parse_json(F.col(record))})
+    values = {name: F.variant_get("parsed", f"$.{name}", "variant") for name in fields}
+    typed = select_once(parsed, {
+        **{name: F.col(name) for name in names},
+        "parsed_kind": F.schema_of_variant("parsed"),
+        **{f"kind_{name}": F.schema_of_variant(value) for name, value in values.items()},
+        **{f"text_{name}": F.try_variant_get("parsed", f"$.{name}", "string") for name in fields},
+    })
 
     def kind(name: str) -> Column:
-        return F.schema_of_variant(F.variant_get(parsed, f"$.{name}", "variant"))
+        return F.col(f"kind_{name}")
 
     def text(name: str) -> Column:
-        return F.try_variant_get(parsed, f"$.{name}", "string")
+        return F.col(f"text_{name}")
 
     def given(name: str) -> Column:
         kept = (
             F.when(kind(name) == "VOID", False)
             .when(kind(name) == "STRING", text(name) != "")
             .when(kind(name) == "BOOLEAN", text(name) == "true")
-            .when(F.rlike(kind(name), F.lit(r"\A(BIGINT|DECIMAL|DOUBLE|FLOAT)")),
-                  F.try_variant_get(parsed, f"$.{name}", "double") != 0)
+            .when(F.rlike(kind(name), F.lit(r"\A(BIGINT|DECIMAL|DOUBLE|FLOAT)")), text(name).try_cast("double") != 0)
             .otherwise(kind(name).isNotNull())
         )
         return F.coalesce(kept, F.lit(False))
 
-    is_record = F.coalesce(F.startswith(F.schema_of_variant(parsed), F.lit("OBJECT")), F.lit(False))
-    return _with_errors(df, {
+    is_record = F.coalesce(F.startswith("parsed_kind", F.lit("OBJECT")), F.lit(False))
+    checked = _with_errors(typed, {
         "Record is not a JSON object": ~is_record,
         "Device must have an id or deviceId": is_record & ~given("id") & ~given("deviceId"),
         "Device name must be a string": is_record & given("name") & (kind("name") != "STRING"),
@@ -104,6 +114,7 @@ def validate_devices(df: DataFrame, record: str) -> DataFrame:
         "Device lastActivity must be a valid date":
             is_record & given("lastActivity") & ~is_iso_date(text("lastActivity")),
     })
+    return checked.select(*names, "errors", "valid")
 
 
 def constraint_audit(df: DataFrame, table: str, key: str = "hostname",

@@ -22,40 +22,26 @@ SPEC_A = remote_inventory()
 SPEC_B = endpoint_inventory()
 
 
+def pick(words: str, selector: str) -> str:
+    """One of the words separated by ``|``, by the selector's remainder."""
+    count = len(words.split("|"))
+    return f"split_part('{words}', '|', CAST(({selector}) % {count} + 1 AS INT))"
+
+
 def host_variants(selector: str, number: str) -> str:
-    """Spellings of one host that exercise every normalisation rule."""
-    n = f"CAST({number} AS STRING)"
-    return f"""CASE {selector} % 7
-        WHEN 0 THEN 'wks-' || {n}
-        WHEN 1 THEN ' WKS-' || {n} || '.corporate.gha.com '
-        WHEN 2 THEN 'Wks-' || {n} || '.gha.com'
-        WHEN 3 THEN 'wks-' || {n} || '.local.corp'
-        WHEN 4 THEN 'wks-engineering-' || {n}
-        WHEN 5 THEN 'wks-' || {n} || '.corp.local'
-        ELSE '' END"""
+    """Spellings of one host that exercise every normalisation rule; every seventh is empty."""
+    prefix = pick("wks-| WKS-|Wks-|wks-|wks-engineering-|wks-|", selector)
+    suffix = pick("|.corporate.gha.com |.gha.com|.local.corp||.corp.local|", selector)
+    return (f"{prefix} || CASE WHEN ({selector}) % 7 = 6 THEN '' ELSE CAST({number} AS STRING) END "
+            f"|| {suffix}")
 
 
 def platform_variants(selector: str) -> str:
-    return f"""CASE {selector} % 7
-        WHEN 0 THEN 'Microsoft Windows Server 2019'
-        WHEN 1 THEN 'windows 11'
-        WHEN 2 THEN 'Mac OS X'
-        WHEN 3 THEN 'ubuntu 22.04'
-        WHEN 4 THEN 'ChromeOS'
-        WHEN 5 THEN ' '
-        ELSE '' END"""
+    return pick("Microsoft Windows Server 2019|windows 11|Mac OS X|ubuntu 22.04|ChromeOS| |", selector)
 
 
 def status_variants(selector: str) -> str:
-    return f"""CASE {selector} % 8
-        WHEN 0 THEN 'online'
-        WHEN 1 THEN '0'
-        WHEN 2 THEN 'NORMAL'
-        WHEN 3 THEN ' Yes '
-        WHEN 4 THEN 'reduced functionality'
-        WHEN 5 THEN 'INACTIVE'
-        WHEN 6 THEN ' '
-        ELSE '' END"""
+    return pick("online|0|NORMAL| Yes |reduced functionality|INACTIVE| |", selector)
 
 
 # Current export of system A: one line per row of lineitem, hosts 0 .. parts.
@@ -72,9 +58,10 @@ RAW_A = {
 # Among the lines are blank ones, single fields and short rows.
 LINE_A = f"""CASE
     WHEN l_linenumber = 7 AND l_quantity = 50 THEN '   '
-    WHEN l_linenumber = 7 AND l_quantity = 49 THEN {RAW_A['host_raw']}
-    WHEN l_linenumber = 7 AND l_quantity = 48 THEN {RAW_A['host_raw']} || ',' || {RAW_A['platform_raw']}
-    ELSE concat_ws(',', {', '.join(RAW_A.values())}) END"""
+    ELSE concat_ws(',', {RAW_A['host_raw']},
+        CASE WHEN l_linenumber = 7 AND l_quantity = 49 THEN NULL ELSE {RAW_A['platform_raw']} END,
+        CASE WHEN l_linenumber = 7 AND l_quantity IN (48, 49) THEN NULL ELSE concat_ws(',', {RAW_A['ip_raw']},
+            {RAW_A['description_raw']}, {RAW_A['last_seen_raw']}) END) END"""
 
 # Current export of system B: one line per row of orders, even hosts 0 .. 2 * customers.
 HEADER_B = "Hostname;OS Version;Status;Agent Version"
