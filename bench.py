@@ -20,12 +20,12 @@ from pyspark.sql import SparkSession  # noqa: E402
 from fleetmatch.plans.queries import QUERIES  # noqa: E402
 
 HEADLINE = (
-    "parse_inventory_a", "parse_inventory_b", "dedupe_first_wins", "dedupe_counts", "hostname_collisions",
-    "stale_devices", "snapshot_sync", "coverage_match", "coverage_report_sorted", "coverage_summary_metrics",
-    "report_csv_lines", "import_both_report", "constraint_audit_tables", "normalize_hostname_rows",
-    "seconds_to_duration_rows", "format_bytes_rows", "validate_device_records", "validate_session_records",
-    "group_collect_large", "duration_stats_events", "duration_stats_lineitem", "batch_assign", "batch_map",
-    "log_json_lines", "recent_logs", "clean_texts", "detect_delimiter_texts",
+    "parse_inventory", "parse_inventory_b", "dedupe_first_wins", "dedupe_counts", "hostname_collisions",
+    "stale_devices", "snapshot_sync", "coverage_match", "coverage_report", "coverage_summary_metrics",
+    "report_csv_lines", "import_both_report", "constraint_audit", "normalize_hostname",
+    "seconds_to_duration", "format_bytes", "validate_devices", "validate_sessions",
+    "group_collect_large", "duration_stats", "duration_stats_lineitem", "batch_assign", "batch_map",
+    "log_json_lines", "recent_logs", "clean_texts", "detect_delimiter",
 )
 
 

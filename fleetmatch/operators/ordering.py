@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fleetmatch.session import shared_folder
+from fleetmatch.session import scratch_path
 
 PART = "order_part"
 PLACE = "order_place"
@@ -25,19 +25,20 @@ def range_sorted(df: DataFrame, order: Sequence[str]) -> DataFrame:
     """Rows sorted over all partitions, with partition number and place in it.
 
     ``order`` should be unique per row: range partitioning cannot split equal
-    keys. The result is a checkpoint in the shared folder because several
+    keys. The result is a table written to the shared folder, because several
     branches read it and must see the same partition bounds, also after an
-    executor is lost.
+    executor is lost; each branch reads only the columns it needs.
     """
-    shared_folder(df.sparkSession)
+    path = scratch_path(df.sparkSession, "sorted")
     number = F.monotonically_increasing_id()
-    return (
+    placed = (
         df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .withColumn(PART, F.shiftright(number, _PLACE_BITS).cast("int"))
         .withColumn(PLACE, number.bitwiseAND(F.lit((1 << _PLACE_BITS) - 1)))
-        .checkpoint()
     )
+    placed.write.parquet(path)
+    return df.sparkSession.read.schema(placed.schema).parquet(path)
 
 
 def with_row_index(df: DataFrame, order: Sequence[str], name: str = "row_index") -> DataFrame:

@@ -6,6 +6,7 @@ from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from fleetmatch.operators.coverage import (
     REPORT_ORDER,
@@ -54,8 +55,10 @@ class CoverageJobs:
         self.spec_b = spec_b or endpoint_inventory()
 
     def _log(self, counts: list[tuple[str, str, str, int]], run_ts: datetime, run_id: str) -> None:
-        table = self.spark.createDataFrame(
-            counts, "system string, action string, noun string, records_processed bigint").coalesce(1)
+        names = ("system", "action", "noun", "records_processed")
+        rows = F.array(*[
+            F.struct(*[F.lit(value).alias(name) for name, value in zip(names, count)]) for count in counts])
+        table = self.spark.range(0, 1, 1, 1).select(F.inline(rows))
         self.store.append(EVENTS_DATASET, event_rows(table, run_ts, run_id))
 
     def sync(self, source: str | Export, spec: InventorySpec, run_ts: datetime, min_rows: int = 0) -> SyncResult:

@@ -228,7 +228,7 @@ def _size(power: int, unit: str) -> str:
 ORACLES: dict[str, str] = {
     "ingest_lines": f"""SELECT * FROM (SELECT o_orderkey AS line_no, {fx.LINE_B} AS value FROM orders)
         WHERE {trim('value')} <> ''""",
-    "detect_delimiter_texts": f"""
+    "detect_delimiter": f"""
         SELECT 'documents' AS origin, doc_id AS id, {_delimiter('text')} AS delimiter FROM documents
         UNION ALL SELECT 'pages', page_id, {_delimiter('html')} FROM pages
         UNION ALL SELECT 'benchmark', item_id, {_delimiter('text')} FROM benchmark""",
@@ -248,7 +248,7 @@ ORACLES: dict[str, str] = {
             {_position('status')} AS b_status,
             {_position('agentversion', 'agent version', 'version')} AS b_agent_version
         FROM n""",
-    "parse_inventory_a": f"""WITH {A} SELECT *, strftime({moment('last_seen')}, '%Y-%m-%d %H:%M:%S') AS last_seen_ts
+    "parse_inventory": f"""WITH {A} SELECT *, strftime({moment('last_seen')}, '%Y-%m-%d %H:%M:%S') AS last_seen_ts
         FROM a""",
     "parse_inventory_b": f"WITH {B} SELECT * FROM b",
     "stale_devices": f"WITH {A}, {PREV_A} {_stale('prev_a', 'a')}",
@@ -271,10 +271,10 @@ ORACLES: dict[str, str] = {
         WHERE full_name <> '' GROUP BY 1 HAVING count(DISTINCT full_name) > 1""",
     "coverage_match": f"{MATCH} SELECT * FROM coverage",
     "coverage_hostnames": f"WITH {A}, {B} SELECT hostname FROM a UNION SELECT hostname FROM b ORDER BY hostname",
-    "coverage_report_sorted": f"{MATCH} {REPORT} ORDER BY coverage_status DESC, hostname",
+    "coverage_report": f"{MATCH} {REPORT} ORDER BY coverage_status DESC, hostname",
     "coverage_summary_by_status": f"""{MATCH} SELECT coverage_status, count(*) AS devices FROM coverage
         GROUP BY coverage_status ORDER BY devices DESC, coverage_status""",
-    "coverage_summary_row": f"{MATCH}, {SUMMARY} SELECT * FROM summary",
+    "coverage_summary": f"{MATCH}, {SUMMARY} SELECT * FROM summary",
     "coverage_summary_metrics": f"{MATCH}, {SUMMARY}, {METRICS} SELECT * FROM metrics",
     "report_csv_lines": f"{MATCH} {REPORT_LINES}",
     "summary_csv_lines": f"{MATCH}, {SUMMARY}, {METRICS} {SUMMARY_LINES}",
@@ -302,7 +302,7 @@ ORACLES: dict[str, str] = {
     "export_report_files": f"""{MATCH}, {SUMMARY}, {METRICS}
         SELECT 'report' AS file, line FROM ({REPORT_LINES})
         UNION ALL SELECT 'summary', line FROM ({SUMMARY_LINES})""",
-    "constraint_audit_tables": f"""{MATCH}
+    "constraint_audit": f"""{MATCH}
         {_audit('inventory_a', 'SELECT * FROM a')}
         UNION ALL {_audit('inventory_b', 'SELECT * FROM b')}
         UNION ALL {_audit('device_coverage', 'SELECT * FROM coverage',
@@ -311,12 +311,12 @@ ORACLES: dict[str, str] = {
         UNION ALL {_audit('customer_segments', "SELECT CASE WHEN c_nationkey = 3 THEN NULL ELSE c_mktsegment END "
                           "AS hostname, c_nationkey % 4 AS flag FROM customer",
                           'CASE WHEN flag NOT IN (0, 1) THEN 1 ELSE 0 END')}""",
-    "normalize_hostname_rows": f"""SELECT host_raw, {hostname('host_raw')} AS hostname
+    "normalize_hostname": f"""SELECT host_raw, {hostname('host_raw')} AS hostname
         FROM (SELECT {fx.RAW_A['host_raw']} AS host_raw FROM lineitem)""",
-    "normalize_platform_rows": f"""SELECT p_partkey, platform_raw, {platform('platform_raw')} AS platform FROM (
+    "normalize_platform": f"""SELECT p_partkey, platform_raw, {platform('platform_raw')} AS platform FROM (
         SELECT p_partkey, CASE WHEN p_size < 25 THEN {fx.platform_variants('p_partkey')}
             WHEN p_size < 49 THEN p_type || ' ' || p_name END AS platform_raw FROM part)""",
-    "normalize_status_rows": f"""SELECT o_orderkey, status_raw, {status('status_raw')} AS status FROM (
+    "normalize_status": f"""SELECT o_orderkey, status_raw, {status('status_raw')} AS status FROM (
         SELECT o_orderkey, CASE WHEN o_orderpriority = '1-URGENT' THEN NULL WHEN o_orderpriority = '2-HIGH'
             THEN o_orderstatus ELSE {fx.RAW_B['status_raw']} END AS status_raw FROM orders)""",
     "trim_fields": f"""SELECT o_orderkey, {missing_or_trimmed('os_version_raw')} AS os_version,
@@ -331,18 +331,18 @@ ORACLES: dict[str, str] = {
     "clean_texts": f"""SELECT doc_id, CAST(length({trim('text')}) AS BIGINT) AS trimmed_length,
         md5(lower({trim('source')})) AS source_hash, regexp_replace(text, '[^0-9]', '', 'g') AS digits
         FROM documents""",
-    "parse_iso_date_rows": f"""SELECT o_orderkey, text, strftime({moment('text')}, '%Y-%m-%d %H:%M:%S.%g') AS moment
+    "parse_iso_date": f"""SELECT o_orderkey, text, strftime({moment('text')}, '%Y-%m-%d %H:%M:%S.%g') AS moment
         FROM (SELECT o_orderkey, {fx.DATE_VARIANTS} AS text FROM orders)""",
-    "seconds_to_duration_rows": f"""SELECT seconds, CASE WHEN seconds IS NULL OR seconds = 0 THEN 'N/A'
+    "seconds_to_duration": f"""SELECT seconds, CASE WHEN seconds IS NULL OR seconds = 0 THEN 'N/A'
         WHEN seconds < 0 THEN '0s' ELSE concat_ws(' ',
             CASE WHEN {_hours} > 0 THEN CAST({_hours} AS VARCHAR) || 'h' END,
             CASE WHEN {_minutes} > 0 THEN CAST({_minutes} AS VARCHAR) || 'm' END,
             CASE WHEN {_rest} > 0 THEN CAST({_rest} AS VARCHAR) || 's' END) END AS duration
         FROM (SELECT {fx.SECONDS} AS seconds FROM lineitem)""",
-    "format_bytes_rows": f"""SELECT bytes, CASE WHEN bytes < 1024 THEN CAST(bytes AS VARCHAR) || '.00 B'
+    "format_bytes": f"""SELECT bytes, CASE WHEN bytes < 1024 THEN CAST(bytes AS VARCHAR) || '.00 B'
         WHEN bytes < 1048576 THEN {_size(1, 'KB')} WHEN bytes < 1073741824 THEN {_size(2, 'MB')}
         ELSE {_size(3, 'GB')} END AS text FROM (SELECT {fx.BYTES} AS bytes FROM lineitem)""",
-    "validate_device_records": _errors(
+    "validate_devices": _errors(
         "event_id",
         f"""SELECT event_id, CASE WHEN json_valid(record) THEN record END AS r,
             coalesce(CASE WHEN json_valid(record) THEN json_type(record) END = 'OBJECT', false) AS is_record
@@ -356,14 +356,14 @@ ORACLES: dict[str, str] = {
         ("Device lastActivity must be a valid date",
          f"is_record AND ({_json_given('lastActivity')}) AND ({_activity}) IS NULL"),
     ),
-    "validate_contact_records": _errors(
+    "validate_contacts": _errors(
         "c_custkey", select("customer", fx.CONTACTS),
         ("Contact must have an id or contactId",
          "coalesce(id, 0) = 0 AND coalesce(\"contactId\", '') = ''"),
         ("Contact email is invalid", f"email <> '' AND NOT {_email_ok}"),
         ("Contact phone format is invalid", f"phone <> '' AND NOT {_phone_ok}"),
     ),
-    "validate_session_records": _errors(
+    "validate_sessions": _errors(
         "o_orderkey", select("orders", fx.SESSIONS),
         ("Session must have an id or sessionId",
          "coalesce(id, 0) = 0 AND coalesce(\"sessionId\", '') = ''"),
@@ -384,7 +384,7 @@ ORACLES: dict[str, str] = {
         FROM (SELECT event_id, nullif(event_type, 'error') AS kind,
               row_number() OVER (PARTITION BY nullif(event_type, 'error') ORDER BY event_id) AS i FROM events)
         GROUP BY kind, (i - 1) // 1000""",
-    "duration_stats_events": _stats("event_type", "value", "events"),
+    "duration_stats": _stats("event_type", "value", "events"),
     "duration_stats_lineitem": _stats("nullif(l_returnflag, 'N')", "l_extendedprice", "lineitem"),
     "batch_assign": """SELECT o_orderkey, i AS row_index, i // 100 AS batch_id FROM (
         SELECT o_orderkey, row_number() OVER (ORDER BY o_orderdate, o_orderkey) - 1 AS i FROM orders)""",

@@ -19,6 +19,7 @@ from fleetmatch.functions import (
     normalize_status,
     normalize_string,
     parse_iso_date,
+    percentage_text,
     seconds_to_duration,
     trim_or_null,
 )
@@ -54,7 +55,7 @@ from fleetmatch.plans import fixtures as fx
 from fleetmatch.plans.jobs import CoverageJobs
 from fleetmatch.session import run_id_of, scratch_path
 from fleetmatch.sinks.csv_text import csv_lines
-from fleetmatch.sources.delimited import detect_delimiter, field_position, header_names
+from fleetmatch.sources.delimited import detect_delimiter, field_positions
 from fleetmatch.sources.logs import append_log, log_line, read_log, recent
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,7 +65,8 @@ SPEC_A, SPEC_B, RUN_TS = fx.SPEC_A, fx.SPEC_B, fx.RUN_TS
 
 
 def query(function: Query) -> Query:
-    QUERIES[function.__name__] = function
+    """Register under the function's name, without a trailing underscore."""
+    QUERIES[function.__name__.rstrip("_")] = function
     return function
 
 
@@ -101,7 +103,7 @@ def ingest_lines(spark, sf_dir):
 
 
 @query
-def detect_delimiter_texts(spark, sf_dir):
+def detect_delimiter_(spark, sf_dir):
     texts = [("documents", "doc_id", "text"), ("pages", "page_id", "html"), ("benchmark", "item_id", "text")]
     parts = [
         fx.table(spark, sf_dir, name).select(F.lit(name).alias("origin"), F.col(key).alias("id"),
@@ -114,17 +116,16 @@ def detect_delimiter_texts(spark, sf_dir):
 @query
 def resolve_columns(spark, sf_dir):
     headers = fx.derived(spark, sf_dir, "events", {"event_id": "event_id", "header": fx.HEADER_VARIANTS})
-    headers = headers.select("event_id", detect_delimiter(F.col("header")).alias("delimiter"),
-                             header_names(F.col("header")).alias("names"))
-    return headers.select(
-        "event_id", "delimiter",
-        *[field_position(F.col("names"), names).alias(f"a_{field}") for field, names in SPEC_A.aliases.items()],
-        *[field_position(F.col("names"), names).alias(f"b_{field}") for field, names in SPEC_B.aliases.items()],
-    )
+    found = field_positions(headers, "header", SPEC_A, SPEC_B)
+    names = {f"{SPEC_A.table}.": "a_", f"{SPEC_B.table}.": "b_"}
+    return found.select("event_id", "delimiter", *[
+        F.col(f"`{name}`").alias(name.replace(table, short))
+        for table, short in names.items() for name in found.columns if name.startswith(table)
+    ])
 
 
 @query
-def parse_inventory_a(spark, sf_dir):
+def parse_inventory_(spark, sf_dir):
     parsed = current_a(spark, sf_dir)
     return parsed.withColumn("last_seen_ts", F.date_format("last_seen_ts", "yyyy-MM-dd HH:mm:ss"))
 
@@ -201,7 +202,7 @@ def coverage_hostnames(spark, sf_dir):
 
 
 @query
-def coverage_report_sorted(spark, sf_dir):
+def coverage_report_(spark, sf_dir):
     return coverage_report(coverage(spark, sf_dir))
 
 
@@ -211,13 +212,13 @@ def coverage_summary_by_status(spark, sf_dir):
 
 
 @query
-def coverage_summary_row(spark, sf_dir):
+def coverage_summary_(spark, sf_dir):
     return coverage_summary(coverage(spark, sf_dir), SPEC_A, SPEC_B)
 
 
 @query
 def coverage_summary_metrics(spark, sf_dir):
-    return coverage_metrics(coverage_summary_row(spark, sf_dir), SPEC_A, SPEC_B)
+    return coverage_metrics(coverage_summary_(spark, sf_dir), SPEC_A, SPEC_B)
 
 
 @query
@@ -244,8 +245,6 @@ def csv_lines_any_text(spark, sf_dir):
 @query
 def coverage_percentages(spark, sf_dir):
     """Percentage text for many ratios: suppliers' order lines out of 1000 and more."""
-    from fleetmatch.functions import percentage_text
-
     ratios = fx.derived(spark, sf_dir, "lineitem", {
         "part": "CAST(l_partkey % (l_orderkey % 2000 + 1) AS BIGINT)",
         "total": "CAST(l_orderkey % 2000 AS BIGINT)",
@@ -305,7 +304,7 @@ def export_report_files(spark, sf_dir):
 
 
 @query
-def constraint_audit_tables(spark, sf_dir):
+def constraint_audit_(spark, sf_dir):
     a, b = current_a(spark, sf_dir), current_b(spark, sf_dir)
     records, _ = parse_rows(fx.export_a(spark, sf_dir), SPEC_A)
     raw = fx.derived(spark, sf_dir, "customer", {
@@ -323,13 +322,13 @@ def constraint_audit_tables(spark, sf_dir):
 # --- column functions --------------------------------------------------------
 
 @query
-def normalize_hostname_rows(spark, sf_dir):
+def normalize_hostname_(spark, sf_dir):
     rows = fx.derived(spark, sf_dir, "lineitem", {"host_raw": fx.RAW_A["host_raw"]})
     return rows.select("host_raw", normalize_hostname(F.col("host_raw")).alias("hostname"))
 
 
 @query
-def normalize_platform_rows(spark, sf_dir):
+def normalize_platform_(spark, sf_dir):
     rows = fx.derived(spark, sf_dir, "part", {
         "p_partkey": "p_partkey",
         "platform_raw": "CASE WHEN p_size < 25 THEN " + fx.platform_variants("p_partkey")
@@ -339,7 +338,7 @@ def normalize_platform_rows(spark, sf_dir):
 
 
 @query
-def normalize_status_rows(spark, sf_dir):
+def normalize_status_(spark, sf_dir):
     rows = fx.derived(spark, sf_dir, "orders", {
         "o_orderkey": "o_orderkey",
         "status_raw": "CASE WHEN o_orderpriority = '1-URGENT' THEN NULL WHEN o_orderpriority = '2-HIGH' "
@@ -383,20 +382,20 @@ def clean_texts(spark, sf_dir):
 
 
 @query
-def parse_iso_date_rows(spark, sf_dir):
+def parse_iso_date_(spark, sf_dir):
     rows = fx.derived(spark, sf_dir, "orders", {"o_orderkey": "o_orderkey", "text": fx.DATE_VARIANTS})
     return rows.select("o_orderkey", "text", F.date_format(
         parse_iso_date(F.col("text")), "yyyy-MM-dd HH:mm:ss.SSS").alias("moment"))
 
 
 @query
-def seconds_to_duration_rows(spark, sf_dir):
+def seconds_to_duration_(spark, sf_dir):
     rows = fx.derived(spark, sf_dir, "lineitem", {"seconds": fx.SECONDS})
     return rows.select("seconds", seconds_to_duration(F.col("seconds")).alias("duration"))
 
 
 @query
-def format_bytes_rows(spark, sf_dir):
+def format_bytes_(spark, sf_dir):
     rows = fx.derived(spark, sf_dir, "lineitem", {"bytes": fx.BYTES})
     return rows.select("bytes", format_bytes(F.col("bytes")).alias("text"))
 
@@ -408,18 +407,18 @@ def rendered(validated: DataFrame, key: str) -> DataFrame:
 
 
 @query
-def validate_device_records(spark, sf_dir):
+def validate_devices_(spark, sf_dir):
     rows = fx.derived(spark, sf_dir, "events", {"event_id": "event_id", "record": fx.DEVICE_JSON})
     return rendered(validate_devices(rows, "record"), "event_id")
 
 
 @query
-def validate_contact_records(spark, sf_dir):
+def validate_contacts_(spark, sf_dir):
     return rendered(validate_contacts(fx.derived(spark, sf_dir, "customer", fx.CONTACTS)), "c_custkey")
 
 
 @query
-def validate_session_records(spark, sf_dir):
+def validate_sessions_(spark, sf_dir):
     return rendered(validate_sessions(fx.derived(spark, sf_dir, "orders", fx.SESSIONS)), "o_orderkey")
 
 
@@ -463,7 +462,7 @@ def rounded_stats(stats: DataFrame) -> DataFrame:
 
 
 @query
-def duration_stats_events(spark, sf_dir):
+def duration_stats_(spark, sf_dir):
     return rounded_stats(duration_stats(fx.table(spark, sf_dir, "events"), "event_type", "value"))
 
 

@@ -11,12 +11,13 @@ from pyspark.sql import SparkSession
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
-                  app: str = "fleetmatch") -> SparkSession:
+                  app: str = "fleetmatch", **settings: str) -> SparkSession:
     """A session with the settings the jobs are designed for.
 
     On a cluster, leave ``master`` unset and let spark-submit supply it together
     with ``spark.checkpoint.dir``. ``shuffle_partitions`` should give partitions
     of 100 to 200 MB; adaptive execution merges the ones that turn out small.
+    Further ``settings`` are Spark options with ``_`` for ``.`` in their names.
     """
     builder = (
         SparkSession.builder.appName(app)
@@ -29,6 +30,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         builder = builder.master(master)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    for name, value in settings.items():
+        builder = builder.config(name.replace("_", "."), value)
     return builder.getOrCreate()
 
 

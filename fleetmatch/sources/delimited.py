@@ -9,13 +9,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fleetmatch.functions import is_blank, trim
+from fleetmatch.operators.projection import select_once
 from fleetmatch.schemas import InventorySpec
 
 EMPTY_EXPORT = "CSV file is empty or has no data rows"
 
-# The CSV reader is used as a line reader: no line contains this separator, and
-# FAILFAST turns the impossible case into an error instead of a lost tail.
+# The CSV reader is used as a line reader: no line contains this separator or
+# this quote (no character at all), and FAILFAST turns the impossible case into
+# an error instead of a lost tail.
 _NO_SEPARATOR = "\u0001\u0002\u0003"
+_NO_QUOTE = "\uffff"
 
 
 @dataclass(frozen=True)
@@ -54,7 +57,7 @@ def read_export(spark: SparkSession, path: str) -> Export:
     lines = (
         spark.read.schema(T.StructType([T.StructField(header, T.StringType())]))
         .option("header", True).option("enforceSchema", False).option("mode", "FAILFAST")
-        .option("sep", _NO_SEPARATOR).option("quote", "").option("escape", "").option("lineSep", "\n")
+        .option("sep", _NO_SEPARATOR).option("quote", _NO_QUOTE).option("escape", _NO_QUOTE).option("lineSep", "\n")
         .csv(path)
         .toDF("value")
         .select(
@@ -109,14 +112,22 @@ def field_position(names: Column, aliases: tuple[str, ...]) -> Column:
     return (F.coalesce(*found, F.lit(0)) - 1).cast("int")
 
 
+def field_positions(headers: DataFrame, header: str, *specs: InventorySpec) -> DataFrame:
+    """Per header line: its delimiter and each field's position as ``<table>.<field>``."""
+    line = F.col(header)
+    kept = {name: F.col(name) for name in headers.columns}
+    split = select_once(headers, {**kept, "delimiter": detect_delimiter(line), "names": header_names(line)})
+    return split.select(*kept, "delimiter", *[
+        field_position(F.col("names"), aliases).alias(f"{spec.table}.{field}")
+        for spec in specs for field, aliases in spec.aliases.items()
+    ])
+
+
 def resolve_layout(spark: SparkSession, header: str, spec: InventorySpec) -> Layout:
     """Evaluate the header line once; the positions become literals in the plan."""
-    line = F.lit(header)
-    row = spark.range(1).select(
-        detect_delimiter(line).alias("delimiter"),
-        *[field_position(header_names(line), names).alias(field) for field, names in spec.aliases.items()],
-    ).first()
-    positions = {field: row[field] for field in spec.aliases}
+    line = spark.range(0, 1, 1, 1).select(F.lit(header).alias("header"))
+    row = field_positions(line, "header", spec).first()
+    positions = {field: row[f"{spec.table}.{field}"] for field in spec.aliases}
     if positions[spec.required] < 0:
         names = ", ".join(spec.aliases[spec.required])
         raise ValueError(f"CSV must have a {spec.required} column ({names})")

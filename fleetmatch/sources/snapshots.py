@@ -62,7 +62,9 @@ class SnapshotStore:
         return self.read(table, schema, run_id)
 
     def commit(self, table: str, run_id: str, rows: int) -> None:
-        row = self.spark.createDataFrame([(table, run_id, rows)], COMMIT_SCHEMA).coalesce(1)
+        values = zip(COMMIT_SCHEMA.fields, (table, run_id, rows))
+        row = self.spark.range(0, 1, 1, 1).select(
+            *[F.lit(value).cast(field.dataType).alias(field.name) for field, value in values])
         row.write.mode("append").parquet(f"{self.root}/commits")
 
     def append(self, dataset: str, rows: DataFrame) -> None:
