@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,23 +17,37 @@ from fleetmatch.session import scratch_path
 
 PART = "order_part"
 PLACE = "order_place"
+_TIE = "order_tie"
 
 _PLACE_BITS = 33  # monotonically_increasing_id keeps the row number in the low 33 bits
 
 
-def range_sorted(df: DataFrame, order: Sequence[str]) -> DataFrame:
+def _tie_breaker(df: DataFrame) -> Column:
+    """A hash of the row; range partitioning cannot split rows with equal keys."""
+    hashable = [field.name for field in df.schema.fields
+                if not any(kind in field.dataType.simpleString() for kind in ("map<", "variant"))]
+    return F.xxhash64(*[F.col("`" + name.replace("`", "``") + "`") for name in hashable])
+
+
+def range_sorted(df: DataFrame, order: Sequence[str], unique: bool = False) -> DataFrame:
     """Rows sorted over all partitions, with partition number and place in it.
 
-    ``order`` should be unique per row: range partitioning cannot split equal
-    keys. The result is a table written to the shared folder, because several
+    Rows that are equal in ``order`` are put in the order of a row hash, which
+    spreads them over partitions; ``unique`` says that there are none. The
+    result is a table written to the shared folder, because several
     branches read it and must see the same partition bounds, also after an
     executor is lost; each branch reads only the columns it needs.
     """
     path = scratch_path(df.sparkSession, "sorted")
     number = F.monotonically_increasing_id()
+    keys = list(order)
+    if not unique:
+        df = df.withColumn(_TIE, _tie_breaker(df))
+        keys.append(_TIE)
     placed = (
-        df.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
+        df.repartitionByRange(*keys)
+        .sortWithinPartitions(*keys)
+        .drop(_TIE)
         .withColumn(PART, F.shiftright(number, _PLACE_BITS).cast("int"))
         .withColumn(PLACE, number.bitwiseAND(F.lit((1 << _PLACE_BITS) - 1)))
     )
@@ -41,9 +55,10 @@ def range_sorted(df: DataFrame, order: Sequence[str]) -> DataFrame:
     return df.sparkSession.read.schema(placed.schema).parquet(path)
 
 
-def with_row_index(df: DataFrame, order: Sequence[str], name: str = "row_index") -> DataFrame:
+def with_row_index(df: DataFrame, order: Sequence[str], name: str = "row_index",
+                   unique: bool = False) -> DataFrame:
     """Add the 0-based position of each row in the order given."""
-    placed = range_sorted(df, order)
+    placed = range_sorted(df, order, unique)
     # One row per partition comes to the driver, whatever the size of the table.
     sizes = placed.groupBy(PART).count().orderBy(PART).collect()
     offsets, before = [], 0

@@ -24,7 +24,7 @@ def duration_stats(samples: DataFrame, label: str, value: str) -> DataFrame:
         .groupBy(F.col(label).alias("label"), F.col(value).cast("double").alias("v"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    placed = range_sorted(counted, ["label", "v"]).select("label", "v", "n", PART)
+    placed = range_sorted(counted, ["label", "v"], unique=True).select("label", "v", "n", PART)
 
     # One row per label and partition: at most labels + partitions rows.
     parts = placed.groupBy("label", PART).agg(

@@ -55,8 +55,13 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return os.path.join(shared_folder(spark), f"{name}-{uuid.uuid4().hex}")
+    """A fresh path below the shared folder, under the application's own folder.
+
+    Results may be read lazily from it, so it has to stay until the application
+    ends; then the whole application folder can go.
+    """
+    application = spark.sparkContext.applicationId
+    return os.path.join(shared_folder(spark), "fleetmatch", application, f"{name}-{uuid.uuid4().hex}")
 
 
 def iso_text(moment: datetime) -> str:

@@ -101,6 +101,20 @@ def test_a_hot_label_is_spread_over_partitions(spark):
     assert (row.median, row.p95, row.p99) == (10000.0, 19000.0, 19800.0)
 
 
+def test_equal_order_keys_are_spread_and_numbered(spark):
+    df = spark.range(9000).select(F.col("id").alias("i"), F.lit("same").alias("day"),
+                                  F.create_map(F.lit("k"), F.col("id")).alias("m"))
+    enabled = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    try:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        sizes = [r["count"] for r in range_sorted(df, ["day"]).groupBy("order_part").count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", enabled)
+    assert len(sizes) == 8 and max(sizes) < 9000 / 4
+    indexed = with_row_index(df, ["day"])
+    assert sorted(r.row_index for r in indexed.select("row_index").collect()) == list(range(9000))
+
+
 @pytest.mark.parametrize("coalesce", ["true", "false"])
 def test_row_index_is_the_position(spark, rows, coalesce):
     enabled = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
