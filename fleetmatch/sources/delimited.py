@@ -85,6 +85,8 @@ def split_header(raw_lines: DataFrame, order: str) -> Export:
     if first is None:
         raise ValueError(EMPTY_EXPORT)
     lines = kept.where(F.col("row_order") > F.lit(first["row_order"]))
+    if lines.isEmpty():
+        raise ValueError(EMPTY_EXPORT)
     return Export(first["value"], lines)
 
 
