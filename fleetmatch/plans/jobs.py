@@ -45,12 +45,15 @@ class SyncResult:
 
 
 class CoverageJobs:
-    """The jobs over one store. Every job takes the time it stands for as ``run_ts``."""
+    """The jobs over one store. Every job takes the time it stands for as ``run_ts``.
+
+    ``buckets`` makes the store keep its tables bucketed by hostname.
+    """
 
     def __init__(self, spark: SparkSession, root: str, spec_a: InventorySpec | None = None,
-                 spec_b: InventorySpec | None = None):
+                 spec_b: InventorySpec | None = None, buckets: int | None = None):
         self.spark = spark
-        self.store = SnapshotStore(spark, root)
+        self.store = SnapshotStore(spark, root, buckets)
         self.spec_a = spec_a or remote_inventory()
         self.spec_b = spec_b or endpoint_inventory()
 

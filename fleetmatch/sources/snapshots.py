@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +13,9 @@ COMMIT_SCHEMA = T.StructType([
     T.StructField("table_name", T.StringType(), False),
     T.StructField("run_id", T.StringType(), False),
     T.StructField("rows", T.LongType(), False),
+    T.StructField("buckets", T.IntegerType()),
 ])
+KEY = "hostname"
 
 
 class SnapshotStore:
@@ -20,15 +24,25 @@ class SnapshotStore:
     A run is first staged, then committed. Readers take the greatest committed
     run, so a job that fails half-way leaves the previous snapshot current, and
     no plan overwrites a path it reads. Older runs stay as history.
+
+    With ``buckets`` set, runs are bucketed and sorted by hostname, and joins
+    between them need no shuffle. Spark keeps bucketing in the catalog, so each
+    run is then also an external table named ``fleetmatch_...`` there; the
+    number of ``spark.sql.shuffle.partitions`` gives one file per bucket.
     """
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, buckets: int | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.buckets = buckets
 
     def _path(self, table: str, run_id: str) -> str:
         return f"{self.root}/{table}/run_id={run_id}"
 
+    def _catalog_name(self, table: str, run_id: str) -> str:
+        store = hashlib.md5(self.root.encode()).hexdigest()[:8]
+        return f"fleetmatch_{store}_{table}_{run_id}".lower()
+
     def _existing(self, path: str, schema: T.StructType) -> DataFrame:
         try:
             return self.spark.read.schema(schema).parquet(path)
@@ -37,18 +51,35 @@ class SnapshotStore:
                 raise
             return self.spark.createDataFrame([], schema)
 
+    def _open(self, table: str, run_id: str, schema: T.StructType, buckets: int | None) -> DataFrame:
+        path = self._path(table, run_id)
+        if buckets is None:
+            return self.spark.read.schema(schema).parquet(path)
+        name = self._catalog_name(table, run_id)
+        columns = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in schema.fields)
+        # Another session may have written the run; this one has to learn its buckets.
+        self.spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet CLUSTERED BY ({KEY}) "
+            f"SORTED BY ({KEY}) INTO {buckets} BUCKETS LOCATION '{path}'")
+        return self.spark.table(name)
+
     def commits(self) -> DataFrame:
         return self._existing(f"{self.root}/commits", COMMIT_SCHEMA)
 
+    def _current(self, table: str) -> tuple[str | None, int | None]:
+        last = self.commits().where(F.col("table_name") == table).agg(
+            F.max(F.struct("run_id", "buckets")).alias("last")).first()["last"]
+        return (last["run_id"], last["buckets"]) if last else (None, None)
+
     def current_run(self, table: str) -> str | None:
-        return self.commits().where(F.col("table_name") == table).agg(F.max("run_id")).first()[0]
+        return self._current(table)[0]
 
-    def read(self, table: str, schema: T.StructType, run_id: str | None = None) -> DataFrame:
-        """A run of a table, by default the current one; empty before the first commit."""
-        run_id = run_id or self.current_run(table)
+    def read(self, table: str, schema: T.StructType) -> DataFrame:
+        """The current run of a table; empty before the first commit."""
+        run_id, buckets = self._current(table)
         if run_id is None:
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(self._path(table, run_id))
+        return self._open(table, run_id, schema, buckets)
 
     def stage(self, table: str, run_id: str, rows: DataFrame, schema: T.StructType) -> DataFrame:
         """Write a run without making it current, and return what was written.
@@ -58,11 +89,17 @@ class SnapshotStore:
         current = self.current_run(table)
         if current is not None and run_id <= current:
             raise ValueError(f"run {run_id} of {table} is not newer than the current run {current}")
-        rows.select(schema.fieldNames()).write.mode("overwrite").parquet(self._path(table, run_id))
-        return self.read(table, schema, run_id)
+        path = self._path(table, run_id)
+        writer = rows.select(schema.fieldNames()).write.mode("overwrite")
+        if self.buckets is None:
+            writer.parquet(path)
+        else:
+            (writer.format("parquet").option("path", path).bucketBy(self.buckets, KEY).sortBy(KEY)
+             .saveAsTable(self._catalog_name(table, run_id)))
+        return self._open(table, run_id, schema, self.buckets)
 
     def commit(self, table: str, run_id: str, rows: int) -> None:
-        values = zip(COMMIT_SCHEMA.fields, (table, run_id, rows))
+        values = zip(COMMIT_SCHEMA.fields, (table, run_id, rows, self.buckets))
         row = self.spark.range(0, 1, 1, 1).select(
             *[F.lit(value).cast(field.dataType).alias(field.name) for field, value in values])
         row.write.mode("append").parquet(f"{self.root}/commits")

@@ -4,9 +4,11 @@ from datetime import datetime
 
 import pytest
 
+from fleetmatch.operators.coverage import match_coverage, stale_keys
 from fleetmatch.plans.jobs import CoverageJobs
 from fleetmatch.schemas import endpoint_inventory, remote_inventory
 from fleetmatch.sources.logs import append_log, read_log, recent
+from tests.conftest import plan_of
 
 DAY = [datetime(2024, 1, day) for day in range(1, 10)]
 
@@ -123,6 +125,34 @@ def test_systems_by_name(spark, tmp_path):
         jobs.run_named("gamma", DAY[3], "x")
 
 
+def test_bucketed_store_joins_without_a_shuffle(spark, tmp_path):
+    hosts = [f"h{i}" for i in range(300)]
+    root = str(tmp_path / "bucketed")
+    jobs = CoverageJobs(spark, root, buckets=8)
+    jobs.run(DAY[0], file_a(tmp_path, *hosts[:200]), file_b(tmp_path, *hosts[100:]))
+    result = jobs.sync(file_a(tmp_path, *hosts[50:250], name="a2.csv"), jobs.spec_a, DAY[1])
+    assert (result.imported, result.stale) == (200, 50)
+    jobs.calculate_coverage(DAY[1])
+    assert tuple(jobs.summary().first()) == (250, 150, 50, 50)
+
+    for table in spark.catalog.listTables():
+        if table.name.startswith("fleetmatch_"):
+            spark.sql(f"DROP TABLE {table.name}")  # external: the files stay
+    later = CoverageJobs(spark, root)  # learns the buckets from the commits
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        a = later.store.read("inventory_a", later.spec_a.schema)
+        b = later.store.read("inventory_b", later.spec_b.schema)
+        matched = match_coverage(a, b, later.spec_a, later.spec_b, DAY[1])
+        assert {tuple(row) for row in matched.collect()} == {tuple(row) for row in later.coverage().collect()}
+        assert "SortMergeJoin" in plan_of(matched) and "Exchange" not in plan_of(matched)
+        assert "Exchange" not in plan_of(stale_keys(a, b))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert later.run(DAY[2], export_b=file_b(tmp_path, "h60", name="b2.csv")) == 200
+
+
 def test_first_coverage_of_an_empty_store(jobs):
     assert jobs.calculate_coverage(DAY[0]) == 0
 
