@@ -18,6 +18,7 @@ def event_rows(counts: DataFrame, run_ts: datetime, run_id: str) -> DataFrame:
     """
     n = F.col("records_processed")
     text = n.cast("string")
+    # The message texts.
     message = (
         F.when(F.col("action") == "delete_stale",
                F.concat(F.lit("Deleted "), text, F.lit(" stale "), F.col("noun")))

@@ -9,7 +9,8 @@ from pyspark.sql import types as T
 from fleetmatch.functions import is_iso_date
 from fleetmatch.operators.projection import select_once
 
-# Accepted shapes. The space class is the white space of trim().
+# Accepted shapes, and below the messages of each check. The space
+# class is the white space of trim().
 _SPACE = r"\t\n\x0B\f\r \u00A0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000\uFEFF"
 EMAIL = rf"\A[^{_SPACE}@]+@[^{_SPACE}@]+\.[^{_SPACE}@]+\z"
 PHONE = rf"\A\+?[0-9{_SPACE}\-().]{{10,}}\z"

@@ -12,6 +12,7 @@ from fleetmatch.functions import is_blank, trim
 from fleetmatch.operators.projection import select_once
 from fleetmatch.schemas import InventorySpec
 
+# Fixed value: the message for an export without data.
 EMPTY_EXPORT = "CSV file is empty or has no data rows"
 
 # The CSV reader is used as a line reader: no line contains this separator or
