@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetmatch.llm import bpe, pii
+from fleetmatch.llm import bpe, langid, licenses, pii, tokens
 from fleetmatch.llm.common import read_table
 
 
@@ -18,7 +18,22 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.bpe_digest(read_table(spark, sf_dir, "documents"))
 
 
+def op1_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_digest(read_table(spark, sf_dir, "documents"))
+
+
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.token_digest(read_table(spark, sf_dir, "documents"))
+
+
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.language_digest(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_licenses": op1_licenses,
+    "op4_token_files": op4_token_files,
+    "op6_language": op6_language,
     "op9_pii": op9_pii,
     "op10_byte_bpe": op10_byte_bpe,
 }
