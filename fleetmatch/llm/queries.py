@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetmatch.llm import bpe, langid, licenses, pii, tokens
+from fleetmatch.llm import bpe, html, langid, licenses, pii, tokens
 from fleetmatch.llm.common import read_table
 
 
@@ -30,8 +30,13 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.language_digest(read_table(spark, sf_dir, "documents"))
 
 
+def op3_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.page_digest(read_table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_licenses": op1_licenses,
+    "op3_html": op3_html,
     "op4_token_files": op4_token_files,
     "op6_language": op6_language,
     "op9_pii": op9_pii,
