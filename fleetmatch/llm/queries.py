@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetmatch.llm import bpe, html, langid, licenses, pii, tokens
+from fleetmatch.llm import bpe, html, langid, licenses, pii, shards, tokens
 from fleetmatch.llm.common import read_table
 
 
@@ -34,10 +34,15 @@ def op3_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.page_digest(read_table(spark, sf_dir, "pages"))
 
 
+def op5_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shards.shard_digest(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_licenses": op1_licenses,
     "op3_html": op3_html,
     "op4_token_files": op4_token_files,
+    "op5_shards": op5_shards,
     "op6_language": op6_language,
     "op9_pii": op9_pii,
     "op10_byte_bpe": op10_byte_bpe,
