@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Iterable, Iterator, Mapping
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -10,9 +13,28 @@ import pyarrow.compute
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import fleetmatch
 from fleetmatch.session import scratch_path
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors this package, once per application; they need not have it installed."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    root = Path(fleetmatch.__file__).parent
+    if root.is_dir():  # else it came to this process in an archive already
+        archive = Path(tempfile.mkdtemp(prefix="fleetmatch-code-")) / "fleetmatch-code.zip"
+        with zipfile.ZipFile(archive, "w") as out:
+            for path in sorted(root.rglob("*.py")):
+                out.write(path, path.relative_to(root.parent))
+        context.addPyFile(str(archive))
+    _shipped.add(context.applicationId)
+
+
 def position_of(df: DataFrame, name: str) -> int:
     """Index of a column: the exact name wins over one that differs in case."""
     names = df.columns
@@ -26,12 +48,14 @@ def position_of(df: DataFrame, name: str) -> int:
 
 def pick(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
     """The columns ``{new name: name}`` alone; other columns, whatever their names, do not matter."""
+    ship(df.sparkSession)
     plain = df.toDF(*[f"_{i}" for i in range(len(df.columns))])
     return plain.select(*[F.col(f"_{position_of(df, name)}").alias(new) for new, name in columns.items()])
 
 
 def numbered(df: DataFrame) -> DataFrame:
     """The same columns under the names ``_0``, ``_1``, ..., which clash with nothing an operator adds."""
+    ship(df.sparkSession)
     return df.toDF(*[f"_{i}" for i in range(len(df.columns))])
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetmatch.llm import bpe, html, langid, licenses, pii, shards, tokens
+from fleetmatch.llm import bpe, decontaminate, html, langid, licenses, minhash, pii, shards, tokens
 from fleetmatch.llm.common import read_table
 
 
@@ -38,12 +38,22 @@ def op5_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.shard_digest(read_table(spark, sf_dir, "documents"))
 
 
+def op8_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leak_digest(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.duplicate_digest(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_licenses": op1_licenses,
+    "op2_near_duplicates": op2_near_duplicates,
     "op3_html": op3_html,
     "op4_token_files": op4_token_files,
     "op5_shards": op5_shards,
     "op6_language": op6_language,
+    "op8_leaks": op8_leaks,
     "op9_pii": op9_pii,
     "op10_byte_bpe": op10_byte_bpe,
 }
