@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetmatch.llm import bpe, decontaminate, html, langid, licenses, minhash, pii, shards, tokens
+from fleetmatch.llm import bpe, decontaminate, html, langid, licenses, minhash, neighbours, pii, shards, tokens
 from fleetmatch.llm.common import read_table
 
 
@@ -46,6 +46,10 @@ def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.duplicate_digest(read_table(spark, sf_dir, "documents"))
 
 
+def op7_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.neighbour_digest(read_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_licenses": op1_licenses,
     "op2_near_duplicates": op2_near_duplicates,
@@ -53,6 +57,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_token_files": op4_token_files,
     "op5_shards": op5_shards,
     "op6_language": op6_language,
+    "op7_neighbours": op7_neighbours,
     "op8_leaks": op8_leaks,
     "op9_pii": op9_pii,
     "op10_byte_bpe": op10_byte_bpe,
