@@ -200,3 +200,18 @@ def language_digest(df: DataFrame) -> DataFrame:
     # lang is not handed on: a prediction sees the text alone.
     return predict(rows.select("doc_id", "text"), model).select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+def keep_identified(df: DataFrame, usable: Column | None = None, min_score: float = 0.5, text_col: str = "text",
+                    lang_col: str = "lang") -> DataFrame:
+    """The rows and columns of ``df`` whose language is found with at least ``min_score``.
+
+    Where nothing can be learned, only texts without a letter go.
+    """
+    model = fit(df, text_col, lang_col, usable)
+    rows = predict(numbered(df), model, f"_{position_of(df, text_col)}")
+    if model.languages:
+        rows = rows.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_score))
+    else:
+        rows = rows.filter(F.coalesce(F.col(f"_{position_of(df, text_col)}").rlike(r"\p{L}"), F.lit(False)))
+    return rows.drop("lang_pred", "score").toDF(*df.columns)
