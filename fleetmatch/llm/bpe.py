@@ -37,7 +37,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetmatch.llm.common import numbered, pick, pieces, position_of
+from fleetmatch.llm.common import is_latin_1, numbered, pick, pieces, position_of
 
 DEFAULT_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 DEFAULT_PATTERN = public_tokenizers.PATTERN
@@ -234,7 +234,7 @@ class Pieces(dict):
     def __missing__(self, piece: str) -> bytes:
         packed = self.old.get(piece)
         if packed is None:
-            packed = np.array(self.transducer.encode(piece.encode()), "<u4").tobytes()
+            packed = b"".join([id.to_bytes(4, "little") for id in self.transducer.encode(piece.encode())])
         if len(piece) <= LONG_PIECE:
             if len(self) >= self.most:
                 self.old = dict(self)
@@ -246,7 +246,7 @@ class Pieces(dict):
 # The default pattern for texts below U+0250, where its classes can be written out: letters, numbers, white space.
 _L, _N, _S = "A-Za-zªµºÀ-ÖØ-öø-ɏ", "0-9²³¹¼-¾", "\t-\r \x85\xa0"
 _LATIN_SPLIT = re.compile(
-    rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_L}]+| ?[{_N}]+| ?[^{_S}{_L}{_N}]+|[{_S}]+(?![^{_S}])|[{_S}]+").findall
+    rf" ?[{_L}]+| ?[{_N}]+|'s|'t|'re|'ve|'m|'ll|'d| ?[^{_S}{_L}{_N}]+|[{_S}]+(?![^{_S}])|[{_S}]+").findall
 _NOT_LATIN = re.compile("[^\x00-\u024f]").search
 
 
@@ -259,7 +259,7 @@ class Codec:
         self.bytes_of = {rank: token for token, rank in ranks.items()}
 
     def split(self, text: str) -> list[str]:
-        return _LATIN_SPLIT(text) if self._latin and not _NOT_LATIN(text) else self._any_split(text)
+        return _LATIN_SPLIT(text) if self._latin and (is_latin_1(text) or not _NOT_LATIN(text)) else self._any_split(text)
 
     def encode(self, text: str | None) -> bytes:
         return b"".join(map(self.pieces.__getitem__, self.split(text))) if text else b""

@@ -70,6 +70,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def is_latin_1(text: str) -> bool:
+    """Whether all characters are below U+0100; much faster than a search."""
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
 def pieces(batches: Iterable[pa.RecordBatch], text: str, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """The batches cut into slices of about ``most`` text bytes, so that arrays made from them stay small.
 

@@ -6,8 +6,9 @@ first pass classifies each block by itself: blocks inside menus, headers, footer
 sidebars, forms, notices, adverts and comments, and blocks made of links, are
 boilerplate; blocks with enough words and stop words are text; short blocks stay
 open. The second pass gives an open block the label of its nearest decided
-neighbours: both agree, or the nearer one decides, and on a tie text wins. An
-open block without any decided neighbour is text. Where the page marks its
+neighbours: both agree, or the nearer one decides, and on a tie text wins. What is
+in a menu, footer or advert has no say in that. An open block without any decided
+neighbour is text. Where the page marks its
 article, only blocks inside the mark can be text, and there an open block needs
 no neighbour.
 
@@ -243,11 +244,11 @@ def main_text(page: str | None) -> str:
     if not page:
         return ""
     blocks = blocks_of(page)
-    if any(block.article for block in blocks):
-        blocks = [block for block in blocks if block.article and not block.framed]
-        labels = [TEXT if (label := classify(block)) == OPEN else label for block in blocks]
-    else:
-        labels = [classify(block) for block in blocks]
+    marked = any(block.article for block in blocks)
+    blocks = [block for block in blocks if not block.framed and block.article == marked]
+    labels = [classify(block) for block in blocks]
+    if marked:
+        labels = [TEXT if label == OPEN else label for label in labels]
     return "\n".join(block.text for block, label in zip(blocks, settle(labels)) if label == TEXT)
 
 

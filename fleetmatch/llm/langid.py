@@ -89,12 +89,14 @@ def fit(df: DataFrame, text_col: str = "text", lang_col: str = "lang", usable: C
               .groupBy("lang", "word").agg(F.sum("n").alias("n")).persist())
     best = Window.partitionBy("lang", "size").orderBy(F.desc("n"), "key")
     padded = F.concat(F.lit(" "), "word", F.lit(" "))
-    grams = counts.select("lang", "n", F.explode(F.flatten(F.array(*[
-        F.transform(F.sequence(F.lit(1), F.length("word") + (2 - n + 1)), lambda i: F.substr(padded, i, F.lit(n)))
-        for n in LENGTHS if n <= 3] + [
-        F.when(F.length("word") >= 2, F.transform(
-            F.sequence(F.lit(1), F.greatest(F.length("word") - 1, F.lit(1))), lambda i: F.substr(padded, i, F.lit(4))))
-        .otherwise(F.array().cast("array<string>"))]))).alias("key"))
+    # From the space before the word to the one after it; the spaces alone say nothing.
+    def runs(n: int) -> Column:
+        first = 1 + int(n == 1)
+        places = F.sequence(F.lit(first), F.greatest(F.length("word") + 4 - n - first, F.lit(first)))
+        return F.when(F.length("word") + 2 >= n, F.transform(places, lambda at: F.substr(padded, at, F.lit(n)))).otherwise(
+            F.array().cast("array<string>"))
+
+    grams = counts.select("lang", "n", F.explode(F.flatten(F.array(*map(runs, LENGTHS)))).alias("key"))
     grams = grams.groupBy("lang", "key").agg(F.sum("n").alias("n")).withColumn("size", F.length("key"))
     kept = (counts.select("lang", F.col("word").alias("key"), "n", F.lit(0).alias("size")).unionByName(grams)
             .withColumn("place", F.row_number().over(best))

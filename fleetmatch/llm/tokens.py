@@ -22,7 +22,9 @@ from __future__ import annotations
 import json
 import os
 import re
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetmatch.llm.common import pick, pieces
+from fleetmatch.llm.common import is_latin_1, pick, pieces
 from fleetmatch.session import scratch_path
 
 DEFAULT_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -41,15 +43,15 @@ LANES = 512
 CHECKPOINT_STEPS = 256
 SCALE = 20             # frequencies add up to 2 ** SCALE
 LOW = 1 << 31          # states stay in [LOW, LOW << 32)
-MAX_WORDS = 1 << 17    # ids of words kept at a time
+MAX_WORDS = 1 << 18    # ids of words kept at a time
 
 _U32, _U64 = np.dtype("<u4"), np.dtype("<u8")
 
 
 # The pieces of lower-case texts below U+0250, with letters, numbers and white space written out.
 _L, _N, _S = "A-Za-zªµºÀ-ÖØ-öø-ɏ", "0-9²³¹¼-¾", "\t-\r \x85\xa0"
-_latin_pieces = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_L}]+|[{_N}]|[^{_S}{_L}{_N}]+").findall
-_not_latin = re.compile("[^\x00-\u024f]|\u0130|<").search  # U+0130 has no lower case of one letter
+_latin_pieces = re.compile(rf"[{_L}]+|[{_N}]|'s|'t|'re|'ve|'m|'ll|'d|[^{_S}{_L}{_N}]+").findall
+_not_latin = re.compile(r"[^\x00-\u024f]|\u0130").search  # U+0130 has no lower case of one letter
 # The parts of a tokenizer that the above stands for.
 _KNOWN_NORMALIZERS = ["NFC", {"Regex": r"\s+"}, "Lowercase"]
 _KNOWN_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -84,11 +86,11 @@ class Recent(dict):
 class WordTokenizer:
     """Ids of a text, put together from the library's ids of its parts.
 
-    The tokenizer splits at white space and drops it, so the ids of a text are
-    those of the parts between spaces and line breaks, one after the other. In
-    texts of Latin letters a part is split further, into the pieces that the
-    library's model gets one by one. What stays in the tables of the parts and
-    pieces used last is not encoded again.
+    A text of Latin letters is split into the pieces that the library's model
+    gets one by one. For any other text, the tokenizer splits at white space and
+    drops it, so the ids are those of the parts between spaces and line breaks,
+    one after the other. What stays in the tables of the pieces and parts used
+    last is not encoded again.
     """
 
     def __init__(self, path: str, dtype: str):
@@ -107,22 +109,31 @@ class WordTokenizer:
         self.parts = Recent(self._part)
 
     def _packed(self, ids: list[int]) -> bytes:
-        return np.array(ids, self.dtype).tobytes()
+        packed = array("H" if self.dtype == "<u2" else "I", ids)
+        if sys.byteorder == "big":
+            packed.byteswap()
+        return packed.tobytes()
 
     def _piece(self, piece: str) -> bytes:
         if not (piece.isascii() and piece.isalnum()):
             piece = "".join(map(self.letters.__getitem__, piece.encode()))
         return self._packed([token.id for token in self.model.tokenize(piece)])
 
+    def _by_pieces(self, text: str) -> bool:
+        return self.latin and "<|" not in text and (is_latin_1(text) or not _not_latin(text))
+
     def _part(self, part: str) -> bytes:
-        if self.latin and not _not_latin(part):
-            return b"".join(map(self.pieces.__getitem__, _latin_pieces(part.lower())))
         return self._packed(self.tokenizer.encode(part, add_special_tokens=False).ids)
 
     def encode(self, texts: list[str | None]) -> Iterator[bytes]:
-        part = self.parts.__getitem__
+        piece, part = self.pieces.__getitem__, self.parts.__getitem__
         for text in texts:
-            yield b"".join(map(part, text.replace("\n", " ").split(" "))) if text else b""
+            if not text:
+                yield b""
+            elif self._by_pieces(text):
+                yield b"".join(map(piece, _latin_pieces(text.lower())))
+            else:
+                yield b"".join(map(part, text.replace("\n", " ").split(" ")))
 
 
 def vocabulary_type(path: str) -> str:
