@@ -45,40 +45,62 @@ def is_iso_date(text: Column) -> Column:
 
 
 def seconds_to_duration(seconds: Column) -> Column:
-    """``1h 1m 1s`` from whole seconds; N/A for 0 and NULL, 0s for negatives."""
-    minutes = F.floor(F.pmod(seconds, F.lit(3600)) / 60)
-    hours = F.floor(seconds / 3600)
+    """``1h 1m 1s``; N/A for 0, NULL and NaN, 0s for negatives.
+
+    Seconds may have a fraction, which is printed as a double is; a whole number
+    of seconds is printed as one, whatever its type.
+    """
     rest = F.pmod(seconds, F.lit(60))
+    minutes = F.floor(F.pmod(seconds, F.lit(3600)) / 60)
+    hours = F.floor((seconds - F.pmod(seconds, F.lit(3600))) / 3600)
+    shown = F.when(rest == F.floor(rest), F.floor(rest).cast("string")).otherwise(rest.cast("string"))
     parts = F.concat_ws(
         " ",
         F.when(hours > 0, F.concat(hours.cast("string"), F.lit("h"))),
         F.when(minutes > 0, F.concat(minutes.cast("string"), F.lit("m"))),
-        F.when(rest > 0, F.concat(rest.cast("string"), F.lit("s"))),
+        F.when(rest > 0, F.concat(shown, F.lit("s"))),
     )
     return (
         F.when(F.coalesce(seconds, F.lit(0)) == 0, "N/A")
+        .when(F.isnan(seconds.cast("double")), "N/A")
         .when(seconds < 0, "0s")
         .otherwise(parts)
     )
 
 
 def format_bytes(size: Column) -> Column:
-    """Whole bytes as B, KB, MB or GB with two decimals, halves rounded up.
+    """Bytes of any number type as B, KB, MB or GB with two decimals, halves rounded up.
 
-    Units are powers of two, so shifts and masks on the integer are exact where
-    a float format would round ties by its own rule.
+    Units are powers of two, so the quotient is exact in whole numbers and in
+    doubles alike. It is rounded in whole numbers, where a float format would
+    round ties by its own rule.
     """
+    whole_type = F.typeof(size).isin("tinyint", "smallint", "int", "bigint")
+    magnitude = F.abs(size.cast("double"))
+
+    def shown(whole: Column, cents: Column, power: int) -> Column:
+        full = whole + F.when(cents == 100, 1).otherwise(0)
+        rest = F.when(cents == 100, 0).otherwise(cents)
+        return F.concat(F.when(size < 0, "-").otherwise(""), full.cast("string"), F.lit("."),
+                        F.lpad(rest.cast("string"), 2, "0"), F.lit(" " + SIZE_UNITS[power]))
+
+    def from_whole(power: int) -> Column:
+        bits, number = 10 * power, F.abs(size.cast("bigint"))
+        rest = number.bitwiseAND(F.lit((1 << bits) - 1).cast("bigint"))
+        cents = F.shiftright(rest * 200 + F.lit(1 << bits).cast("bigint"), bits + 1)
+        return shown(F.shiftright(number, bits), cents, power)
+
+    def from_double(power: int) -> Column:
+        quotient = magnitude / float(1 << 10 * power)
+        whole = F.floor(quotient)
+        rest = ((quotient - whole) * float(1 << 53)).cast("bigint")  # no product below reaches 2 ** 63
+        return shown(whole, F.shiftright(rest * 200 + F.lit(1 << 53), 54), power)
+
     def scaled(power: int) -> Column:
-        bits = 10 * power
-        rest = size.bitwiseAND(F.lit((1 << bits) - 1))
-        cents = F.shiftright(rest * 200 + F.lit(1 << bits), bits + 1)
-        whole = F.shiftright(size, bits) + F.when(cents == 100, 1).otherwise(0)
-        fraction = F.when(cents == 100, 0).otherwise(cents)
-        return F.concat(whole.cast("string"), F.lit("."), F.lpad(fraction.cast("string"), 2, "0"),
-                        F.lit(" " + SIZE_UNITS[power]))
+        return F.when(whole_type, from_whole(power)).otherwise(from_double(power))
 
     return (
-        F.when(size < 1 << 10, F.concat(size.cast("string"), F.lit(".00 " + SIZE_UNITS[0])))
+        F.when(size < 1 << 10, scaled(0))
         .when(size < 1 << 20, scaled(1))
         .when(size < 1 << 30, scaled(2))
         .when(size.isNotNull(), scaled(3))

@@ -7,21 +7,25 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fleetmatch.operators.projection import quoted
+
 
 def first_wins(df: DataFrame, keys: Sequence[str], order: str,
                rows_per_key: str | None = None, keep_order: bool = True) -> DataFrame:
-    """Keep, per key, the row that comes first in ``order``; NULL is a key too.
+    """Keep, per key, the row that comes first in ``order``; NULL is a key too, and the last place.
 
     ``min_by`` is combined on the map side, so each task sends at most one row
     per key and a hot key costs one row per task. ``rows_per_key`` names an
     extra column with the number of rows that had the key.
     """
+    # Inside a struct a NULL order is a value, which min_by does not skip; it comes last.
+    place = F.struct(F.col(quoted(order)).isNull(), F.col(quoted(order)))
     payload = [name for name in df.columns if name not in keys and (keep_order or name != order)]
-    kept = [F.min_by(F.struct(*payload), F.col(order)).alias("kept")] if payload else []
-    counted = [F.count(F.lit(1)).alias(rows_per_key or "kept_rows")]
-    grouped = df.groupBy(*keys).agg(*kept, *counted)
-    columns = [*keys, *[f"kept.{name}" for name in payload]]
-    return grouped.select(*columns, *([rows_per_key] if rows_per_key else []))
+    fields = [F.col(quoted(name)).alias(f"value{i}") for i, name in enumerate(payload)]
+    kept = [F.min_by(F.struct(*fields), place).alias("first_wins_kept")] if payload else []
+    grouped = df.groupBy(*map(quoted, keys)).agg(*kept, F.count(F.lit(1)).alias("first_wins_rows"))
+    columns = [*map(quoted, keys), *[F.col(f"first_wins_kept.value{i}").alias(name) for i, name in enumerate(payload)]]
+    return grouped.select(*columns, *([F.col("first_wins_rows").alias(rows_per_key)] if rows_per_key else []))
 
 
 def duplicate_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -8,6 +8,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def quoted(name: str) -> str:
+    """A column name as an expression, whatever characters it has."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def select_once(df: DataFrame, columns: Mapping[str, Column]) -> DataFrame:
     """Like ``select``, for costly expressions that are filtered on afterwards.
 

@@ -219,10 +219,27 @@ _seconds = "seconds"
 _hours, _minutes, _rest = f"({_seconds} // 3600)", f"({_seconds} % 3600 // 60)", f"({_seconds} % 60)"
 
 
-def _size(power: int, unit: str) -> str:
-    width = 1024 ** power
-    cents = f"((CAST(bytes AS HUGEINT) * 200 + {width}) // {2 * width})"
-    return (f"CAST({cents} // 100 AS VARCHAR) || '.' || lpad(CAST({cents} % 100 AS VARCHAR), 2, '0') || ' {unit}'")
+def _duration(seconds: str) -> str:
+    return f"""CASE WHEN {seconds} IS NULL OR {seconds} = 0 THEN 'N/A' WHEN {seconds} < 0 THEN '0s' ELSE concat_ws(' ',
+        CASE WHEN {_hours} > 0 THEN CAST({_hours} AS VARCHAR) || 'h' END,
+        CASE WHEN {_minutes} > 0 THEN CAST({_minutes} AS VARCHAR) || 'm' END,
+        CASE WHEN {_rest} > 0 THEN CAST({_rest} AS VARCHAR) || 's' END) END"""
+
+
+def _size(amount: str, width: int, unit: str) -> str:
+    cents = f"((CAST({amount} AS HUGEINT) * 200 + {width}) // {2 * width})"
+    return f"CAST({cents} // 100 AS VARCHAR) || '.' || lpad(CAST({cents} % 100 AS VARCHAR), 2, '0') || ' {unit}'"
+
+
+def _text_of_bytes(amount: str, parts: int = 1) -> str:
+    """``amount`` counts ``parts`` to the byte."""
+    cases = " ".join(f"WHEN {amount} < {parts * 1024 ** (power + 1)} THEN {_size(amount, parts * 1024 ** power, unit)}"
+                     for power, unit in enumerate(("B", "KB", "MB")))
+    return f"CASE {cases} ELSE {_size(amount, parts * 1024 ** 3, 'GB')} END"
+
+
+def _text_of_quarters(amount: str) -> str:
+    return _text_of_bytes(f"({amount})", 4)
 
 
 ORACLES: dict[str, str] = {
@@ -263,6 +280,10 @@ ORACLES: dict[str, str] = {
         SELECT *, nullif(o_custkey, 0) AS customer,
                row_number() OVER (PARTITION BY nullif(o_custkey, 0) ORDER BY o_orderkey) AS rn FROM orders)
         WHERE rn = 1""",
+    "dedupe_null_order": """SELECT user_id, event_type,
+        min(event_id) FILTER (WHERE user_id % 3 <> 0) AS place,
+        CASE WHEN user_id % 3 <> 0 THEN min(event_id) ELSE user_id END AS kept_value
+        FROM events GROUP BY user_id, event_type""",
     "dedupe_counts": f"""SELECT count(*) AS total_rows, count(DISTINCT hostname) AS unique_rows,
         count(*) - count(DISTINCT hostname) AS duplicate_rows FROM ({RECORDS_A})""",
     "hostname_collisions": f"""SELECT substring(full_name, 1, 15) AS hostname,
@@ -333,15 +354,16 @@ ORACLES: dict[str, str] = {
         FROM documents""",
     "parse_iso_date": f"""SELECT o_orderkey, text, strftime({moment('text')}, '%Y-%m-%d %H:%M:%S.%g') AS moment
         FROM (SELECT o_orderkey, {fx.DATE_VARIANTS} AS text FROM orders)""",
-    "seconds_to_duration": f"""SELECT seconds, CASE WHEN seconds IS NULL OR seconds = 0 THEN 'N/A'
-        WHEN seconds < 0 THEN '0s' ELSE concat_ws(' ',
+    "seconds_to_duration": f"""SELECT seconds, {_duration('seconds')} AS duration,
+        {_duration('seconds')} AS duration_int, {_duration('seconds')} AS duration_double,
+        CASE WHEN seconds < 0 THEN '0s' ELSE concat_ws(' ',
             CASE WHEN {_hours} > 0 THEN CAST({_hours} AS VARCHAR) || 'h' END,
             CASE WHEN {_minutes} > 0 THEN CAST({_minutes} AS VARCHAR) || 'm' END,
-            CASE WHEN {_rest} > 0 THEN CAST({_rest} AS VARCHAR) || 's' END) END AS duration
+            CAST({_rest} AS VARCHAR) || '.5s') END AS duration_half
         FROM (SELECT {fx.SECONDS} AS seconds FROM lineitem)""",
-    "format_bytes": f"""SELECT bytes, CASE WHEN bytes < 1024 THEN CAST(bytes AS VARCHAR) || '.00 B'
-        WHEN bytes < 1048576 THEN {_size(1, 'KB')} WHEN bytes < 1073741824 THEN {_size(2, 'MB')}
-        ELSE {_size(3, 'GB')} END AS text FROM (SELECT {fx.BYTES} AS bytes FROM lineitem)""",
+    "format_bytes": f"""SELECT bytes, {_text_of_bytes('bytes')} AS text, {_text_of_bytes('(bytes % 2147483648)')} AS text_int,
+        {_text_of_bytes('bytes')} AS text_double, {_text_of_quarters('(bytes % 1099511627776) * 4 + 1')} AS text_quarter
+        FROM (SELECT {fx.BYTES} AS bytes FROM lineitem)""",
     "validate_devices": _errors(
         "event_id",
         f"""SELECT event_id, CASE WHEN json_valid(record) THEN record END AS r,
@@ -392,6 +414,7 @@ ORACLES: dict[str, str] = {
         max(event_id) AS last_event, count(DISTINCT user_id) AS users FROM (
         SELECT event_id, user_id, row_number() OVER (ORDER BY event_id) - 1 AS i FROM events) GROUP BY i // 100""",
     "log_json_lines": _log,
+    "recent_logs_stored": f"""SELECT line FROM ({_log}) WHERE event_id % 2 = 1 ORDER BY event_id DESC LIMIT 50""",
     "recent_logs": f"SELECT * FROM ({_log}) ORDER BY event_id DESC LIMIT 50",
     "log_dataset": """SELECT CASE event_type WHEN 'error' THEN 'ERROR' WHEN 'view' THEN 'DEBUG' ELSE 'INFO' END AS level,
         count(*) AS n, min(strftime(ts, '%Y-%m-%dT%H:%M:%S.%g') || 'Z') AS first_seen,

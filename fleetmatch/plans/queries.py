@@ -178,6 +178,16 @@ def dedupe_first_wins(spark, sf_dir):
     return first_wins(orders, ["customer"], "o_orderkey")
 
 
+@query
+def dedupe_null_order(spark, sf_dir):
+    """The first event of each user and type; users divisible by 3 have no order at all."""
+    events = fx.table(spark, sf_dir, "events").select(
+        "user_id", "event_type", F.when(F.col("user_id") % 3 != 0, F.col("event_id")).alias("place.of row"),
+        F.when(F.col("user_id") % 3 != 0, F.col("event_id")).otherwise(F.col("user_id")).alias("kept.value"))
+    first = first_wins(events, ["user_id", "event_type"], "place.of row")
+    return first.toDF("user_id", "event_type", "place", "kept_value")
+
+
 @query
 def dedupe_counts(spark, sf_dir):
     return duplicate_counts(parse_rows(fx.export_a(spark, sf_dir), SPEC_A)[0], ["hostname"])
@@ -391,13 +401,23 @@ def parse_iso_date_(spark, sf_dir):
 @query
 def seconds_to_duration_(spark, sf_dir):
     rows = fx.derived(spark, sf_dir, "lineitem", {"seconds": fx.SECONDS})
-    return rows.select("seconds", seconds_to_duration(F.col("seconds")).alias("duration"))
+    seconds = F.col("seconds")
+    return rows.select(
+        "seconds", seconds_to_duration(seconds).alias("duration"),
+        seconds_to_duration(seconds.cast("int")).alias("duration_int"),
+        seconds_to_duration(seconds.cast("double")).alias("duration_double"),
+        seconds_to_duration(seconds + F.lit(0.5)).alias("duration_half"))
 
 
 @query
 def format_bytes_(spark, sf_dir):
     rows = fx.derived(spark, sf_dir, "lineitem", {"bytes": fx.BYTES})
-    return rows.select("bytes", format_bytes(F.col("bytes")).alias("text"))
+    size = F.col("bytes")
+    return rows.select(
+        "bytes", format_bytes(size).alias("text"),
+        format_bytes((size % (1 << 31)).cast("int")).alias("text_int"),
+        format_bytes(size.cast("double")).alias("text_double"),
+        format_bytes((size % (1 << 40)) + F.lit(0.25)).alias("text_quarter"))
 
 
 # --- validation and nested data ----------------------------------------------
@@ -518,11 +538,21 @@ def recent_logs(spark, sf_dir):
     return recent(log, "event_id", lines=50)
 
 
+@query
+def recent_logs_stored(spark, sf_dir):
+    """The last lines of a log stored in two appends of several part files."""
+    path = scratch_path(spark, "log")
+    lines = event_log_lines(spark, sf_dir).withColumn("late", F.col("event_id") % 2 == 1)
+    for late in (False, True):
+        append_log(lines.where(F.col("late") == late).select("event_id", "line"), path, f"run-{int(late)}", "event_id")
+    return recent(read_log(spark, path), "line_order", lines=50).select(F.col("value").alias("line"))
+
+
 @query
 def log_dataset(spark, sf_dir):
     """Write the log lines, read the dataset back, and count by level."""
     path = scratch_path(spark, "log")
-    append_log(event_log_lines(spark, sf_dir).select("line"), path)
+    append_log(event_log_lines(spark, sf_dir).select("line"), path, "run-0")
     log = read_log(spark, path)
     return log.groupBy("level").agg(
         F.count(F.lit(1)).alias("n"),

@@ -55,6 +55,10 @@ def read_export(spark: SparkSession, path: str) -> Export:
     if first is None:
         raise ValueError(EMPTY_EXPORT)
     header = first["value"]
+    # Spark's reader takes a line of other blanks than ASCII's for the header.
+    leading = text.where((F.col("_metadata.file_block_start") == 0) & (F.trim("value") != "")).select("value").first()
+    if leading["value"] != header:
+        return _without_headers(text)
     lines = (
         spark.read.schema(T.StructType([T.StructField(header, T.StringType())]))
         .option("header", True).option("enforceSchema", False).option("mode", "FAILFAST")
@@ -76,15 +80,42 @@ def read_export(spark: SparkSession, path: str) -> Export:
     return Export(header, lines)
 
 
+def _without_headers(text: DataFrame) -> Export:
+    """The export from plain lines: of each file, the first line that is not blank is the header.
+
+    One row per file is gathered and broadcast.
+    """
+    lines = text.where(~is_blank(F.col("value"))).select("value", F.struct(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("split"),
+        F.monotonically_increasing_id().alias("line"),
+    ).alias("row_order"))
+    headers = lines.groupBy(F.col("row_order.file").alias("file")).agg(
+        F.min("row_order").alias("header_order"), F.min_by("value", "row_order").alias("header"))
+    found = headers.agg(F.min("header"), F.max("header")).first()
+    if found[0] != found[1]:
+        raise ValueError("the files of an export must have the same header")
+    data = (lines.join(F.broadcast(headers), F.col("row_order.file") == F.col("file"))
+            .where(F.col("row_order") != F.col("header_order")).select("value", "row_order"))
+    if data.isEmpty():
+        raise ValueError(EMPTY_EXPORT)
+    return Export(found[0], data)
+
+
 def split_header(raw_lines: DataFrame, order: str) -> Export:
     """The same for any DataFrame of lines (value and an order column).
 
-    The header is the first non-blank line, found with a top-1 per partition.
+    The header is the first non-blank line, found with a top-1 per partition. No
+    order value may be missing, nor the header's be repeated: no other line may
+    be taken for it.
     """
     kept = raw_lines.where(~is_blank(F.col("value"))).select("value", F.col(order).alias("row_order"))
     first = kept.orderBy("row_order").first()
     if first is None:
         raise ValueError(EMPTY_EXPORT)
+    unclear = kept.where(F.col("row_order").isNull() | (F.col("row_order") == F.lit(first["row_order"])))
+    if unclear.limit(2).count() > 1 or first["row_order"] is None:
+        raise ValueError(f"{order}: a value is missing, or the header's is repeated")
     lines = kept.where(F.col("row_order") > F.lit(first["row_order"]))
     if lines.isEmpty():
         raise ValueError(EMPTY_EXPORT)

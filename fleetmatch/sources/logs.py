@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetmatch.functions import is_blank
+from fleetmatch.operators.projection import quoted
 
 BASE_FIELDS = ("timestamp", "level", "message")
 
@@ -21,24 +23,42 @@ def log_line(timestamp: Column, level: Column, message: Column,
     return F.to_json(entry, {"ignoreNullFields": "false"})
 
 
-def append_log(lines: DataFrame, path: str) -> None:
-    """``lines`` has one string column with a JSON object per row."""
-    lines.write.mode("append").text(path)
+def append_log(lines: DataFrame, path: str, append_id: str, *order: str, line: str | None = None) -> None:
+    """Write one append; a repeated ``append_id`` replaces what it wrote before.
+
+    The JSON objects are in the column ``line``, by default the only column that
+    is not in ``order``. Appends sort by their ids, so use the run's time. With
+    ``order`` the lines are range-sorted into the part files, and the log reads
+    back in that order; without it the lines stay as they are partitioned.
+    """
+    names = [name for name in lines.columns if name not in order]
+    if line is None and len(names) != 1:
+        raise ValueError(f"which of {names} is the line?")
+    if order:
+        lines = lines.repartitionByRange(*order).sortWithinPartitions(*order)
+    lines.select(quoted(line or names[0])).write.mode("overwrite").text(os.path.join(path, f"append_id={append_id}"))
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
-    """timestamp, level, message, extra map, and line_order for ``recent``."""
+    """timestamp, level, message, extra map, and line_order for ``recent``.
+
+    A line's place is its append, the number of its part file, the split and the
+    line in it; when the files were finished does not matter.
+    """
     fields = F.from_json("value", "map<string,string>")
+    part = F.regexp_extract(F.col("_metadata.file_name"), r"part-(\d+)", 1).try_cast("int")
     return (
-        spark.read.option("lineSep", "\n").text(path)
+        spark.read.option("lineSep", "\n").option("basePath", path)
+        .schema("value string, append_id string").text(path)
         .where(~is_blank(F.col("value")))
         .select(
             *[fields[name].alias(name) for name in BASE_FIELDS],
             F.map_filter(fields, lambda name, _: ~name.isin(*BASE_FIELDS)).alias("extra"),
             "value",
             F.struct(
-                F.col("_metadata.file_modification_time").alias("written"),
-                F.col("_metadata.file_path").alias("file"),
+                F.col("append_id"),
+                part.alias("part"),
+                F.col("_metadata.file_name").alias("file"),
                 F.col("_metadata.file_block_start").alias("split"),
                 F.monotonically_increasing_id().alias("line"),
             ).alias("line_order"),

@@ -6,7 +6,7 @@ import pytest
 
 from fleetmatch.operators.inventory import parse_inventory
 from fleetmatch.schemas import endpoint_inventory, remote_inventory
-from fleetmatch.sources.delimited import EMPTY_EXPORT, read_export, resolve_layout
+from fleetmatch.sources.delimited import EMPTY_EXPORT, read_export, resolve_layout, split_header
 
 RUN_TS = datetime(2024, 1, 31, 12)
 ROWS = [("wks-1", "Windows 11", "10.0.0.1"), ("WKS-2.corp", "ubuntu", " 10.0.0.2 ")]
@@ -128,3 +128,24 @@ def test_many_splits_keep_file_order(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", size)
     assert {r["hostname"]: r["description"] for r in got} == {f"WKS-{i}": f"row {i}" for i in range(500)}
     assert {r["source_rows"] for r in got} == {rows // 500}
+
+
+def test_blank_unicode_lines_before_the_header(spark, tmp_path):
+    folder = tmp_path / "export"
+    folder.mkdir()
+    (folder / "a.csv").write_text("\u00a0\n\u2003\nhostname,os\nh1,x\n\nhostname,os\n", encoding="utf-8")
+    (folder / "b.csv").write_text("hostname,os\nh2,y\n", encoding="utf-8")
+    export = read_export(spark, str(folder))
+    assert export.header == "hostname,os"
+    rows = [row.value for row in export.lines.orderBy("row_order").collect()]
+    assert rows == ["h1,x", "hostname,os", "h2,y"]
+    (folder / "c.csv").write_text("name,os\nh2,y\n", encoding="utf-8")
+    with pytest.raises(ValueError, match="same header"):
+        read_export(spark, str(folder))
+
+
+def test_unclear_order_of_lines_is_refused(spark):
+    for orders in ([1, 1, 2], [None, 1, 2], [None, None]):
+        lines = spark.createDataFrame([(f"line {i}", o) for i, o in enumerate(orders)], "value string, place int")
+        with pytest.raises(ValueError, match="place"):
+            split_header(lines, "place")

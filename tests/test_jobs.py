@@ -1,3 +1,4 @@
+import os
 """Imports, coverage, exports and the event log over a store."""
 
 from datetime import datetime
@@ -162,7 +163,22 @@ def test_log_dataset_tail(spark, tmp_path):
     for part in range(3):
         lines = spark.range(part * 10, part * 10 + 10, 1, 1).selectExpr(
             """to_json(named_struct('timestamp', 't', 'level', 'INFO', 'message', concat('m', id), 'k', id)) AS line""")
-        append_log(lines, path)
+        append_log(lines, path, f"2024-01-0{part + 1}")
     last = recent(read_log(spark, path), "line_order", lines=3).collect()
     assert [row.message for row in last] == ["m27", "m28", "m29"]
     assert last[0].extra == {"k": "27"}
+
+
+def test_log_tail_does_not_depend_on_when_files_were_finished(spark, tmp_path):
+    path = str(tmp_path / "log")
+    for append in (1, 0):  # the later append is written first
+        lines = spark.range(append * 8, append * 8 + 8).repartition(4).selectExpr(
+            "id", "to_json(named_struct('message', concat('t', lpad(id, 3, '0')))) AS line")
+        append_log(lines, path, f"run-{append}", "id")
+    append_log(spark.range(8, 16).selectExpr(
+        "id", "to_json(named_struct('message', concat('t', lpad(id, 3, '0')))) AS line"), path, "run-1", "id")
+    for age, file in enumerate(sorted((tmp_path / "log").rglob("part-*"), reverse=True)):
+        os.utime(file, (10 ** 9 + age, 10 ** 9 + age))
+    log = read_log(spark, path)
+    assert log.count() == 16
+    assert [row.message for row in recent(log, "line_order", lines=3).collect()] == ["t013", "t014", "t015"]

@@ -3,6 +3,7 @@ import json
 from pyspark.sql import functions as F
 
 from fleetmatch.operators.coverage import coverage_metrics, coverage_summary, delete_keys, stale_keys, upsert
+from fleetmatch.operators.dedupe import first_wins
 from fleetmatch.operators.nested import flatten
 from fleetmatch.operators.validate import validate_contacts, validate_devices, validate_sessions
 from fleetmatch.schemas import endpoint_inventory, remote_inventory
@@ -97,3 +98,10 @@ def test_devices(spark):
     got = validate_devices(spark.createDataFrame(texts, "i int, record string"), "record").orderBy("i").collect()
     assert [row.errors for row in got[:len(cases)]] == [expected for _, expected in cases]
     assert [row.errors for row in got[len(cases):]] == [["Record is not a JSON object"]] * 4
+
+
+def test_first_wins_without_an_order_and_with_odd_names(spark):
+    rows = spark.createDataFrame([("a", None, "x"), ("b", None, "y"), ("b", 2, "z"), ("c", 2, "v"), ("c", 1, "w")],
+                                 "`the.key` string, `kept.order` int, kept string")
+    found = sorted(tuple(row) for row in first_wins(rows, ["the.key"], "kept.order").collect())
+    assert found == [("a", None, "x"), ("b", 2, "z"), ("c", 1, "w")]
