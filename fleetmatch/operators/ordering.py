@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fleetmatch.operators.projection import quoted
 from fleetmatch.session import scratch_path
 
 PART = "order_part"
@@ -23,17 +24,21 @@ _PLACE_BITS = 33  # monotonically_increasing_id keeps the row number in the low
 
 
 def _tie_breaker(df: DataFrame) -> Column:
-    """A hash of the row; range partitioning cannot split rows with equal keys."""
+    """A hash of the row; range partitioning cannot split rows with equal keys.
+
+    The row's number in its partition is hashed with it, so that equal rows, which
+    are interchangeable, have different ties too.
+    """
     hashable = [field.name for field in df.schema.fields
                 if not any(kind in field.dataType.simpleString() for kind in ("map<", "variant"))]
-    return F.xxhash64(*[F.col("`" + name.replace("`", "``") + "`") for name in hashable])
+    return F.xxhash64(*map(quoted, hashable), F.monotonically_increasing_id())
 
 
 def range_sorted(df: DataFrame, order: Sequence[str], unique: bool = False) -> DataFrame:
     """Rows sorted over all partitions, with partition number and place in it.
 
-    Rows that are equal in ``order`` are put in the order of a row hash, which
-    spreads them over partitions; ``unique`` says that there are none. The
+    Rows that are equal in ``order`` are put in the order of a hash, which spreads
+    them over partitions; ``unique`` says that there are none. The
     result is a table written to the shared folder, because several
     branches read it and must see the same partition bounds, also after an
     executor is lost; each branch reads only the columns it needs.

@@ -57,21 +57,28 @@ class CoverageJobs:
         self.spec_a = spec_a or remote_inventory()
         self.spec_b = spec_b or endpoint_inventory()
 
-    def _log(self, counts: list[tuple[str, str, str, int]], run_ts: datetime, run_id: str) -> None:
+    def _log(self, table: str, counts: list[tuple[str, str, str, int]], run_ts: datetime, run_id: str) -> None:
+        """The events of a run; they are written before its commit, and a retry replaces them."""
         names = ("system", "action", "noun", "records_processed")
         rows = F.array(*[
             F.struct(*[F.lit(value).alias(name) for name, value in zip(names, count)]) for count in counts])
-        table = self.spark.range(0, 1, 1, 1).select(F.inline(rows))
-        self.store.append(EVENTS_DATASET, event_rows(table, run_ts, run_id))
+        rows_of_counts = self.spark.range(0, 1, 1, 1).select(F.inline(rows))
+        self.store.append(EVENTS_DATASET, f"{run_id}-{table}", event_rows(rows_of_counts, run_ts, run_id))
 
     def sync(self, source: str | Export, spec: InventorySpec, run_ts: datetime, min_rows: int = 0) -> SyncResult:
         """Make the stored inventory equal to the export: stale hosts go, the rest is replaced.
 
         The export is parsed once, into the new run; all counts come from that
         copy. An export without a usable row empties the inventory unless
-        ``min_rows`` refuses it.
+        ``min_rows`` refuses it. A retry with the same time finds what was
+        committed and does not import it again.
         """
         run_id = run_id_of(run_ts)
+        done = self.store.committed_rows(spec.table, run_id)
+        if done is not None:
+            stale = self.events().where((F.col("run_id") == run_id) & (F.col("system") == spec.label)
+                                        & (F.col("action") == "delete_stale")).agg(F.sum("records_processed")).first()
+            return SyncResult(done, stale[0] or 0)
         export = read_export(self.spark, source) if isinstance(source, str) else source
         previous = self.store.read(spec.table, spec.schema)
         current = self.store.stage(spec.table, run_id, parse_inventory(export, spec, run_ts), spec.schema)
@@ -79,22 +86,25 @@ class CoverageJobs:
         if imported < min_rows:
             raise ValueError(f"{spec.table}: {imported} hosts in the export, at least {min_rows} expected")
         stale = stale_keys(previous, current).count()
+        self._log(spec.table, [(spec.label, "delete_stale", spec.noun, stale),
+                               (spec.label, "import", spec.noun, imported)], run_ts, run_id)
         self.store.commit(spec.table, run_id, imported)
-        self._log([(spec.label, "delete_stale", spec.noun, stale),
-                   (spec.label, "import", spec.noun, imported)], run_ts, run_id)
         return SyncResult(imported, stale)
 
     def calculate_coverage(self, run_ts: datetime) -> int:
         """Match the current inventories and make the result the current coverage."""
         run_id = run_id_of(run_ts)
+        done = self.store.committed_rows(COVERAGE_TABLE, run_id)
+        if done is not None:
+            return done
         matched = match_coverage(
             self.store.read(self.spec_a.table, self.spec_a.schema),
             self.store.read(self.spec_b.table, self.spec_b.schema),
             self.spec_a, self.spec_b, run_ts,
         )
         devices = self.store.stage(COVERAGE_TABLE, run_id, matched, COVERAGE_SCHEMA).count()
+        self._log(COVERAGE_TABLE, [("Coverage", "calculate", "devices", devices)], run_ts, run_id)
         self.store.commit(COVERAGE_TABLE, run_id, devices)
-        self._log([("Coverage", "calculate", "devices", devices)], run_ts, run_id)
         return devices
 
     def run(self, run_ts: datetime, export_a: str | Export | None = None,

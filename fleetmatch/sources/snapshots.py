@@ -87,7 +87,7 @@ class SnapshotStore:
         Counts and joins that follow read this copy, so the export is parsed once.
         """
         current = self.current_run(table)
-        if current is not None and run_id <= current:
+        if current is not None and run_id <= current:  # one that was not committed is written again
             raise ValueError(f"run {run_id} of {table} is not newer than the current run {current}")
         path = self._path(table, run_id)
         writer = rows.select(schema.fieldNames()).write.mode("overwrite")
@@ -104,8 +104,32 @@ class SnapshotStore:
             *[F.lit(value).cast(field.dataType).alias(field.name) for field, value in values])
         row.write.mode("append").parquet(f"{self.root}/commits")
 
-    def append(self, dataset: str, rows: DataFrame) -> None:
-        rows.write.mode("append").parquet(f"{self.root}/{dataset}")
+    def committed_rows(self, table: str, run_id: str) -> int | None:
+        """Rows of a committed run; None if it is not committed."""
+        found = self.commits().where((F.col("table_name") == table) & (F.col("run_id") == run_id)).first()
+        return found["rows"] if found else None
+
+    def append(self, dataset: str, append_id: str, rows: DataFrame) -> None:
+        """Add rows once: the same ``append_id`` again replaces them."""
+        rows.write.mode("overwrite").parquet(f"{self.root}/{dataset}/append_id={append_id}")
 
     def read_appended(self, dataset: str, schema: T.StructType) -> DataFrame:
-        return self._existing(f"{self.root}/{dataset}", schema)
+        return self._existing(f"{self.root}/{dataset}", schema).select(schema.fieldNames())
+
+    def expire(self, table: str, keep: int) -> list[str]:
+        """Delete all committed runs of a table but the last ``keep``; returns the runs deleted.
+
+        Their commit rows stay, as the history of what was loaded.
+        """
+        if keep < 1:
+            raise ValueError("at least the current run has to stay")
+        runs = [row["run_id"] for row in self.commits().where(F.col("table_name") == table)
+                .select("run_id").distinct().orderBy(F.desc("run_id")).collect()]  # one row per run
+        gone = []
+        for run_id in runs[keep:]:
+            folder = self.spark._jvm.org.apache.hadoop.fs.Path(self._path(table, run_id))
+            system = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
+            self.spark.sql(f"DROP TABLE IF EXISTS {self._catalog_name(table, run_id)}")
+            if system.delete(folder, True):
+                gone.append(run_id)
+        return gone

@@ -111,7 +111,7 @@ def test_a_failed_run_leaves_the_snapshot(jobs, tmp_path):
     assert jobs.store.current_run("inventory_a") == "20240101T000000000000"
     assert jobs.store.read("inventory_a", jobs.spec_a.schema).count() == 2
     with pytest.raises(ValueError, match="not newer"):
-        jobs.sync(file_a(tmp_path, "p1"), jobs.spec_a, DAY[0])
+        jobs.sync(file_a(tmp_path, "p1"), jobs.spec_a, DAY[0].replace(year=2023))
 
 
 def test_systems_by_name(spark, tmp_path):
@@ -182,3 +182,25 @@ def test_log_tail_does_not_depend_on_when_files_were_finished(spark, tmp_path):
     log = read_log(spark, path)
     assert log.count() == 16
     assert [row.message for row in recent(log, "line_order", lines=3).collect()] == ["t013", "t014", "t015"]
+
+
+def test_a_failed_run_can_be_tried_again(jobs, tmp_path):
+    a, b = file_a(tmp_path, "h1", "h2"), file_b(tmp_path, "h2", "h3")
+    with pytest.raises(Exception):
+        jobs.run(DAY[0], a, str(tmp_path / "missing.csv"))
+    assert jobs.run(DAY[0], a, b) == 3
+    once = sorted(tuple(e) for e in jobs.events().collect())
+    assert [e[1:3] for e in once] == [("Coverage", "calculate"), ("Endpoint", "import"), ("Remote", "import")]
+    assert jobs.run(DAY[0], a, b) == 3
+    assert sorted(tuple(e) for e in jobs.events().collect()) == once
+    assert jobs.sync(a, jobs.spec_a, DAY[0]).imported == 2
+
+
+def test_old_runs_expire(jobs, tmp_path):
+    for day in DAY[:3]:
+        jobs.run(day, file_a(tmp_path, "h1", "h2"))
+    table = jobs.spec_a.table
+    assert len(jobs.store.expire(table, keep=2)) == 1 and jobs.store.expire(table, keep=2) == []
+    assert jobs.store.read(table, jobs.spec_a.schema).count() == 2
+    with pytest.raises(ValueError):
+        jobs.store.expire(table, keep=0)

@@ -158,3 +158,16 @@ def test_function_may_change_the_number_of_rows(spark):
     schema = T.StructType([T.StructField("i", T.LongType())])
     got = map_batches(spark.range(25).withColumnRenamed("id", "i"), doubled, schema, ["i"], size=10)
     assert sorted(r.i for r in got.collect()) == sorted(list(range(25)) * 2)
+
+
+def test_equal_rows_are_spread_too(spark):
+    rows = spark.range(90000).selectExpr("IF(id % 3 = 0, id, -1L) AS k", "'same' AS v")
+    enabled = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    try:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        sizes = [r["count"] for r in range_sorted(rows, ["k"]).groupBy("order_part").count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", enabled)
+    assert len(sizes) == 8 and sum(sizes) == 90000 and max(sizes) < 3 * 90000 / len(sizes)
+    indexed = with_row_index(rows, ["k"])
+    assert indexed.agg({"row_index": "max"}).first()[0] == 89999 and indexed.select("row_index").distinct().count() == 90000
