@@ -2,6 +2,7 @@
 
 from fleetmatch.functions.convert import (
     format_bytes,
+    is_date,
     is_iso_date,
     parse_iso_date,
     percentage_text,
@@ -25,7 +26,7 @@ from fleetmatch.functions.text import (
 )
 
 __all__ = [
-    "capitalise", "format_bytes", "full_hostname", "is_blank", "is_iso_date", "normalize_email",
+    "capitalise", "format_bytes", "full_hostname", "is_blank", "is_date", "is_iso_date", "normalize_email",
     "normalize_hostname", "normalize_phone", "normalize_platform", "normalize_status",
     "normalize_string", "parse_iso_date", "percentage_text", "present", "seconds_to_duration",
     "trim", "trim_or_null",

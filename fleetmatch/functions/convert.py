@@ -44,6 +44,31 @@ def is_iso_date(text: Column) -> Column:
     return parse_iso_date(text).isNotNull()
 
 
+# The other forms of a date that are accepted: six-digit years and
+# hour 24 of the ISO form; slashes; day and month name in either order, with weekday, time and zone.
+_MONTH = "(jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)[a-z]*[.]?"
+_DAY = r"(0?[1-9]|[12]\d|3[01])"
+_MONTH_NUMBER = "(0?[1-9]|1[0-2])"
+_TIME = r"(\s+([01]?\d|2[0-3]):[0-5]\d(:[0-5]\d([.]\d+)?)?(\s*[ap]m)?(\s*(gmt|utc|ut|z)?([+-]\d{1,2}:?\d{2})?)?)?"
+_ISO_DAY = r"-(0[1-9]|1[0-2])-(0[1-9]|[12]\d|3[01])"
+DATE_FORMS = (
+    rf"\A(?!-000000)[+-]\d{{6}}({_ISO_DAY}(T([01]\d|2[0-3]):[0-5]\d(:[0-5]\d([.]\d+)?)?(Z|[+-]\d{{2}}:[0-5]\d)?)?)?\z",
+    rf"\A\d{{4}}{_ISO_DAY}T24:00(:00([.]0+)?)?(Z|[+-]\d{{2}}:[0-5]\d)?\z",
+    rf"(?i)\A\d{{4}}/{_MONTH_NUMBER}/{_DAY}{_TIME}\z",
+    rf"(?i)\A{_MONTH_NUMBER}/{_DAY}/\d{{4}}{_TIME}\z",
+    rf"(?i)\A([a-z]+,?\s+)?{_DAY}[\s-]+{_MONTH}[\s-]+\d{{4}}{_TIME}\z",
+    rf"(?i)\A([a-z]+,?\s+)?{_MONTH}\s+{_DAY},?\s+\d{{4}}{_TIME}\z",
+)
+
+
+def is_date(text: Column) -> Column:
+    """Whether a record's text counts as a date: ISO-8601 or one of ``DATE_FORMS``."""
+    known = is_iso_date(text)
+    for form in DATE_FORMS:
+        known = known | F.rlike(text, F.lit(form))
+    return known
+
+
 def seconds_to_duration(seconds: Column) -> Column:
     """``1h 1m 1s``; N/A for 0, NULL and NaN, 0s for negatives.
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fleetmatch.functions import is_iso_date
+from fleetmatch.functions import is_date
 from fleetmatch.operators.projection import select_once
 
 # Accepted shapes, and below the messages of each check. The space
@@ -66,9 +66,9 @@ def validate_sessions(df: DataFrame) -> DataFrame:
     return _with_errors(df, {
         "Session must have an id or sessionId": ~_given(df, "id") & ~_given(df, "sessionId"),
         "Session must have a valid startTime":
-            ~_given(df, "startTime") | ~is_iso_date(_text(df, "startTime")),
+            ~_given(df, "startTime") | ~is_date(_text(df, "startTime")),
         "Session endTime must be a valid date":
-            _given(df, "endTime") & ~is_iso_date(_text(df, "endTime")),
+            _given(df, "endTime") & ~is_date(_text(df, "endTime")),
     })
 
 
@@ -113,7 +113,7 @@ def validate_devices(df: DataFrame, record: str) -> DataFrame:
         "Device name must be a string": is_record & given("name") & (kind("name") != "STRING"),
         "Device isOnline must be a boolean": is_record & (kind("isOnline") != "BOOLEAN"),
         "Device lastActivity must be a valid date":
-            is_record & given("lastActivity") & ~is_iso_date(text("lastActivity")),
+            is_record & given("lastActivity") & ~is_date(text("lastActivity")),
     })
     return checked.select(*names, "errors", "valid")
 

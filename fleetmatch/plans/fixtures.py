@@ -136,6 +136,18 @@ SESSIONS = {
     "endTime": DATE_VARIANTS.replace("o_orderkey % 12", "(o_orderkey + o_custkey) % 12"),
 }
 
+# Texts of dates in many forms, and whether a record with one is valid.
+DATE_FORMS = (
+    ("Fri, 05 Jan 2024 10:00:00 GMT", True), ("5 January 2024", True), ("05-Jan-2024 10:00", True),
+    ("Jan 5, 2024", True), ("Monday, Sept. 9, 2024 9:15 pm", True), ("Jan 5 2024 10:00:00 +0130", True),
+    ("2024/01/05", True), ("2024/1/5 23:59:59.5", True), ("12/31/2024", True), ("2024-01-05T24:00:00Z", True),
+    ("+012024-01-01T00:00:00Z", True), ("-000044-03-15", True), ("-000000-01-01", False), ("2024-01-05T24:01:00Z", False),
+    ("2024/13/01", False), ("31/12/2024", False), ("Foo 5, 2024", False), ("Jan 32, 2024", False), ("5 Jan", False),
+    ("2024/01/05 25:00", False), ("tomorrow", False), ("+12024-01-01", False), ("Jan 5, 2024 10:61", False),
+)
+ANY_DATE = "CASE o_orderkey % {} {} END".format(
+    len(DATE_FORMS), " ".join(f"WHEN {i} THEN '{text}'" for i, (text, _) in enumerate(DATE_FORMS)))
+
 DEVICE_JSON = """CASE event_id % 9
     WHEN 0 THEN '{"id": "' || CAST(event_id AS STRING) || '", "name": "dev", "isOnline": true, '
         || '"lastActivity": "' || CAST(CAST(ts AS DATE) AS STRING) || 'T10:00:00Z"}'

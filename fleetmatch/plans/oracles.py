@@ -393,6 +393,10 @@ ORACLES: dict[str, str] = {
         ("Session endTime must be a valid date",
          f"\"endTime\" <> '' AND ({moment(chr(34) + 'endTime' + chr(34))}) IS NULL"),
     ),
+    "validate_date_forms": f"""SELECT o_orderkey,
+        o_orderkey % {len(fx.DATE_FORMS)} IN ({', '.join(str(i) for i, (_, ok) in enumerate(fx.DATE_FORMS) if ok)}) AS valid,
+        CASE WHEN o_orderkey % {len(fx.DATE_FORMS)} IN ({', '.join(str(i) for i, (_, ok) in enumerate(fx.DATE_FORMS) if ok)})
+            THEN '' ELSE 'Session must have a valid startTime' END AS errors FROM orders""",
     "flatten_props": """SELECT event_id, user_id AS actor_user_id, event_type AS actor_type_name,
         CAST(json_extract_string(props, '$.k') AS INTEGER) AS props_k, 'first' AS actor_user,
         'second' AS pair_user, CAST(user_id AS VARCHAR) || ',' || CAST(event_id AS VARCHAR) AS pair_ids

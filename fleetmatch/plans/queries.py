@@ -426,6 +426,13 @@ def rendered(validated: DataFrame, key: str) -> DataFrame:
     return validated.select(key, "valid", F.concat_ws("; ", "errors").alias("errors"))
 
 
+@query
+def validate_date_forms(spark, sf_dir):
+    """Sessions whose start is written in one of many forms, valid and not."""
+    rows = fx.derived(spark, sf_dir, "orders", {"o_orderkey": "o_orderkey", "id": "1", "startTime": fx.ANY_DATE})
+    return rendered(validate_sessions(rows), "o_orderkey")
+
+
 @query
 def validate_devices_(spark, sf_dir):
     rows = fx.derived(spark, sf_dir, "events", {"event_id": "event_id", "record": fx.DEVICE_JSON})
