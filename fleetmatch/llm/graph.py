@@ -29,7 +29,7 @@ def components(edges: DataFrame) -> DataFrame:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         lowest = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("low"))
         large = both.filter("b > a").join(lowest, "a").select(F.col("b").alias("a"), F.col("low").alias("b"))
-        large = stored(large.distinct(), "edges")
+        large = large.distinct()
         lowest = large.groupBy("a").agg(F.min("b").alias("low"))
         small = (large.join(lowest, "a").filter("b <> low").select(F.col("b").alias("a"), F.col("low").alias("b"))
                  .unionByName(lowest.select("a", F.col("low").alias("b"))))

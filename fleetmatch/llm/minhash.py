@@ -221,7 +221,8 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     ``members``: ``row``, ``id``, ``node`` (the smallest row with that text),
     ``class_row`` (the smallest node of the class). ``links``: ``a``, ``b``,
-    ``similarity`` of pairs of nodes found similar. ``rows``: ``row`` and the
+    ``similarity`` of the pairs of nodes whose links make the classes; pairs
+    already joined by others are not among them. ``rows``: ``row`` and the
     columns of ``df`` as ``_0``, ``_1``, ...
     """
     number, frequencies = count_features(pick(df, {"text": text_col}))
@@ -243,11 +244,12 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         placed = shared.join(classes, "node")
         mixed_buckets = (placed.groupBy("band", "bucket")
                          .agg(F.min("component").alias("low"), F.max("component").alias("high"),
-                              F.min_by("node", F.xxhash64("node", F.lit(turn))).alias("leader"))
+                              F.min_by(F.struct("node", "component"), F.xxhash64("node", F.lit(turn))).alias("leader"))
                          .filter("low < high"))
         if turn < LEADER_ROUNDS:
             led = placed.join(mixed_buckets.select("band", "bucket", "leader"), ["band", "bucket"])
-            pairs = led.filter("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b"))
+            pairs = led.filter("component <> leader.component").select(
+                F.col("leader.node").alias("a"), F.col("node").alias("b"))
         else:
             open_rows = placed.join(mixed_buckets.select("band", "bucket"), ["band", "bucket"])
             other = open_rows.select("band", "bucket", F.col("node").alias("b"), F.col("component").alias("other"))
@@ -260,9 +262,13 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         found = stored(similar(pairs, texts, inverse, similarity), "links")
         links = found if links is None else links.unionByName(found)
         tested = pairs if tested is None else tested.unionByName(pairs)
-        known = components(links.select("a", "b"))
-        classes = stored(shared.select("node").distinct().join(known, "node", "left")
-                         .select("node", F.coalesce("component", "node").alias("component")), "classes")
+        # Only classes that the new links join are looked at again.
+        ends = found.join(classes.select(F.col("node").alias("a"), F.col("component").alias("low")), "a")
+        ends = ends.join(classes.select(F.col("node").alias("b"), F.col("component").alias("high")), "b")
+        joined = components(ends.select(F.col("low").alias("a"), F.col("high").alias("b")))
+        joined = joined.select(F.col("node").alias("component"), F.col("component").alias("root"))
+        classes = stored(classes.join(joined, "component", "left")
+                         .select("node", F.coalesce("root", "component").alias("component")), "classes")
 
     members = (signed.select("row", F.col(id_name).alias("id"), "key").join(nodes, "key")
                .join(classes.filter("node <> component"), "node", "left")
@@ -271,15 +277,11 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def duplicate_digest(df: DataFrame) -> DataFrame:
-    """One row per document: its class, by the smallest id in it, the class's size and the links of its text."""
-    members, links, _ = near_duplicates(df)
+    """One row per document: its class, by the smallest id in it, and the class's size."""
+    members, _, _ = near_duplicates(df)
     members = stored(members, "members")
     classes = members.groupBy("class_row").agg(F.min("id").alias("class_id"), F.count("*").alias("class_size"))
-    degrees = (links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node")))
-               .groupBy("node").agg(F.count("*").alias("n_links")))
-    return (members.join(classes, "class_row").join(degrees, "node", "left")
-            .select(F.col("id").alias("doc_id"), "class_id", "class_size",
-                    F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")))
+    return members.join(classes, "class_row").select(F.col("id").alias("doc_id"), "class_id", "class_size")
 
 
 def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -93,7 +93,7 @@ def test_a_large_group_and_a_common_passage(spark):
         f"{passage} " + " ".join(f"w{rng.randrange(10 ** 6)}" for _ in range(100)) for _ in range(300)]
     rows = by_id(minhash.duplicate_digest(documents(spark, list(enumerate(texts)))))
     assert all(rows[i][0][:2] == (0, 300) for i in range(300))
-    assert all(rows[i][0] == (i, 1, 0) for i in range(300, 600))
+    assert all(rows[i][0] == (i, 1) for i in range(300, 600))
 
 
 def test_classes_of_the_documents(spark, sf_dir):
@@ -107,8 +107,8 @@ def test_classes_of_the_documents(spark, sf_dir):
 def test_odd_rows(spark):
     docs = odd_documents(spark)
     rows = by_id(minhash.duplicate_digest(docs))
-    assert rows[1] == [(1, 3, 0)] * 2 and rows[None] == [(1, 3, 0)]
-    assert rows[2] == rows[3] == [(2, 2, 0)] and rows[5] == [(5, 1, 0)] and rows[4] == [(4, 1, 0)]
+    assert rows[1] == [(1, 3)] * 2 and rows[None] == [(1, 3)]
+    assert rows[2] == rows[3] == [(2, 2)] and rows[5] == [(5, 1)] and rows[4] == [(4, 1)]
     assert minhash.duplicate_digest(no_documents(spark)).count() == 0
     kept = minhash.keep_one(docs)
     assert kept.columns == docs.columns and kept.dtypes == docs.dtypes
