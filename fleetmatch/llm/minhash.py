@@ -10,7 +10,8 @@ Jaccard similarity; texts that agree in all samples of a band are candidates.
 Candidates become links only if their exact Jaccard similarity, weighted or of the
 plain sets, is at least ``SIMILARITY``. In a bucket each text is first compared with leaders, which
 already joins groups of copies without comparing all pairs in them. What then
-still lies in different classes of one bucket is compared pair by pair, so no
+still lies in different classes of one bucket is compared pair by pair; in large
+buckets an exact bound leaves out the pairs that cannot be similar. So no
 candidate goes unchecked that could join two classes. Classes are the connected
 components of equal texts and links, found by joins.
 
@@ -38,6 +39,8 @@ SIMILARITY = 0.8
 BANDS, ROWS = 20, 4
 FEATURE_BITS = 18      # buckets of the document frequencies
 LEADER_ROUNDS = 2
+CENTRAL_ROUNDS = 1     # of leaders in large buckets, chosen by how little they have of their own
+CROWD = 32             # nodes of a bucket from which pairs are ruled out before they are made
 
 _ELEMENT_BITS = 44     # of a shingle's hash; the other bits number the texts of a batch
 _DRAWS = 16            # bits of a shingle and sample that choose its random numbers
@@ -215,6 +218,78 @@ def similar(pairs: DataFrame, texts: DataFrame, inverse: np.ndarray, similarity:
     return joined.mapInArrow(run, "a bigint, b bigint, similarity double")
 
 
+def limits(texts: DataFrame, inverse: np.ndarray) -> DataFrame:
+    """What bounds the similarity of a node to any other of these texts.
+
+    ``weight`` and ``common`` are the weights of all its shingles and of those that
+    another text has as well, ``n`` and ``n_common`` their numbers.
+    """
+    shared = texts.sparkSession.sparkContext.broadcast(inverse)
+
+    def run(batches):
+        for batch in pieces(batches, "text"):
+            sets = shingle_sets(batch.column(1).to_pylist())
+            owners = np.repeat(batch.column(0).to_numpy(), np.diff(sets.first))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(owners), pa.array(sets.elements.astype(np.int64)), pa.array(weights_of(sets, shared.value))],
+                ["node", "element", "weight"])
+
+    shingles = texts.select("node", "text").mapInArrow(run, "node bigint, element bigint, weight double")
+    held = shingles.groupBy("element").agg(F.count("*").alias("held"))
+    is_common = F.col("held") > 1
+    return shingles.join(held, "element").groupBy("node").agg(
+        F.sum("weight").alias("weight"), F.sum(F.when(is_common, F.col("weight")).otherwise(0.0)).alias("common"),
+        F.count("*").alias("n"), F.count_if(is_common).alias("n_common"))
+
+
+def _can_be_similar(a: str, b: str, similarity: float):
+    """Whether two nodes with these limits can reach the similarity, by weight or by number of shingles.
+
+    They share at most the smaller of their common parts; a little is added for
+    sums of doubles in another order.
+    """
+    def reaches(common, weight):
+        most = F.least(F.col(f"{a}.{common}"), F.col(f"{b}.{common}")) * (1 + 1e-9)
+        return most >= similarity * (F.col(f"{a}.{weight}") + F.col(f"{b}.{weight}") - most)
+
+    return reaches("common", "weight") | reaches("n_common", "n")
+
+
+def _open(placed: DataFrame) -> DataFrame:
+    """The rows of buckets with several classes, with the bucket's size."""
+    buckets = placed.groupBy("band", "bucket").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size"))
+    return placed.join(buckets.filter("low < high").select("band", "bucket", "size"), ["band", "bucket"])
+
+
+def _led_pairs(rows: DataFrame, rank) -> DataFrame:
+    """Each row of a bucket with its leader, the node of the lowest rank, if that is in another class."""
+    leaders = rows.groupBy("band", "bucket").agg(
+        F.min_by(F.struct(F.col("node").alias("leader"), F.col("component").alias("led_by")), rank).alias("led"))
+    return (rows.join(leaders.select("band", "bucket", "led.*"), ["band", "bucket"]).filter("component <> led_by")
+            .select(F.col("leader").alias("a"), F.col("node").alias("b")))
+
+
+def _all_pairs(rows: DataFrame, limits: DataFrame, similarity: float) -> DataFrame:
+    """All pairs of one bucket and different classes that can be similar at all.
+
+    A bucket of up to ``CROWD`` nodes gives its pairs as they are. In a larger one
+    the limits of its nodes, which are exact, rule out pairs before they are made.
+    """
+    few = rows.filter(F.col("size") <= CROWD).select("band", "bucket", "node", "component")
+    other = few.select("band", "bucket", F.col("node").alias("b"), F.col("component").alias("other"))
+    pairs = few.join(other, ["band", "bucket"]).filter("component < other").select(F.col("node").alias("a"), "b")
+    crowd = rows.filter(F.col("size") > CROWD).join(limits, "node")
+    keys = crowd.groupBy("node").agg(F.sort_array(F.collect_list(F.struct("band", "bucket"))).alias("keys"))
+    crowd = crowd.join(keys, "node")  # at most one key per band
+    first_in_common = F.get(F.array_intersect("x.keys", "y.keys"), F.lit(0))
+    crowded = crowd.alias("x").join(
+        crowd.alias("y"), (F.col("x.band") == F.col("y.band")) & (F.col("x.bucket") == F.col("y.bucket"))
+        & (F.col("x.component") < F.col("y.component")) & _can_be_similar("x", "y", similarity)
+        & (first_in_common["band"] == F.col("x.band")))
+    return pairs.unionByName(crowded.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")))
+
+
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     similarity: float = SIMILARITY) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Three tables about the rows of ``df``.
@@ -240,21 +315,24 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     links, tested = None, None
     classes = shared.select("node").distinct().withColumn("component", F.col("node"))
-    for turn in range(LEADER_ROUNDS + 1):
-        placed = shared.join(classes, "node")
-        mixed_buckets = (placed.groupBy("band", "bucket")
-                         .agg(F.min("component").alias("low"), F.max("component").alias("high"),
-                              F.min_by(F.struct("node", "component"), F.xxhash64("node", F.lit(turn))).alias("leader"))
-                         .filter("low < high"))
+    bounds = None
+    for turn in range(LEADER_ROUNDS + CENTRAL_ROUNDS + 1):
+        rows = _open(shared.join(classes, "node"))
         if turn < LEADER_ROUNDS:
-            led = placed.join(mixed_buckets.select("band", "bucket", "leader"), ["band", "bucket"])
-            pairs = led.filter("component <> leader.component").select(
-                F.col("leader.node").alias("a"), F.col("node").alias("b"))
+            pairs = _led_pairs(rows, F.xxhash64("node", F.lit(turn)))
         else:
-            open_rows = placed.join(mixed_buckets.select("band", "bucket"), ["band", "bucket"])
-            other = open_rows.select("band", "bucket", F.col("node").alias("b"), F.col("component").alias("other"))
-            pairs = (open_rows.join(other, ["band", "bucket"]).filter("component < other")
-                     .select(F.col("node").alias("a"), "b"))
+            crowd = rows.filter(F.col("size") > CROWD)
+            if bounds is None:
+                bounds = limits(texts.join(crowd.select("node").distinct(), "node", "left_semi"), inverse)
+                # A text whose common part is too small for any partner is left out at once.
+                bounds = stored(bounds.filter((F.col("common") * (1 + 1e-9) >= similarity * F.col("weight"))
+                                              | (F.col("n_common") >= similarity * F.col("n"))), "limits")
+            if turn < LEADER_ROUNDS + CENTRAL_ROUNDS:
+                # The text with the least of its own is the likeliest to be what the others were made from.
+                own = F.struct(1 - F.col("common") / F.col("weight"), F.xxhash64("node", F.lit(turn)))
+                pairs = _led_pairs(crowd.join(bounds, "node"), own)
+            else:
+                pairs = _all_pairs(rows, bounds, similarity)
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
