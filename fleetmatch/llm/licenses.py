@@ -333,8 +333,8 @@ def scan_licenses(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """One row per row: ``id``, ``n_words`` and ``detections`` (start, end, label, rank, base) that stand."""
     rules = RULES if rules is None else rules
     keywords = sorted({rule.keyword for rule in rules})
-    # A keyword that contains another one need not be looked for.
-    keywords = [k for k in keywords if not any(other != k and other in k for other in keywords)]
+    # A keyword that contains another one from the beginning of a word need not be looked for.
+    keywords = [k for k in keywords if not any(other != k and f" {other}" in f" {k}" for other in keywords)]
     rows = pick(df, {"id": id_col, "text": text_col}).select("id", words_of(F.col("text")).alias("words"))
     words = F.col("words")
     gate = F.lit(False)

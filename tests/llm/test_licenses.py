@@ -1,5 +1,7 @@
 import random
 import re
+from itertools import islice, product
+from re import _constants as sre, _parser
 
 import pytest
 
@@ -83,3 +85,42 @@ def test_odd_rows(spark):
 def test_no_python_in_the_plan(spark):
     plan = licenses.license_digest(odd_documents(spark))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
+
+
+def samples(pattern):
+    """Texts that a rule's pattern matches: each alternative, with and without what is optional."""
+    def of(parts):
+        return ("".join(found) for found in product(*[list(one(*part)) for part in parts]))
+
+    def one(kind, value):
+        if kind is sre.LITERAL:
+            return [chr(value)]
+        if kind is sre.IN:
+            return [c for part in value for c in (["x"] if part[0] is sre.CATEGORY and part[1] is not sre.CATEGORY_DIGIT
+                                                  else one(*part))]
+        if kind is sre.CATEGORY:
+            return ["1"]
+        if kind is sre.SUBPATTERN:
+            return of(value[3])
+        if kind is sre.BRANCH:
+            return [text for branch in value[1] for text in of(branch)]
+        assert kind is sre.MAX_REPEAT, kind
+        least, most, inner = value
+        return [text * n for text in of(inner) for n in dict.fromkeys((least, min(most, least + 1)))]
+
+    return dict.fromkeys(islice(of(_parser.parse(pattern)), 64))
+
+
+def test_samples_match_their_rules():
+    for rule in licenses.RULES:
+        assert all(re.fullmatch(rule.pattern, text) for text in samples(rule.pattern))
+
+
+def test_the_gate_opens_for_every_rule(spark):
+    texts = sorted({next(iter(samples(rule.pattern))) for rule in licenses.RULES})
+    texts += ["libfoo: LGPL-2.1", "AGPLv3", "implied warranties of merchantability"]
+    docs = documents(spark, list(enumerate(texts)))
+    # The same texts where a word that no rule knows opens the gate.
+    opened = [*licenses.RULES, licenses.Rule(licenses.HINT, "none", "", "(?!)")]
+    gated, ungated = (by_id(licenses.scan_licenses(docs, rules=rules)) for rules in (licenses.RULES, opened))
+    assert gated == ungated and all(gated[i][0][1] for i in range(len(texts) - 3, len(texts)))
