@@ -10,7 +10,8 @@ neighbours: both agree, or the nearer one decides, and on a tie text wins. What
 in a menu, footer or advert has no say in that. An open block without any decided
 neighbour is text. Where the page marks its
 article, only blocks inside the mark can be text, and there an open block needs
-no neighbour.
+no neighbour; a mark inside a frame, or without text while there is text
+outside, is none.
 
 Character references are decoded, white space inside a block becomes one space,
 blocks are trimmed and joined in page order by a line feed. Nothing else is
@@ -181,7 +182,7 @@ def blocks_of(page: str) -> list[Block]:
         marks = name in ("article", "main") or 'itemprop="articlebody"' in attributes.lower()
         inside = article > 0 or marks
         # Inside the article a header element is the article's own heading.
-        frames = _frames(name, attributes) and not marks and not (inside and name == "header")
+        frames = _frames(name, attributes) and not (inside and name == "header")
         hides = name in HIDDEN
         stack.append((name, frames, marks, hides))
         opened[name] += 1
@@ -243,10 +244,14 @@ def settle(labels: list[int]) -> list[int]:
 def main_text(page: str | None) -> str:
     if not page:
         return ""
-    blocks = blocks_of(page)
-    marked = any(block.article for block in blocks)
-    blocks = [block for block in blocks if not block.framed and block.article == marked]
+    blocks = [block for block in blocks_of(page) if not block.framed]
     labels = [classify(block) for block in blocks]
+    marked = any(block.article for block in blocks)
+    if marked:
+        marked = TEXT not in labels or any(block.article and label == TEXT for block, label in zip(blocks, labels))
+    if marked:
+        labels = [label for block, label in zip(blocks, labels) if block.article]
+        blocks = [block for block in blocks if block.article]
     if marked:
         labels = [TEXT if label == OPEN else label for label in labels]
     return "\n".join(block.text for block, label in zip(blocks, settle(labels)) if label == TEXT)

@@ -58,3 +58,18 @@ def test_odd_rows(spark):
     assert found[1] == [("u", "a", 1)] * 2 and found[None] == [(None, "", 0)] and found[2] == [(None, "", 0)]
     assert found[3][0][2] == 299999
     assert html.page_digest(frame.limit(0)).count() == 0
+
+
+LONG = " ".join([SENTENCE] * 3)
+TEASER = "<article><h3>Other</h3><p>A teaser of another page that is on the side.</p></article>"
+
+
+@pytest.mark.parametrize("page, text", [
+    (f"<div><p>{LONG}</p><p>Short.</p></div><aside>{TEASER}</aside>", f"{LONG}\nShort."),
+    (f"<div><p>{LONG}</p></div><section class=comments><article><p>{SENTENCE}</p></article></section>", LONG),
+    (f"<div><p>{LONG}</p></div><article class='comment'><p>{SENTENCE}</p></article>", LONG),
+    (f"<div><p>{LONG}</p></div><article class='related'><p>{SENTENCE}</p></article>", LONG),
+    (f"<div><p>{LONG}</p></div><article><a href=x>More</a> <a href=y>of this</a></article>", LONG),
+])
+def test_marks_in_frames_are_none(page, text):
+    assert html.main_text(page) == text
