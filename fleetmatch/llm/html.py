@@ -1,7 +1,12 @@
 """Main text of web pages by two passes of block rules.
 
 A tolerant scanner turns the markup into blocks: text between block-level tags,
-with how much of it is links and which structural elements are around it. The
+with how much of it is links and which structural elements are around it. Words in
+class, id and role, and forms, frame an element only as far as its text agrees: one
+that holds most of the page's long blocks is no frame, nor is one inside the
+article that is mostly long blocks, nor a long paragraph; comments and adverts are
+frames unless the page has hardly anything else. The document, its body and
+headings are never framed by such words. The
 first pass classifies each block by itself: blocks inside menus, headers, footers,
 sidebars, forms, notices, adverts and comments, and blocks made of links, are
 boilerplate; blocks with enough words and stop words are text; short blocks stay
@@ -37,7 +42,9 @@ from fleetmatch.llm.common import pick, pieces
 HIDDEN = frozenset("script style noscript template svg math iframe object embed canvas audio video map head title "
                    "textarea select option datalist button".split())
 RAW = frozenset("script style textarea title iframe noscript".split())
-FRAME = frozenset("nav header footer aside form menu dialog fieldset".split())
+FRAME = frozenset("nav header footer aside menu dialog".split())
+SOFT_FRAME = frozenset("form fieldset".split())  # these also stand around whole pages
+NEVER_NAMED = frozenset("html body h1 h2 h3 h4 h5 h6".split())  # words in class, id and role say nothing about these
 BLOCK = frozenset("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption "
                   "figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol p pre "
                   "section summary table tbody td tfoot th thead tr ul caption br".split())
@@ -49,6 +56,11 @@ FRAME_WORDS = frozenset("""ad ads advert adverts advertisement advertising adver
     follow newsletter subscribe subscription signup login signin form search cookie cookies consent gdpr notice
     notices alert popup modal overlay comment comments disqus replies reply respond discussion pagination pager
     toolbar tags tagcloud copyright legal disclaimer complementary contentinfo skip""".split())
+# Of these, what can be long text and still not the article's.
+FIRM_WORDS = frozenset("""ad ads advert adverts advertisement advertorial sponsor sponsored promo promotion comment comments
+    disqus replies reply respond discussion""".split())
+# A name with one of these is about the state or the topic of what it names: has-sidebar, comments-open.
+STATE_WORDS = frozenset("has no not with without enabled disabled open closed on off category tag type format".split())
 # Frequent function words of the languages the rules know.
 STOP_WORDS = frozenset("""a an and are as at be been but by for from had has have he her his i if in into is it its
     me my no not of on or our she so that the their them then there these they this to was we were what when which
@@ -83,27 +95,49 @@ class Block:
     linked: int     # letters of it inside links
     framed: bool    # inside a menu, footer, advert, ...
     article: bool   # inside the mark of the article
+    frame: int = -1  # the innermost frame around it that its text can outvote
 
 
-def _frames(name: str, rest: str) -> bool:
+# What frames an element: nothing, its name or being hidden, or words that text can outvote.
+FREE, HARD, SOFT, FIRM, PARAGRAPH = range(5)
+
+
+@dataclass
+class Frame:
+    """An element that may be a frame, by its words."""
+
+    outer: int      # the next one around it
+    kind: int
+    inside: bool    # inside the mark of the article
+    dense: int = 0  # words in long blocks
+    words: int = 0
+
+
+def _frames(name: str, rest: str) -> int:
     if name in FRAME:
-        return True
+        return HARD
+    kind = SOFT if name in SOFT_FRAME else FREE
     for key, *values in _ATTRIBUTE.findall(rest):
         key, value = key.lower(), "".join(values).lower()
-        if key in ("class", "id", "role") and not FRAME_WORDS.isdisjoint(_NAME_WORDS(value)):
-            return True
+        if key in ("class", "id", "role") and name not in NEVER_NAMED:
+            for token in value.split():
+                words = _NAME_WORDS(token)
+                if STATE_WORDS.isdisjoint(words) and not FRAME_WORDS.isdisjoint(words):
+                    kind = max(kind, SOFT if FIRM_WORDS.isdisjoint(words) else FIRM)
         if key == "hidden" or (key == "aria-hidden" and value == "true") or (key == "style" and "display:none" in value.replace(" ", "")):
-            return True
-    return False
+            return HARD
+    return PARAGRAPH if kind and name == "p" else kind
 
 
 def blocks_of(page: str) -> list[Block]:
     """The blocks in page order; blank ones are left out."""
     found: list[Block] = []
+    frames_met: list[Frame] = []
+    frame = -1
     parts: list[str] = []
     linked = 0
-    # Open elements: name, whether it frames, whether it marks the article, whether it hides.
-    stack: list[tuple[str, bool, bool, bool]] = []
+    # Open elements: name, whether it frames, whether it marks the article, whether it hides, the frame around it.
+    stack: list[tuple[str, bool, bool, bool, int]] = []
     opened: Counter[str] = Counter()  # how many of each name the stack has
     framed = article = hidden = links = 0
 
@@ -112,7 +146,7 @@ def blocks_of(page: str) -> list[Block]:
         if parts:
             text = _SPACE.sub(" ", "".join(parts)).strip()
             if text:
-                found.append(Block(text, linked, framed > 0, article > 0))
+                found.append(Block(text, linked, framed > 0, article > 0, frame))
         parts, linked = [], 0
 
     def add(raw: str) -> None:
@@ -125,8 +159,10 @@ def blocks_of(page: str) -> list[Block]:
 
     def drop(depth: int) -> None:
         """Close the elements from this depth on."""
-        nonlocal framed, article, hidden, links
-        for name, frames, marks, hides in stack[depth:]:
+        nonlocal framed, article, hidden, links, frame
+        if depth < len(stack):
+            frame = stack[depth][4]
+        for name, frames, marks, hides, _ in stack[depth:]:
             framed -= frames
             article -= marks
             hidden -= hides
@@ -180,23 +216,72 @@ def blocks_of(page: str) -> list[Block]:
                 if stack[depth][0] in BLOCK:
                     break
         marks = name in ("article", "main") or 'itemprop="articlebody"' in attributes.lower()
-        inside = article > 0 or marks
-        # Inside the article a header element is the article's own heading.
-        frames = _frames(name, attributes) and not (inside and name == "header")
+        kind = _frames(name, attributes)
+        # Inside the article a header element is the article's own heading, and all paragraphs are its text.
+        frames = kind == HARD and not marks and not (article > 0 and name == "header")
         hides = name in HIDDEN
-        stack.append((name, frames, marks, hides))
+        stack.append((name, frames, marks, hides, frame))
+        if kind in (SOFT, FIRM) or (kind == PARAGRAPH and not article):
+            frames_met.append(Frame(frame, kind, article > 0))
+            frame = len(frames_met) - 1
         opened[name] += 1
         framed += frames
         article += marks
         hidden += hides
         links += name == "a"
     close_block()
+    _outvote(found, frames_met)
     return found
 
 
 TEXT, OPEN, BOILERPLATE = 1, 0, -1
 
 
+def _outvote(blocks: list[Block], frames: list[Frame]) -> None:
+    """Settle which of the frames are some, and with them which blocks are framed."""
+    if not frames:
+        return
+    dense = free = 0  # words in long blocks, words outside all frames
+    for block in blocks:
+        if not block.framed:
+            words = len(_WORDS(block.text))
+            long = words if classify(block) == TEXT else 0
+            dense += long
+            if block.frame < 0:
+                free += words
+            else:
+                frames[block.frame].dense += long
+                frames[block.frame].words += words
+    for frame in reversed(frames):  # what is around comes first
+        if frame.outer >= 0:
+            frames[frame.outer].dense += frame.dense
+            frames[frame.outer].words += frame.words
+    around: list[bool] = []
+    firm: list[bool] = []
+    for frame in frames:
+        if frame.kind == FIRM:
+            holds = frame.dense == dense and frame.dense > 2 * free
+        elif frame.kind == PARAGRAPH or (frame.inside and 2 * frame.dense >= frame.words):
+            holds = frame.dense > 0
+        else:
+            holds = 2 * frame.dense > dense and (frame.dense >= VERY_LONG_WORDS or not free)
+        around.append(not (holds and dense) or (frame.outer >= 0 and around[frame.outer]))
+        firm.append(frame.kind == FIRM or (frame.outer >= 0 and firm[frame.outer]))
+    if dense and not free and all(block.framed or around[block.frame] for block in blocks):
+        # Everything is in frames that each hold too little: the one with most of the text is none.
+        most = max(range(len(frames)), key=lambda i: (frames[i].kind != FIRM, frames[i].dense, -i))
+        while most >= 0:
+            around[most] = False
+            most = frames[most].outer
+        for i, frame in enumerate(frames):
+            if frame.outer >= 0 and around[i]:
+                around[i] = frame.kind == FIRM or 2 * frame.dense < frame.words or around[frame.outer]
+    for block in blocks:
+        if block.frame >= 0:
+            block.framed = block.framed or around[block.frame]
+            block.article = block.article and not firm[block.frame]
+
+
 def classify(block: Block) -> int:
     """The first pass: a block by itself."""
     if block.framed:

@@ -70,6 +70,27 @@ TEASER = "<article><h3>Other</h3><p>A teaser of another page that is on the side
     (f"<div><p>{LONG}</p></div><article class='comment'><p>{SENTENCE}</p></article>", LONG),
     (f"<div><p>{LONG}</p></div><article class='related'><p>{SENTENCE}</p></article>", LONG),
     (f"<div><p>{LONG}</p></div><article><a href=x>More</a> <a href=y>of this</a></article>", LONG),
+    (f"<article class='post comments-open tag-social'><p>{LONG}</article><div class=comments><p>{LONG} {LONG}</div>", LONG),
 ])
 def test_marks_in_frames_are_none(page, text):
     assert html.main_text(page) == text
+
+
+@pytest.mark.parametrize("page, text", [
+    (f"<html class='no-touch search'><body class='has-sidebar social'><p>{LONG}</p></body>", LONG),
+    (f"<div class='content no-sidebar'><article><h1>T</h1><p>{LONG}</p></article></div>", f"T\n{LONG}"),
+    (f"<div class='article share-enabled'><h1>T</h1><p>{LONG}</p></div>", f"T\n{LONG}"),
+    (f"<div class='social'><h1>T</h1><p>{LONG}</p><div class=sidebar>{SENTENCE}</div></div>", f"T\n{LONG}"),
+    (f"<article><h2 id=form-validation>H</h2><p class=notice>Short.</p><section id=related-work><h3>W</h3><p>{SENTENCE}"
+     f"</section><div class=related><a>x y</a></div></article>", f"H\nShort.\nW\n{SENTENCE}"),
+    (f"<body><form id=aspnetForm><nav><a>x</a></nav><h1>T</h1><p>{LONG}</p></form><p>Imprint", f"T\n{LONG}\nImprint"),
+    (f"<p>{LONG}<p class=notice>{SENTENCE}<p class=copyright>Of the firm.", f"{LONG}\n{SENTENCE}"),
+    (f"<p>{LONG}</p><section class=comments><p>{LONG} {LONG}</section><div class=ad>{LONG}</div>", LONG),
+])
+def test_text_outvotes_words_in_names(page, text):
+    assert html.main_text(page) == text
+
+
+@pytest.mark.parametrize("page", ["<div class=social>" * 50000 + LONG, "<div class=ad>x</div>" * 50000])
+def test_time_grows_with_the_frames(page):
+    html.main_text(page)
