@@ -3,22 +3,24 @@
 Equal vectors are one node of the graph with the smallest of their ids; the
 others come back when results are put together. The graph begins with exact
 neighbours inside small blocks of nodes that share a nearest pivot, and pivots as
-neighbours of all. Each round joins every node with its neighbours and the nodes
+neighbours of all. Rings through hash-chosen nodes hold the graph together: they
+take part in the first round where a list is not full, and in every search. Each
+round joins every node with its neighbours and the nodes
 it is a neighbour of, compares those among each other where one of the two is
 new, and keeps the ``GRAPH_DEGREE`` nearest of each; rounds end when few lists
 change. The comparisons use vectors of 8-bit components with a scale each, so
 little is moved; a search measures on the original vectors, in double precision.
 
-A search begins at the nearest pivots, and at the query itself if it is a node.
+A search begins at the nearest and some hash-chosen pivots, and at the query itself if it is a node.
 It expands all unexpanded nodes among the ``BEAM`` nearest found, round by round,
 until there are none. Queries go through in blocks of bounded size.
 
 Vectors that are null, zero, or hold null or non-finite components take no part,
 and neither do those of another length than the most frequent one (of equally
 frequent ones, the shortest). Rows with equal id and vector count once; rows with
-a null id are left out. If there are fewer candidates than asked for, all that
-the search meets are returned. An empty table gives an empty result; other
-columns do not matter.
+a null id are left out. If there are fewer candidates than asked for, all of
+them are returned: a query that the search leaves with too few is compared with
+all nodes. An empty table gives an empty result; other columns do not matter.
 """
 
 from __future__ import annotations
@@ -41,6 +43,8 @@ CELLS = 3              # nearest pivots whose blocks a node joins
 BLOCK = 512            # nodes in a block
 STOP_SHARE = 0.02      # of list places; fewer changes end the building
 MAX_ROUNDS = 12
+RINGS = 2              # of about BLOCK hash-chosen nodes that each node lies on
+FAR_PIVOTS = 2         # hash-chosen pivots from which a search begins as well
 BEAM = 256
 QUERY_BLOCK = 4096
 
@@ -171,9 +175,25 @@ def _round(graph: DataFrame, coded: DataFrame, blocks: int, turn: int) -> DataFr
     return rows.groupBy("block").applyInPandas(compare, "u bigint, v bigint, d float")
 
 
+def _rings(coded: DataFrame, count: int) -> DataFrame:
+    """``u``, ``v``: for each node the next ones on its rings, which overlap at random."""
+    parts = -(-count // BLOCK) or 1
+    links = None
+    for turn in range(RINGS if parts > 1 else 1):
+        rows = coded.select(F.col("node").alias("u"), F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(parts)).alias("ring"))
+        whole = Window.partitionBy("ring").orderBy(F.xxhash64("u", F.lit(turn)), "u")
+        after = F.coalesce(F.lead("u").over(whole),
+                           F.first("u").over(whole.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+        ring = rows.select("u", after.alias("v")).filter("u <> v")
+        links = ring if links is None else links.unionByName(ring)
+    return links.distinct()
+
+
 def build_graph(coded: DataFrame, pivots: tuple[np.ndarray, np.ndarray], count: int) -> DataFrame:
-    """``u``, ``v``: the nearest found of each node."""
-    graph = stored(_nearest_lists(_blocks(coded, pivots).withColumn("new", F.lit(1))), "graph")
+    """``u``, ``v``: the nearest found of each node, and its rings."""
+    rings = stored(_rings(coded, count), "rings")
+    first = _blocks(coded, pivots).unionByName(rings.withColumn("d", F.lit(float("inf")).cast("float")))
+    graph = stored(_nearest_lists(first.withColumn("new", F.lit(1))), "graph")
     blocks = -(-count // (BLOCK // 2))
     for turn in range(MAX_ROUNDS):
         found = _round(graph, coded, blocks, turn).withColumn("new", F.lit(1))
@@ -181,7 +201,7 @@ def build_graph(coded: DataFrame, pivots: tuple[np.ndarray, np.ndarray], count:
         changed = graph.agg(F.sum("new")).first()[0] or 0
         if changed <= STOP_SHARE * GRAPH_DEGREE * count:
             break
-    return graph.select("u", "v")
+    return graph.select("u", "v").unionByName(rings)
 
 
 def _query_blocks(queries: DataFrame) -> Iterator[pd.DataFrame]:
@@ -222,6 +242,8 @@ def search(queries: DataFrame, vectors: DataFrame, graph: DataFrame, pivots: tup
 
         nodes, places = pivots
         near = np.argsort(_squares(matrix.astype(np.float32), places), axis=1)[:, :CELLS]
+        far = ids[:, None] * 2654435761 % 4294967291 // 65536 + np.arange(FAR_PIVOTS) * max(len(nodes) // FAR_PIVOTS, 1)
+        near = np.concatenate([near, far % max(len(nodes), 1)], axis=1)
         pairs = [(int(q), int(nodes[w])) for q, row in zip(ids, near) for w in row]
         if is_node:
             pairs += [(int(q), int(q)) for q in ids]
@@ -238,6 +260,28 @@ def search(queries: DataFrame, vectors: DataFrame, graph: DataFrame, pivots: tup
     return results if results is not None else spark.createDataFrame([], "q bigint, w bigint, d double")
 
 
+def exact_search(queries: DataFrame, vectors: DataFrame, n: int) -> DataFrame:
+    """``q``, ``w``, ``d``: the ``n`` nearest nodes of each query, and more at the same distances, by comparing with all."""
+    spark = vectors.sparkSession
+    results = spark.createDataFrame([], "q bigint, w bigint, d double")
+    for block in _query_blocks(queries):
+        shared = spark.sparkContext.broadcast((block["q"].tolist(), np.array(block["vector"].tolist(), np.float64)))
+
+        def compare(batches, shared=shared):
+            for batch in batches:
+                if not batch.num_rows:
+                    continue
+                nodes, x = batch.column(0).to_numpy(), _matrix(batch.column(1), np.float64)
+                for q, vector in zip(*shared.value):
+                    d = np.sqrt(((x - vector) ** 2).sum(axis=1))
+                    near = np.flatnonzero(d <= np.partition(d, min(n, len(d)) - 1)[min(n, len(d)) - 1])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(near), q)), pa.array(nodes[near]),
+                                                      pa.array(d[near])], ["q", "w", "d"])
+
+        results = results.unionByName(vectors.select("node", "vector").mapInArrow(compare, "q bigint, w bigint, d double"))
+    return results
+
+
 def nearest_neighbours(df: DataFrame, is_query: Column, k: int, id_col: str = "vec_id",
                        vector_col: str = "embedding") -> DataFrame:
     """``query_id``, ``rank`` (from 1), ``id``, ``score`` (Euclidean distance): the ``k`` nearest found to each query row.
@@ -258,7 +302,12 @@ def nearest_neighbours(df: DataFrame, is_query: Column, k: int, id_col: str = "v
     asked = stored(rows.filter(is_query).join(nodes, "vector").select("id", F.col("node").alias("q")), "queries")
     vectors = nodes.select("node", "vector")
     queries = asked.select("q").distinct().join(vectors, F.col("q") == F.col("node")).select("q", "vector")
-    found = search(queries, vectors, graph, pivots)
+    found = search(queries, vectors, graph, pivots, max(BEAM, k + 1))
+    met = found.groupBy("q").agg(F.count("*").alias("n"))
+    few = stored(queries.join(met, "q", "left").filter(F.coalesce("n", F.lit(0)) < min(k + 1, count)).select("q", "vector"),
+                 "few")
+    if not few.isEmpty():
+        found = found.join(few.select("q"), "q", "left_anti").unionByName(exact_search(few, vectors, k + 1))
     found = _top(found, "q", k + 1, "d", "w")  # at most one of these nodes holds nothing but the query
     candidates = (found.join(nodes.select(F.col("node").alias("w"), "ids"), "w")
                   .select("q", "d", F.explode("ids").alias("other")))

@@ -67,3 +67,26 @@ def test_few_and_no_rows(spark):
     one = spark.createDataFrame([(0, [1.0, 0.0])], schema)
     assert neighbours.neighbour_digest(one).count() == 0
     assert neighbours.neighbour_digest(few.limit(0)).count() == 0
+
+
+def grouped(groups, size):
+    rng = np.random.default_rng(3)
+    centers = rng.normal(size=(groups, 6)) * 1000
+    return [(100 * (g * size + i), [float(np.float32(v)) for v in centers[g] + rng.normal(size=6)])
+            for g in range(groups) for i in range(size)]
+
+
+def test_distant_groups_are_all_met(spark):
+    for groups, size in ((2, 4), (40, 5)):
+        rows = grouped(groups, size)
+        wanted = brute(rows)
+        ours = found(neighbours.neighbour_digest(spark.createDataFrame(rows, "vec_id long, embedding array<float>")))
+        assert {q: [i for i, _ in w] for q, w in ours.items()} == {q: [i for i, _ in w] for q, w in wanted.items()}
+
+
+def test_queries_the_search_leaves_with_too_few_are_compared_with_all(spark, monkeypatch):
+    rows = grouped(2, 8)
+    wanted = brute(rows)
+    monkeypatch.setattr(neighbours, "search", lambda queries, *rest: queries.selectExpr("q", "q as w", "0d as d"))
+    ours = found(neighbours.neighbour_digest(spark.createDataFrame(rows, "vec_id long, embedding array<float>")))
+    assert {q: [i for i, _ in w] for q, w in ours.items()} == {q: [i for i, _ in w] for q, w in wanted.items()}
