@@ -214,12 +214,14 @@ def _query_blocks(queries: DataFrame) -> Iterator[pd.DataFrame]:
 
 def search(queries: DataFrame, vectors: DataFrame, graph: DataFrame, pivots: tuple[np.ndarray, np.ndarray],
            beam: int = BEAM, is_node: bool = True) -> DataFrame:
-    """``q``, ``w``, ``d``: the nearest nodes found for each query (``q``, ``vector``), with their distances.
+    """``q``, ``w``, ``first``, ``d``: the nearest nodes found for each query (``q``, ``vector``), with their distances.
 
+    ``vectors`` has each node's smallest id as ``first``; of nodes at one distance the smaller comes first.
     ``is_node`` says that ``q`` is the query's own node, from which it then begins too.
     """
     spark = vectors.sparkSession
     around = stored(graph.unionByName(graph.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct(), "around")
+    kind = f"q bigint, w bigint, first {vectors.schema['first'].dataType.simpleString()}, d double"
     results = None
     for block in _query_blocks(queries):
         ids = block["q"].to_numpy(np.int64)
@@ -232,13 +234,13 @@ def search(queries: DataFrame, vectors: DataFrame, graph: DataFrame, pivots: tup
             for batch in batches:
                 if not batch.num_rows:
                     continue
-                q, x = batch.column(0).to_numpy(), _matrix(batch.column(2), np.float64)
+                q, x = batch.column(0).to_numpy(), _matrix(batch.column(3), np.float64)
                 d = np.sqrt(((matrix[np.searchsorted(ids, q)] - x) ** 2).sum(axis=1))
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(d)], ["q", "w", "d"])
+                yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(d)], ["q", "w", "first", "d"])
 
         def measured(pairs):
-            joined = pairs.join(vectors.select(F.col("node").alias("w"), "vector"), "w").select("q", "w", "vector")
-            return joined.mapInArrow(measure, "q bigint, w bigint, d double").withColumn("done", F.lit(0))
+            joined = pairs.join(vectors.withColumnRenamed("node", "w"), "w").select("q", "w", "first", "vector")
+            return joined.mapInArrow(measure, kind).withColumn("done", F.lit(0))
 
         nodes, places = pivots
         near = np.argsort(_squares(matrix.astype(np.float32), places), axis=1)[:, :CELLS]
@@ -248,16 +250,16 @@ def search(queries: DataFrame, vectors: DataFrame, graph: DataFrame, pivots: tup
         if is_node:
             pairs += [(int(q), int(q)) for q in ids]
         begin = spark.createDataFrame(pairs, "q bigint, w bigint").distinct()
-        state = stored(_top(measured(begin), "q", beam, "d", "w"), "beam")
+        state = stored(_top(measured(begin), "q", beam, "d", "first", "w"), "beam")
         while not state.filter("done = 0").isEmpty():
             frontier = state.filter("done = 0").select("q", F.col("w").alias("u"))
             fresh = (frontier.join(around, "u").select("q", F.col("v").alias("w")).distinct()
                      .join(state.select("q", "w"), ["q", "w"], "left_anti"))
             state = state.withColumn("done", F.lit(1)).unionByName(measured(fresh))
-            state = stored(_top(state, "q", beam, "d", "w"), "beam")
-        part = state.select("q", "w", "d")
+            state = stored(_top(state, "q", beam, "d", "first", "w"), "beam")
+        part = state.select("q", "w", "first", "d")
         results = part if results is None else results.unionByName(part)
-    return results if results is not None else spark.createDataFrame([], "q bigint, w bigint, d double")
+    return results if results is not None else spark.createDataFrame([], kind)
 
 
 def exact_search(queries: DataFrame, vectors: DataFrame, n: int) -> DataFrame:
@@ -300,15 +302,16 @@ def nearest_neighbours(df: DataFrame, is_query: Column, k: int, id_col: str = "v
     graph = build_graph(coded, pivots, count)
 
     asked = stored(rows.filter(is_query).join(nodes, "vector").select("id", F.col("node").alias("q")), "queries")
-    vectors = nodes.select("node", "vector")
+    vectors = nodes.select("node", "vector", F.element_at("ids", 1).alias("first"))
     queries = asked.select("q").distinct().join(vectors, F.col("q") == F.col("node")).select("q", "vector")
-    found = search(queries, vectors, graph, pivots, max(BEAM, k + 1))
+    found = search(queries, vectors, graph, pivots, max(BEAM, k + 1)).select("q", "w", "first", "d")
     met = found.groupBy("q").agg(F.count("*").alias("n"))
     few = stored(queries.join(met, "q", "left").filter(F.coalesce("n", F.lit(0)) < min(k + 1, count)).select("q", "vector"),
                  "few")
     if not few.isEmpty():
-        found = found.join(few.select("q"), "q", "left_anti").unionByName(exact_search(few, vectors, k + 1))
-    found = _top(found, "q", k + 1, "d", "w")  # at most one of these nodes holds nothing but the query
+        found = found.join(few.select("q"), "q", "left_anti").unionByName(
+            exact_search(few, vectors, k + 1).join(vectors.select(F.col("node").alias("w"), "first"), "w"))
+    found = _top(found, "q", k + 1, "d", "first", "w")  # at most one of these nodes holds nothing but the query
     candidates = (found.join(nodes.select(F.col("node").alias("w"), "ids"), "w")
                   .select("q", "d", F.explode("ids").alias("other")))
     results = (asked.join(candidates, "q").filter("other <> id")

@@ -87,6 +87,12 @@ def test_distant_groups_are_all_met(spark):
 def test_queries_the_search_leaves_with_too_few_are_compared_with_all(spark, monkeypatch):
     rows = grouped(2, 8)
     wanted = brute(rows)
-    monkeypatch.setattr(neighbours, "search", lambda queries, *rest: queries.selectExpr("q", "q as w", "0d as d"))
+    monkeypatch.setattr(neighbours, "search", lambda queries, *rest: queries.selectExpr("q", "q as w", "0L as first", "0d as d"))
     ours = found(neighbours.neighbour_digest(spark.createDataFrame(rows, "vec_id long, embedding array<float>")))
     assert {q: [i for i, _ in w] for q, w in ours.items()} == {q: [i for i, _ in w] for q, w in wanted.items()}
+
+
+def test_ties_go_to_the_smaller_id(spark):
+    rows = [(100 + i * 37 % 61, [float(i == j) for j in range(60)]) for i in range(60)]
+    ours = found(neighbours.neighbour_digest(spark.createDataFrame(rows, "vec_id long, embedding array<float>")))
+    assert [i for i, _ in ours[100]] == sorted(i for i, _ in rows if i != 100)[:10]
