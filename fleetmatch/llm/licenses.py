@@ -39,7 +39,7 @@ CONFIDENCE = (1.0, 0.9, 0.8, 0.5)
 class Rule:
     rank: int
     label: str
-    keyword: str  # must occur in the words for the rule to run
+    keyword: str  # occurs in all that the pattern matches; must occur in the words for the rule to run
     pattern: str  # over words with single spaces between them
 
 
@@ -71,7 +71,7 @@ zlib | provided as is | this software is provided as is without any express or i
 boost-1.0 | boost software license | distributed under the boost software license {v}1 0
 artistic-2.0 | artistic license | the artistic license 2 0
 ofl-1.1 | open font license | this font software is licensed under the sil open font license {v}1 1
-postgresql | postgresql | permission to use copy modify and distribute this software and its documentation for any purpose without fee and without a written agreement
+postgresql | without a written agreement | permission to use copy modify and distribute this software and its documentation for any purpose without fee and without a written agreement
 python-2.0 | python software foundation | python software foundation license {v}2
 openssl | openssl project | this product includes software developed by the openssl project
 json | good not evil | the software shall be used for good not evil
@@ -169,8 +169,8 @@ mit | mit licence | (?:the )?mit licence
 mit | expat license | expat license
 mit | licensed under mit | licensed under mit
 isc | isc license | (?:the )?isc license
-bsd | bsd license | (?:the )?bsd(?: style)? license
-apache | apache license | (?:the )?apache(?: software)? license
+bsd | bsd | (?:the )?bsd(?: style)? license
+apache | apache | (?:the )?apache(?: software)? license
 gpl | gnu gpl | (?:the )?gnu gpl
 lgpl | lesser general public | (?:gnu )?lesser general public license
 lgpl | library general public | (?:gnu )?library general public license
@@ -183,7 +183,7 @@ mpl | mozilla public license | mozilla public license
 epl | eclipse public license | eclipse public license
 cddl | common development and distribution | common development and distribution license
 eupl | european union public | european union public licen[cs]e
-zlib | zlib license | zlib(?: libpng)? license
+zlib | zlib | zlib(?: libpng)? license
 boost-1.0 | boost software license | boost software license
 artistic | artistic license | artistic license
 unlicense | the unlicense | the unlicense
@@ -207,19 +207,21 @@ odc-by | odc by | odc by
 pddl | public domain dedication | public domain dedication(?: and license)?
 vim | vim license | vim license
 php | php license | php license
-ruby | ruby license | ruby(?: s)? license
+ruby | ruby license | ruby license
+ruby | ruby s license | ruby s license
 sleepycat | sleepycat | sleepycat license
 upl-1.0 | universal permissive | universal permissive license
 bsl-1.1 | business source | business source license
 sspl-1.0 | server side public | server side public license
 elastic-2.0 | elastic license | elastic license(?: 2 0)?
-openrail | openrail | (?:creativeml )?open ?rail(?: m)?(?: license)?
+openrail | openrail | (?:creativeml )?openrail(?: m)?(?: license)?
+openrail | open rail | (?:creativeml )?open rail(?: m)?(?: license)?
 """
 
 _HINTS = """
 public-domain | public domain | (?:in|into|to|is) the public domain
 public-domain | dedicated to the public | dedicated to the public(?: domain)?
-public-domain | no copyright | no (?:known )?copyright
+public-domain | copyright | no (?:known )?copyright
 reserved | all right reserved | all right reserved
 reserved | some rights reserved | some rights reserved
 copyright | copyright c | copyright c (?:by )?(?:19|20)\\d\\d(?: (?:19|20)\\d\\d)*
@@ -229,22 +231,24 @@ copyright | copr | copr (?:19|20)\\d\\d
 proprietary | proprietary | proprietary license
 proprietary | license agreement | end user license agreement
 proprietary | eula | eula
-non-commercial | commercial | for non ?commercial (?:use|purposes) only
+non-commercial | for non | for non ?commercial (?:use|purposes) only
 non-commercial | personal use | for personal use only
-non-commercial | research | for (?:academic|research) (?:use|purposes) only
+non-commercial | for academic | for academic (?:use|purposes) only
+non-commercial | for research | for research (?:use|purposes) only
 no-derivatives | derivative works | no derivative works
 share-alike | share alike | share alike
 warranty-disclaimer | without warranty | without warranty of any kind
 warranty-disclaimer | warranties or conditions | without warranties or conditions of any kind
 warranty-disclaimer | implied warranties | implied warranties of merchantability
 redistribution | redistribut | (?:may|can) be (?:freely )?redistributed
-permission | used with permission | (?:re)?(?:printed|used|published) (?:with|by) permission
+permission | with permission | (?:re)?(?:printed|used|published) with permission
+permission | by permission | (?:re)?(?:printed|used|published) by permission
 open-source | open source | open source (?:software )?licen[cs]e
 free-software | free software | (?:is|as) free software
 other | licensed under | (?:is )?licensed under (?:the )?(?:terms of )?(?:the )?
 other | released under | released under (?:the )?(?:terms of )?(?:the )?
 other | distributed under | distributed under (?:the )?(?:terms of )?(?:the )?
-other | see the license | see the licen[cs]e(?: file)?
+other | see the licen | see the licen[cs]e(?: file)?
 """
 
 

@@ -52,6 +52,17 @@ _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _URL_REST = re.compile(r"[^\s<>\"'`]+")
 _SECRET = re.compile(r"[\"']?[ \t]{0,8}[:=][ \t]{0,8}[\"']?([A-Za-z0-9_./+=-]{8,})")
 _IBAN = re.compile(r"[ :#]{0,3}([A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?)(?![A-Za-z0-9])")
+# The length of an IBAN by its country.
+_IBAN_LENGTHS = {country: int(length) for length, *countries in map(str.split, """15 NO|16 BE|18 DK FI FK FO GL NL SD
+    19 MK SI|20 AT BA EE KZ LT LU MN XK|21 CH HR LI LV|22 BG BH CR DE GB GE IE ME RS VA|23 AE GI IL IQ OM SO TL
+    24 AD CZ ES MD PK RO SA SE SK TN VG|25 LY PT ST|26 IS TR|27 BI DJ FR GR IT MC MR SM
+    28 AL AZ BY CY DO GT HN HU LB NI PL SV|29 BR EG PS QA UA|30 JO KW MU YE|31 MT SC|32 LC|33 RU""".replace("\n", "|").split("|"))
+    for country in countries}
+_IBAN_OF = {country: re.compile(rf"[ :#]{{0,3}}({country}[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{{length // 4 - 1}}}"
+                                + (f" ?[A-Z0-9]{{{length % 4}}}" if length % 4 else "") + ")(?![A-Za-z0-9])")
+            for country, length in _IBAN_LENGTHS.items()}
+_UPPER = re.compile("[A-Z]+")
+_COUNTRY = re.compile("[ :#]{0,3}([A-Z]{2})")
 _SSN = re.compile(r"[ :#]{0,3}([0-9]{3}-[0-9]{2}-[0-9]{4})(?![0-9-])")
 _ACCOUNT = re.compile(r"(?:[ _]?(?:no\.?|number))?[ :#=]{1,3}([0-9]{6,18})(?![0-9])")
 
@@ -66,12 +77,16 @@ def _automaton() -> ahocorasick.Automaton:
         anchors.add_word(digit, (1, "digit", ""))
     for kind, cues in (("secret", SECRET_CUES), ("account", ACCOUNT_CUES)):
         for cue in cues:
-            for written in {cue, cue.upper(), cue.capitalize()}:
-                anchors.add_word(written, (len(written), kind, cue))
+            anchors.add_word(cue, (len(cue), kind, cue))
     anchors.make_automaton()
     return anchors
 
 
+def _lowered(text: str) -> str:
+    """The text with ASCII letters in lower case, so that places stay the same."""
+    return text.lower() if text.isascii() else _UPPER.sub(lambda found: found.group().lower(), text)
+
+
 def _luhn(digits: str) -> bool:
     total = 0
     for place, digit in enumerate(reversed(digits)):
@@ -104,6 +119,11 @@ def _cards(text: str, begin: int, end: int) -> Iterator[tuple[int, int]]:
 
 
 def _account(text: str, cue: str, at: int) -> tuple[int, int] | None:
+    country = _COUNTRY.match(text, at) if cue == "iban" else None
+    if country and country.group(1) in _IBAN_OF:  # what follows may look like a part of it
+        cut = _IBAN_OF[country.group(1)].match(text, at)
+        if cut and _iban(cut.group(1).replace(" ", "")):
+            return cut.span(1)
     found = {"iban": _IBAN, "ssn": _SSN, "account": _ACCOUNT}[cue].match(text, at)
     if found is None:
         return None
@@ -123,7 +143,7 @@ def find_spans(text: str | None) -> list[tuple[int, int, int]]:
     def add(kind: str, start: int, end: int) -> None:
         found.append((_CODE[kind], start, end))
 
-    for last, (length, kind, cue) in _automaton().iter(text):
+    for last, (length, kind, cue) in _automaton().iter(_lowered(text)):
         at = last + 1 - length
         if kind == "digit":
             if at >= zone_end:

@@ -116,6 +116,11 @@ def test_samples_match_their_rules():
         assert all(re.fullmatch(rule.pattern, text) for text in samples(rule.pattern))
 
 
+def test_every_sample_has_the_keyword_of_its_rule():
+    for rule in licenses.RULES:
+        assert all(f" {rule.keyword}" in f" {text}" for text in samples(rule.pattern)), rule
+
+
 def test_the_gate_opens_for_every_rule(spark):
     texts = sorted({next(iter(samples(rule.pattern))) for rule in licenses.RULES})
     texts += ["libfoo: LGPL-2.1", "AGPLv3", "implied warranties of merchantability"]

@@ -83,3 +83,15 @@ def test_redaction_keeps_rows_and_columns(spark):
     assert rows[1] == ("write to [EMAIL], please", 24) and rows[3] == ("clean", 5) and rows[2] == (None, 0)
     assert "555" not in rows[4][0]
     assert all(not pii.find_spans(text) for text, _ in rows.values())
+
+
+@pytest.mark.parametrize("text, kind, value", [
+    *[(f"{cue}: abcdef0123456789", "secret", "abcdef0123456789")
+      for cue in ("API key", "API Key", "Api_Key", "ApiKey", "é API KEY", "İ aPi_kEy", "PassWord")],
+    ("IBAN BE68 5390 0754 7034 BIC KREDBEBB", "account", "BE68 5390 0754 7034"),
+    ("IBAN BE68 5390 0754 7034 AB", "account", "BE68 5390 0754 7034"),
+    ("iban: DE89370400440532013000 BLZ 1", "account", "DE89370400440532013000"),
+    ("IBAN NO93 8601 1117 947 EUR", "account", "NO93 8601 1117 947"),
+])
+def test_written_forms_of_cues_and_words_after_an_iban(text, kind, value):
+    assert [(pii.KINDS[k], text[a:b]) for k, a, b in pii.find_spans(text) if pii.KINDS[k] == kind] == [(kind, value)]
