@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetmatch.llm import bpe, decontaminate, html, langid, licenses, minhash, neighbours, pii, shards, tokens
+from fleetmatch.llm import bpe, decontaminate, html, langid, licenses, minhash, neighbours, packing, pii, shards, tokens
 from fleetmatch.llm.common import read_table
 
 
@@ -50,6 +50,10 @@ def op7_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.neighbour_digest(read_table(spark, sf_dir, "embeddings"))
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packing_digest(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_licenses": op1_licenses,
     "op2_near_duplicates": op2_near_duplicates,
@@ -61,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_leaks": op8_leaks,
     "op9_pii": op9_pii,
     "op10_byte_bpe": op10_byte_bpe,
+    "op11_packing": op11_packing,
 }
 
 ORACLES: dict[str, str] = {}

@@ -57,7 +57,7 @@ _KNOWN_NORMALIZERS = ["NFC", {"Regex": r"\s+"}, "Lowercase"]
 _KNOWN_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
-def _byte_letters() -> list[str]:
+def byte_letters() -> list[str]:
     """The letter that stands for each byte: itself where it prints, else the next letter from U+0100."""
     shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
     others = iter(range(256, 512))
@@ -99,7 +99,7 @@ class WordTokenizer:
 
         self.tokenizer, self.dtype = Tokenizer.from_file(path), dtype
         self.model = self.tokenizer.model
-        self.letters = _byte_letters()
+        self.letters = byte_letters()
         with open(path, encoding="utf-8") as file:
             rules = json.load(file)
         normalizers = [n.get("pattern", n["type"]) for n in (rules["normalizer"] or {}).get("normalizers", [])]
