@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetmatch.llm import bpe, decontaminate, html, langid, licenses, minhash, neighbours, packing, pii, shards, tokens
+from fleetmatch.llm import bpe, decontaminate, html, langid, licenses, minhash, neighbours, packing, pii, repair, shards, tokens
 from fleetmatch.llm.common import read_table
 
 
@@ -54,6 +54,10 @@ def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packing_digest(read_table(spark, sf_dir, "documents"))
 
 
+def op12_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair_digest(read_table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_licenses": op1_licenses,
     "op2_near_duplicates": op2_near_duplicates,
@@ -66,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_pii": op9_pii,
     "op10_byte_bpe": op10_byte_bpe,
     "op11_packing": op11_packing,
+    "op12_conversations": op12_conversations,
 }
 
 ORACLES: dict[str, str] = {}
