@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetmatch.llm import bpe, decontaminate, html, langid, licenses, minhash, neighbours, packing, pii, repair, shards, tokens
+from fleetmatch.llm import (bpe, decontaminate, divergence, html, langid, licenses, minhash, neighbours, packing, pii, repair,
+                            shards, tokens)
 from fleetmatch.llm.common import read_table
 
 
@@ -58,6 +59,10 @@ def op12_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.repair_digest(read_table(spark, sf_dir, "conversations"))
 
 
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_licenses": op1_licenses,
     "op2_near_duplicates": op2_near_duplicates,
@@ -71,6 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_byte_bpe": op10_byte_bpe,
     "op11_packing": op11_packing,
     "op12_conversations": op12_conversations,
+    "op13_divergence": op13_divergence,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op13_divergence": divergence.ORACLE}
