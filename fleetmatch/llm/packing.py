@@ -49,6 +49,7 @@ _L, _N, _S = "A-Za-zªµºÀ-ÖØ-öø-ɏ", "0-9²³¹¼-¾", "\t-\r \x85\xa0"
 _latin_pieces = re.compile(
     rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_L}]+| ?[{_N}]+| ?[^{_S}{_L}{_N}]+|[{_S}]+(?![^{_S}])|[{_S}]+").findall
 _not_latin = re.compile("[^\x00-ɏ]").search
+_many_spaces = re.compile(rf"[{_S}]{{1000}}").search  # as one piece, more than a library's stack may hold
 _KNOWN_SPLIT = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
 
 # A space between visible characters begins a piece, whatever the text around it.
@@ -69,11 +70,13 @@ def slices(text: str, most: int = SLICE) -> Iterator[str]:
 
 
 class ByteTokenizer:
-    """Ids of a text, put together from the library's ids of its pieces.
+    """The library's ids of a text, found faster.
 
-    A text of Latin letters is split into the pieces that the library's model gets
-    one by one; any other text is cut at spaces between visible characters and the
-    library encodes the parts. The pieces and parts used last are not encoded again.
+    Where the merges of the file are in the order of their ids, they are ranks, and a
+    text of Latin letters, whose split is the same everywhere, is encoded by ranks.
+    Else it is split into the pieces that the library's model gets one by one. Any
+    other text is cut at spaces between visible characters and the library encodes
+    the parts. The pieces and parts used last are not encoded again.
     """
 
     def __init__(self, path: str):
@@ -92,6 +95,19 @@ class ByteTokenizer:
         self.cuts = self.known and not any(t["lstrip"] or t["rstrip"] or " " in t["content"] for t in rules["added_tokens"])
         self.pieces = Recent(self._piece)
         self.parts = Recent(self._part)
+        self.by_ranks = self._by_ranks(rules["model"]) if self.known else None
+
+    def _by_ranks(self, model: dict):
+        """An encoder by ranks, or nothing if the file's merges cannot be told by rank."""
+        import tiktoken
+
+        byte = {letter: bytes([i]) for i, letter in enumerate(self.letters)}
+        ranks = {b"".join(map(byte.__getitem__, token)): i for token, i in model["vocab"].items()}
+        merges = [merge.split(" ") if isinstance(merge, str) else merge for merge in model["merges"]]
+        merged = [model["vocab"][first + second] for first, second in merges]
+        if len(ranks) != len(merges) + 256 or any(a >= b for a, b in zip(merged, merged[1:])):
+            return None
+        return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     @staticmethod
     def _packed(ids: list[int]) -> bytes:
@@ -116,7 +132,9 @@ class ByteTokenizer:
         by_pieces = not any(token in text for token in self.added) and (is_latin_1(text) or not _not_latin(text))
         out = []
         for part in slices(text):
-            if by_pieces:
+            if by_pieces and self.by_ranks and not _many_spaces(part):
+                out.append(self._packed(self.by_ranks.encode_ordinary(part)))
+            elif by_pieces:
                 out.append(b"".join(map(self.pieces.__getitem__, _latin_pieces(part))))
             else:
                 out.append(b"".join(map(self.parts.__getitem__, _parts(part))))

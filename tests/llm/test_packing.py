@@ -31,6 +31,16 @@ def test_ids_are_those_of_the_library(library, monkeypatch):
             assert np.frombuffer(encoder.encode(text), "<u4").tolist() + [1] == ids_of(library, text), repr(text)
 
 
+def test_long_runs_and_the_way_without_ranks(library):
+    for ranks in (True, False):
+        encoder = packing.ByteTokenizer(packing.DEFAULT_TOKENIZER)
+        assert encoder.by_ranks
+        encoder.by_ranks = encoder.by_ranks if ranks else None
+        for text in (" " * 50000 + "a", "\n" * 3000, " \n" * 2000 + "x", "a" * 20000, "!" * 5000, "é" * 9000, "1 2\t3" * 900,
+                     "中 " * 999, "one two " * 99999):
+            assert np.frombuffer(encoder.encode(text), "<u4").tolist() + [1] == ids_of(library, text)
+
+
 def plain_windows(lengths, capacity, count):
     """The rule by plain lists: (document, start, length) per full window, and the windows left open."""
     full, open_windows = [], []
