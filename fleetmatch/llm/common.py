@@ -17,14 +17,22 @@ import fleetmatch
 from fleetmatch.session import scratch_path
 
 
+BATCH_BYTES = 1 << 22
+
 _shipped: set[str] = set()
+_BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def ship(spark: SparkSession) -> None:
-    """Give the executors this package, once per application; they need not have it installed."""
+    """Give the executors this package, once per application; they need not have it installed.
+
+    Arrow batches, which tasks hold several times, get small unless the user set their size.
+    """
     context = spark.sparkContext
     if context.applicationId in _shipped:
         return
+    if not context.getConf().contains(_BATCH_BYTES):
+        spark.conf.set(_BATCH_BYTES, str(BATCH_BYTES))
     root = Path(fleetmatch.__file__).parent
     if root.is_dir():  # else it came to this process in an archive already
         archive = Path(tempfile.mkdtemp(prefix="fleetmatch-code-")) / "fleetmatch-code.zip"

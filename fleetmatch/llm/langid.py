@@ -42,7 +42,7 @@ MAX_GRAMS = 10_000     # n-grams kept per language and length
 LENGTHS = (4, 3, 2, 1)
 SMOOTHING = 0.5
 EVIDENCE = 16
-MAX_UNSEEN = 1 << 17   # scores of unseen words kept at a time
+MAX_UNSEEN = 1 << 15   # scores of unseen words kept at a time
 
 _words = re.compile(r"[^\W\d_]+").findall
 

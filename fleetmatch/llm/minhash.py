@@ -7,11 +7,11 @@ the shingles, a table of fixed size. ``BANDS * ROWS`` samples are drawn from eac
 set, each of which is equal in two texts with the probability of their weighted
 Jaccard similarity; texts that agree in all samples of a band are candidates.
 
-Candidates become links only if their exact Jaccard similarity, weighted or of the
-plain sets, is at least ``SIMILARITY``. In a bucket each text is first compared with leaders, which
+Candidates become links only if their exact weighted Jaccard similarity is at least
+``SIMILARITY``. In a bucket each text is first compared with leaders, which
 already joins groups of copies without comparing all pairs in them. What then
-still lies in different classes of one bucket is compared pair by pair; in large
-buckets an exact bound leaves out the pairs that cannot be similar. So no
+still lies in different classes of one bucket is compared pair by pair; an exact
+bound leaves out the pairs that cannot be similar. So no
 candidate goes unchecked that could join two classes. Classes are the connected
 components of equal texts and links, found by joins.
 
@@ -24,6 +24,7 @@ not matter.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -40,7 +41,10 @@ BANDS, ROWS = 20, 4
 FEATURE_BITS = 18      # buckets of the document frequencies
 LEADER_ROUNDS = 2
 CENTRAL_ROUNDS = 1     # of leaders in large buckets, chosen by how little they have of their own
-CROWD = 32             # nodes of a bucket from which pairs are ruled out before they are made
+CROWD = 32             # nodes of a bucket from which it gets such a leader
+GROUPS = 64            # of the shingles, by hash, whose weights bound what two texts have in common
+
+SLICE = 1 << 18        # bytes of text worked on at a time
 
 _ELEMENT_BITS = 44     # of a shingle's hash; the other bits number the texts of a batch
 _DRAWS = 16            # bits of a shingle and sample that choose its random numbers
@@ -94,7 +98,7 @@ def count_features(texts: DataFrame) -> tuple[int, np.ndarray]:
     """Rows, and for each bucket the number of rows with a shingle in it, from a column ``text``."""
     def run(batches):
         total, rows = np.zeros(1 << FEATURE_BITS, np.int64), 0
-        for batch in pieces(batches, "text"):
+        for batch in pieces(batches, "text", SLICE):
             sets = shingle_sets(batch.column(0).to_pylist())
             owners = np.repeat(np.arange(batch.num_rows), np.diff(sets.first))
             keys = np.unique(owners << FEATURE_BITS | features_of(sets.elements))
@@ -127,25 +131,32 @@ def weights_of(sets: Sets, inverse: np.ndarray) -> np.ndarray:
     return np.frexp(sets.counts)[1] * inverse[features_of(sets.elements)]
 
 
+_STEPS = 17            # weights from 1 to 2 in sixteenths, those of shingles that a text has once
+
+
+@lru_cache(maxsize=1)
+def _light() -> tuple[np.ndarray, np.ndarray]:
+    """Ioffe's compared value and level of each light weight and draw, one weight after the other."""
+    drawn = [_drawn(np.full(1 << _DRAWS, 1 + step / 16), np.arange(1 << _DRAWS)) for step in range(_STEPS)]
+    return np.concatenate([value for value, _ in drawn]), np.concatenate([level for _, level in drawn])
+
+
+def _drawn(weights: np.ndarray, draws: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    r, beta = _R[draws], _BETA[draws]
+    level = np.floor(np.log(weights) / r + beta)
+    scaled = np.clip((_LOG_C[draws] - r * (level + 1 - beta) + _RANGE) * ((1 << 31) / (2 * _RANGE)), 0, (1 << 31) - 1)
+    return scaled.astype(np.uint32), level.astype(np.int32)
+
+
 class Sampler:
-    """Draws the samples of weighted sets; a table per weight has what each draw gives."""
+    """Draws the samples of weighted sets.
+
+    What each draw gives is looked up for the weights up to 2, in a table of fixed
+    size, and computed for the others.
+    """
 
     def __init__(self):
-        self.row: dict[float, int] = {}
-        self.keys = np.zeros(0, np.uint64)      # the value compared, in the upper half
-        self.levels = np.zeros(0, np.int64)     # Ioffe's t
-
-    def _rows(self, weights: np.ndarray) -> np.ndarray:
-        values, inverse = np.unique(weights, return_inverse=True)
-        for value in values.tolist():
-            if value not in self.row:
-                self.row[value] = len(self.row)
-                level = np.floor(np.log(value) / _R + _BETA)
-                logs = _LOG_C - _R * (level + 1 - _BETA)
-                scaled = np.clip((logs + _RANGE) * ((1 << 31) / (2 * _RANGE)), 0, (1 << 31) - 1)
-                self.keys = np.append(self.keys, scaled.astype(np.uint64) << np.uint64(32))
-                self.levels = np.append(self.levels, level.astype(np.int64))
-        return np.array([self.row[value] for value in values.tolist()], np.int64)[inverse]
+        self.values, self.levels = _light()
 
     def bands(self, sets: Sets, weights: np.ndarray) -> np.ndarray:
         """One bucket per band for each text that has a shingle, in their order."""
@@ -154,15 +165,24 @@ class Sampler:
         if not len(texts):
             return out
         starts, elements = sets.first[texts], sets.elements
-        base = self._rows(weights) << _DRAWS
+        heavy = np.flatnonzero(weights > 2)
+        heavy_weights = weights[heavy]
+        base = np.minimum(np.rint((weights - 1) * 16).astype(np.int64), _STEPS - 1) << _DRAWS
         places = np.arange(len(elements), dtype=np.uint64)
-        shift, low = np.uint64(64 - _DRAWS), np.uint64((1 << 32) - 1)
+        shift, half, low = np.uint64(64 - _DRAWS), np.uint64(32), np.uint64((1 << 32) - 1)
         for band in range(BANDS):
             total = np.full(len(texts), band, np.uint64)
             for row in range(ROWS):
-                draws = base + ((elements * _SAMPLE_FACTORS[band * ROWS + row]) >> shift).astype(np.int64)
-                best = np.minimum.reduceat(self.keys[draws] | places, starts) & low
-                sample = mixed(elements[best] * np.uint64(3) + self.levels[draws[best]].astype(np.uint64))
+                draws = ((elements * _SAMPLE_FACTORS[band * ROWS + row]) >> shift).astype(np.int64)
+                values = self.values[base + draws].astype(np.uint64)
+                heavy_values, heavy_levels = _drawn(heavy_weights, draws[heavy])
+                values[heavy] = heavy_values
+                best = (np.minimum.reduceat(values << half | places, starts) & low).astype(np.int64)
+                levels = self.levels[(base + draws)[best]]
+                found = np.minimum(np.searchsorted(heavy, best), max(len(heavy) - 1, 0))
+                if len(heavy):
+                    levels = np.where(heavy[found] == best, heavy_levels[found], levels)
+                sample = mixed(elements[best] * np.uint64(3) + levels.astype(np.int64).astype(np.uint64))
                 total += sample * _BAND_FACTORS[row]
             out[:, band] = mixed(total)
         return out
@@ -175,7 +195,7 @@ def signatures(rows: DataFrame, text: str, inverse: np.ndarray) -> DataFrame:
 
     def run(batches):
         sampler = Sampler()
-        for batch in pieces(batches, text):
+        for batch in pieces(batches, text, SLICE):
             sets = shingle_sets(batch.column(place).to_pylist())
             bands = sampler.bands(sets, weights_of(sets, shared.value))
             some = np.diff(sets.first) > 0
@@ -194,7 +214,7 @@ def similar(pairs: DataFrame, texts: DataFrame, inverse: np.ndarray, similarity:
     shared = texts.sparkSession.sparkContext.broadcast(inverse)
 
     def run(batches):
-        for batch in pieces(batches, "text_a"):
+        for batch in pieces(batches, "text_a", SLICE):
             a = shingle_sets(batch.column(2).to_pylist())
             b = shingle_sets(batch.column(3).to_pylist())
             weight_a, weight_b = weights_of(a, shared.value), weights_of(b, shared.value)
@@ -205,8 +225,7 @@ def similar(pairs: DataFrame, texts: DataFrame, inverse: np.ndarray, similarity:
                 common = np.minimum(weight_a[in_a][at], weight_b[in_b][bt]).sum()
                 union = weight_a[in_a].sum() + weight_b[in_b].sum() - common
                 if union:
-                    plain = len(at) / (in_a.stop - in_a.start + in_b.stop - in_b.start - len(at))
-                    shares[i] = max(common / union, plain)
+                    shares[i] = common / union
             kept = np.flatnonzero(shares >= similarity)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(pa.array(kept)), batch.column(1).take(pa.array(kept)), pa.array(shares[kept])],
@@ -219,15 +238,11 @@ def similar(pairs: DataFrame, texts: DataFrame, inverse: np.ndarray, similarity:
 
 
 def limits(texts: DataFrame, inverse: np.ndarray) -> DataFrame:
-    """What bounds the similarity of a node to any other of these texts.
-
-    ``weight`` and ``common`` are the weights of all its shingles and of those that
-    another text has as well, ``n`` and ``n_common`` their numbers.
-    """
+    """``node`` with the ``weight`` of all its shingles and of those that another of these texts has, ``common``."""
     shared = texts.sparkSession.sparkContext.broadcast(inverse)
 
     def run(batches):
-        for batch in pieces(batches, "text"):
+        for batch in pieces(batches, "text", SLICE):
             sets = shingle_sets(batch.column(1).to_pylist())
             owners = np.repeat(batch.column(0).to_numpy(), np.diff(sets.first))
             yield pa.RecordBatch.from_arrays(
@@ -236,23 +251,47 @@ def limits(texts: DataFrame, inverse: np.ndarray) -> DataFrame:
 
     shingles = texts.select("node", "text").mapInArrow(run, "node bigint, element bigint, weight double")
     held = shingles.groupBy("element").agg(F.count("*").alias("held"))
-    is_common = F.col("held") > 1
     return shingles.join(held, "element").groupBy("node").agg(
-        F.sum("weight").alias("weight"), F.sum(F.when(is_common, F.col("weight")).otherwise(0.0)).alias("common"),
-        F.count("*").alias("n"), F.count_if(is_common).alias("n_common"))
+        F.sum("weight").alias("weight"), F.sum(F.when(F.col("held") > 1, F.col("weight")).otherwise(0.0)).alias("common"))
 
 
-def _can_be_similar(a: str, b: str, similarity: float):
-    """Whether two nodes with these limits can reach the similarity, by weight or by number of shingles.
+def profiles(texts: DataFrame, inverse: np.ndarray) -> DataFrame:
+    """``node`` with its weight in each of ``GROUPS`` hash groups of shingles, ``h0``, ``h1``, ..., and their sum, ``total``.
 
-    They share at most the smaller of their common parts; a little is added for
-    sums of doubles in another order.
+    Two texts have in common at most the sum over the groups of the smaller weight.
+    All are whole numbers of sixteenths, so the bound is exact.
     """
-    def reaches(common, weight):
-        most = F.least(F.col(f"{a}.{common}"), F.col(f"{b}.{common}")) * (1 + 1e-9)
-        return most >= similarity * (F.col(f"{a}.{weight}") + F.col(f"{b}.{weight}") - most)
+    shared = texts.sparkSession.sparkContext.broadcast(inverse)
+    names = ["node", "total", *(f"h{i}" for i in range(GROUPS))]
 
-    return reaches("common", "weight") | reaches("n_common", "n")
+    def run(batches):
+        for batch in pieces(batches, "text", SLICE):
+            sets = shingle_sets(batch.column(1).to_pylist())
+            rows = np.repeat(np.arange(batch.num_rows), np.diff(sets.first))
+            groups = (mixed(sets.elements) % np.uint64(GROUPS)).astype(np.int64)
+            weights = np.rint(weights_of(sets, shared.value) * 16)
+            held = np.bincount(rows * GROUPS + groups, weights, batch.num_rows * GROUPS).reshape(-1, GROUPS)
+            held = held.astype(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(held.sum(1)), *(pa.array(np.ascontiguousarray(held[:, i])) for i in range(GROUPS))],
+                names)
+
+    return texts.select("node", "text").mapInArrow(run, ", ".join(f"{name} bigint" for name in names))
+
+
+def _can_be_similar(similarity: float):
+    """Whether ``x`` and ``y`` with these profiles can reach the similarity; the quick test of the totals comes first.
+
+    A little is added for the product of doubles.
+    """
+    def reaches(most):
+        both = (F.col("x.total") + F.col("y.total")) * (similarity * (1 - 1e-9))
+        return most * (1 + similarity) >= both
+
+    shared = F.least("x.h0", "y.h0")
+    for i in range(1, GROUPS):
+        shared = shared + F.least(f"x.h{i}", f"y.h{i}")
+    return reaches(F.least("x.total", "y.total")) & reaches(shared)
 
 
 def _open(placed: DataFrame) -> DataFrame:
@@ -270,24 +309,19 @@ def _led_pairs(rows: DataFrame, rank) -> DataFrame:
             .select(F.col("leader").alias("a"), F.col("node").alias("b")))
 
 
-def _all_pairs(rows: DataFrame, limits: DataFrame, similarity: float) -> DataFrame:
-    """All pairs of one bucket and different classes that can be similar at all.
+def _all_pairs(rows: DataFrame, similarity: float) -> DataFrame:
+    """All pairs of one bucket and different classes that can be similar at all, each from the first bucket they share.
 
-    A bucket of up to ``CROWD`` nodes gives its pairs as they are. In a larger one
-    the limits of its nodes, which are exact, rule out pairs before they are made.
+    The nodes' profiles, which are exact, rule out the other pairs before they are made.
     """
-    few = rows.filter(F.col("size") <= CROWD).select("band", "bucket", "node", "component")
-    other = few.select("band", "bucket", F.col("node").alias("b"), F.col("component").alias("other"))
-    pairs = few.join(other, ["band", "bucket"]).filter("component < other").select(F.col("node").alias("a"), "b")
-    crowd = rows.filter(F.col("size") > CROWD).join(limits, "node")
-    keys = crowd.groupBy("node").agg(F.sort_array(F.collect_list(F.struct("band", "bucket"))).alias("keys"))
-    crowd = crowd.join(keys, "node")  # at most one key per band
+    keys = rows.groupBy("node").agg(F.sort_array(F.collect_list(F.struct("band", "bucket"))).alias("keys"))
+    rows = rows.join(keys, "node")  # at most one key per band
     first_in_common = F.get(F.array_intersect("x.keys", "y.keys"), F.lit(0))
-    crowded = crowd.alias("x").join(
-        crowd.alias("y"), (F.col("x.band") == F.col("y.band")) & (F.col("x.bucket") == F.col("y.bucket"))
-        & (F.col("x.component") < F.col("y.component")) & _can_be_similar("x", "y", similarity)
+    found = rows.alias("x").join(
+        rows.alias("y"), (F.col("x.band") == F.col("y.band")) & (F.col("x.bucket") == F.col("y.bucket"))
+        & (F.col("x.component") < F.col("y.component")) & _can_be_similar(similarity)
         & (first_in_common["band"] == F.col("x.band")))
-    return pairs.unionByName(crowded.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")))
+    return found.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -321,18 +355,19 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         if turn < LEADER_ROUNDS:
             pairs = _led_pairs(rows, F.xxhash64("node", F.lit(turn)))
         else:
-            crowd = rows.filter(F.col("size") > CROWD)
-            if bounds is None:
-                bounds = limits(texts.join(crowd.select("node").distinct(), "node", "left_semi"), inverse)
-                # A text whose common part is too small for any partner is left out at once.
-                bounds = stored(bounds.filter((F.col("common") * (1 + 1e-9) >= similarity * F.col("weight"))
-                                              | (F.col("n_common") >= similarity * F.col("n"))), "limits")
             if turn < LEADER_ROUNDS + CENTRAL_ROUNDS:
+                crowd = rows.filter(F.col("size") > CROWD)
+                if bounds is None:
+                    bounds = limits(texts.join(crowd.select("node").distinct(), "node", "left_semi"), inverse)
+                    bounds = stored(bounds, "limits")
                 # The text with the least of its own is the likeliest to be what the others were made from.
                 own = F.struct(1 - F.col("common") / F.col("weight"), F.xxhash64("node", F.lit(turn)))
-                pairs = _led_pairs(crowd.join(bounds, "node"), own)
+                # A text whose common part is too small for any partner is left out at once.
+                able = bounds.filter(F.col("common") * (1 + 1e-9) >= similarity * F.col("weight"))
+                pairs = _led_pairs(crowd.join(able, "node"), own)
             else:
-                pairs = _all_pairs(rows, bounds, similarity)
+                profile = profiles(texts.join(rows.select("node").distinct(), "node", "left_semi"), inverse)
+                pairs = _all_pairs(rows.join(stored(profile, "profiles"), "node"), similarity)
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")

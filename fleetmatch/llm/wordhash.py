@@ -6,11 +6,13 @@ folding; everything else in ASCII separates words.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
 
+SLICE = 1 << 17         # bytes hashed at a time
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _IS_WORD = np.array([chr(b).isalnum() or b > 127 for b in range(256)])
 _MULTIPLIERS = np.random.default_rng(20240131).integers(1, 1 << 63, 64, dtype=np.uint64) | np.uint64(1)
@@ -39,21 +41,36 @@ class Words:
     first: np.ndarray   # where the words of each text begin, and the end of all
 
 
+def _slices(inside: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Bounds of slices of about ``most`` bytes that end between words; a longer word is in one slice."""
+    begin, size = 0, len(inside)
+    while begin < size:
+        end = min(size, begin + most)
+        while end < size and inside[end - 1] and inside[end]:
+            more = np.flatnonzero(~inside[end:end + most])
+            end = end + int(more[0]) if len(more) else min(size, end + most)
+        yield begin, end
+        begin = end
+
+
 def words_of(texts: list[str | None]) -> Words:
+    """The words' hashes; beyond the texts' own bytes, working arrays are those of ``SLICE`` bytes."""
     parts = [text.casefold().encode("utf-8", "replace") if text else b"" for text in texts]
-    data = np.frombuffer(b"\n".join([*parts, b""]), np.uint8)
     begins = np.cumsum([0, *(len(part) + 1 for part in parts)])
-    size = 1 << 21
-    while size < len(data):
-        size *= 2
-    up, down = _powers(size)
+    data = np.frombuffer(b"\n".join([*parts, b""]), np.uint8)
+    del parts
     inside = _IS_WORD[data]
-    change = np.flatnonzero(np.diff(inside, prepend=False, append=False))
-    starts, ends = change[::2], change[1::2]
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:len(data)], out=sums[1:])
-    hashes = mixed((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
-    return Words(hashes, np.searchsorted(starts, begins))
+    hashes, places = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    for begin, end in _slices(inside, SLICE):
+        change = np.flatnonzero(np.diff(inside[begin:end], prepend=False, append=False))
+        starts, ends = change[::2], change[1::2]
+        # A word longer than a slice is rare; its powers are not kept.
+        up, down = _powers(SLICE) if end - begin <= SLICE else _powers.__wrapped__(end - begin)
+        sums = np.zeros(end - begin + 1, np.uint64)
+        np.cumsum((data[begin:end].astype(np.uint64) + np.uint64(1)) * up[:end - begin], out=sums[1:])
+        hashes.append(mixed((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64)))
+        places.append(starts + begin)
+    return Words(np.concatenate(hashes), np.searchsorted(np.concatenate(places), begins))
 
 
 def window_hashes(hashes: np.ndarray, length: int) -> np.ndarray:

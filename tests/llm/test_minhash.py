@@ -1,9 +1,10 @@
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
 
-from fleetmatch.llm import minhash
+from fleetmatch.llm import minhash, wordhash
 from fleetmatch.llm.common import read_table
 from fleetmatch.llm.graph import components
 from tests.llm.helpers import by_id, documents, no_documents, odd_documents
@@ -20,8 +21,7 @@ def similarity(texts, inverse):
             common = a.keys() & b.keys()
             if common:
                 shared = sum(min(a[e], b[e]) for e in common)
-                weighted = shared / (sum(a.values()) + sum(b.values()) - shared)
-                found[j, i] = max(weighted, len(common) / len(a.keys() | b.keys()))
+                found[j, i] = shared / (sum(a.values()) + sum(b.values()) - shared)
     return found
 
 
@@ -71,6 +71,50 @@ def test_samples_agree_as_often_as_the_similarity_says():
     assert abs(hits - expected) < 5 * np.sqrt(expected) + 10
 
 
+def test_samples_take_bounded_memory_whatever_the_weights():
+    rng = np.random.default_rng(7)
+    elements = np.sort(rng.choice(1 << 40, 30000, replace=False)).astype(np.uint64)
+    inverse = 1 + rng.integers(0, 17, 1 << minhash.FEATURE_BITS) / 16
+    for most in (1, 1 << 14):  # one count for all; some 250 different weights
+        sets = minhash.Sets(elements, rng.integers(1, most + 1, 30000), np.array([0, 10000, 30000]))
+        weights = minhash.weights_of(sets, inverse)
+        minhash.Sampler()
+        tracemalloc.start()
+        sampler = minhash.Sampler()
+        sampler.bands(sets, weights)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 200 * len(elements), (len(np.unique(weights)), peak)
+
+
+def test_words_are_the_same_in_slices_of_any_size(monkeypatch):
+    texts = [None, "", "One two. three", "x" * 300, "a b " * 200, "é" * 90 + " end", "中文 words!", " \n"]
+    whole = minhash.words_of(texts)
+    for size in (1, 2, 5, 64, 1000):
+        monkeypatch.setattr(wordhash, "SLICE", size)
+        wordhash._powers.cache_clear()
+        found = minhash.words_of(texts)
+        assert (found.hashes == whole.hashes).all() and (found.first == whole.first).all()
+    wordhash._powers.cache_clear()
+
+
+def test_profiles_bound_what_texts_share(spark):
+    rng = random.Random(8)
+    base = [f"w{rng.randrange(90)}" for _ in range(150)]
+    texts = [edited(rng, base, rng.randrange(60)) for _ in range(40)] + ["short", "a b c d e f " * 30]
+    inverse = 1 + np.random.default_rng(8).integers(0, 17, 1 << minhash.FEATURE_BITS) / 16
+    frame = spark.createDataFrame(list(enumerate(texts)), "node bigint, text string")
+    rows = {r.node: r for r in minhash.profiles(frame, inverse).collect()}
+    for (a, b), share in similarity(texts, inverse).items():
+        most = sum(min(x, y) for x, y in zip(rows[a][2:], rows[b][2:]))
+        total = rows[a].total + rows[b].total
+        assert most / (total - most) >= share - 1e-9
+    pairs = spark.createDataFrame([(0, 0, i, i) for i in range(len(texts))], "band int, bucket bigint, node bigint, component bigint")
+    kept = {(r.a, r.b) for r in minhash._all_pairs(pairs.join(minhash.profiles(frame, inverse), "node"), 0.5).collect()}
+    similar = {pair for pair, share in similarity(texts, inverse).items() if share >= 0.5}
+    assert similar and similar <= kept and len(kept) < len(texts) * (len(texts) - 1) / 2
+
+
 def test_classes_are_those_of_all_pairs(spark):
     rng = random.Random(2)
     texts = []
