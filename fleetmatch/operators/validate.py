@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from fleetmatch.functions import is_date
 from fleetmatch.operators.projection import select_once
+from fleetmatch.operators.records import with_record
 
 # Accepted shapes, and below the messages of each check. The space
 # class is the white space of trim().
@@ -76,12 +77,11 @@ def validate_devices(df: DataFrame, record: str) -> DataFrame:
     """Validate raw JSON records, where the JSON type of a field matters.
 
     A NULL field and an absent field differ: only the present NULL breaks the
-    rule that isOnline is a boolean.
+    rule that isOnline is a boolean. A key that a record repeats has its last value.
     """
     fields = ("id", "deviceId", "name", "isOnline", "lastActivity")
     names = df.columns
-    parsed = select_once(df, {**{name: F.col(name) for name in names},
-                              "parsed": F.try_parse_json(F.col(record))})
+    parsed = with_record(df, record, "parsed")
     values = {name: F.variant_get("parsed", f"$.{name}", "variant") for name in fields}
     typed = select_once(parsed, {
         **{name: F.col(name) for name in names},

@@ -148,7 +148,7 @@ DATE_FORMS = (
 ANY_DATE = "CASE o_orderkey % {} {} END".format(
     len(DATE_FORMS), " ".join(f"WHEN {i} THEN '{text}'" for i, (text, _) in enumerate(DATE_FORMS)))
 
-DEVICE_JSON = """CASE event_id % 9
+DEVICE_JSON = """CASE event_id % 12
     WHEN 0 THEN '{"id": "' || CAST(event_id AS STRING) || '", "name": "dev", "isOnline": true, '
         || '"lastActivity": "' || CAST(CAST(ts AS DATE) AS STRING) || 'T10:00:00Z"}'
     WHEN 1 THEN '{"deviceId": ' || CAST(user_id AS STRING) || ', "name": 5, "isOnline": "yes"}'
@@ -158,7 +158,24 @@ DEVICE_JSON = """CASE event_id % 9
     WHEN 5 THEN '{"id": 0, "deviceId": "x", "lastActivity": "2024-13-01"}'
     WHEN 6 THEN '{"name": {"first": "a"}, "isOnline": false, "lastActivity": 2024}'
     WHEN 7 THEN '{"id": 1.5, "name": "' || event_type || '", "isOnline": 1, "lastActivity": null}'
+    WHEN 9 THEN '{"id": "", "name": 7, "isOnline": true, "name": "' || event_type || '", "id": ' || CAST(event_id AS STRING) || '}'
+    WHEN 10 THEN '{"id": 1, "isOnline": 0, "lastActivity": "2024-01-01", "id": "", "lastActivity": "soon", "isOnline": false}'
     ELSE props END"""
+# The same with the last value of each key that is repeated.
+DEVICE_JSON_LAST = DEVICE_JSON.replace('"id": "", "name": 7, "isOnline": true,', '"isOnline": true,').replace(
+    '"id": 1, "isOnline": 0, "lastActivity": "2024-01-01", ', "")
+
+# Records whose keys differ by row; user_id is reached on two ways, in either order.
+OPEN_JSON = """CASE event_id % 8
+    WHEN 0 THEN '{"k": 1, "user": {"id": ' || CAST(user_id AS STRING) || ', "tags": ["a", ' || CAST(event_id AS STRING) || ']}}'
+    WHEN 1 THEN '{"user": {"id": "u' || CAST(user_id AS STRING) || '", "home": {"city": "' || event_type || '", "zip": null}}, "empty": {}}'
+    WHEN 2 THEN '{"user_id": ' || CAST(event_id AS STRING) || ', "user": {"name": "x", "id": ' || CAST(user_id AS STRING) || '}}'
+    WHEN 3 THEN '{"user": {"id": ' || CAST(user_id AS STRING) || '}, "user_id": null, "none": null}'
+    WHEN 4 THEN '{"user": "' || event_type || '", "k": true, "k": ' || CAST(event_id AS STRING) || '}'
+    WHEN 5 THEN '{"user": {"home": {}, "id": ' || CAST(event_id AS STRING) || '}, "user_home": {"city": "b"}, "it''s": 5}'
+    WHEN 6 THEN '[1, {"k": 2}]'
+    ELSE 'not json ' || event_type END"""
+
 
 SECONDS = "(l_orderkey * l_linenumber - 100)"
 BYTES = "(l_orderkey * l_partkey * l_linenumber * l_suppkey)"

@@ -368,7 +368,7 @@ ORACLES: dict[str, str] = {
         "event_id",
         f"""SELECT event_id, CASE WHEN json_valid(record) THEN record END AS r,
             coalesce(CASE WHEN json_valid(record) THEN json_type(record) END = 'OBJECT', false) AS is_record
-            FROM (SELECT event_id, {fx.DEVICE_JSON} AS record FROM events)""",
+            FROM (SELECT event_id, {fx.DEVICE_JSON_LAST} AS record FROM events)""",
         ("Record is not a JSON object", "NOT is_record"),
         ("Device must have an id or deviceId",
          f"is_record AND NOT ({_json_given('id')}) AND NOT ({_json_given('deviceId')})"),
@@ -401,6 +401,15 @@ ORACLES: dict[str, str] = {
         CAST(json_extract_string(props, '$.k') AS INTEGER) AS props_k, 'first' AS actor_user,
         'second' AS pair_user, CAST(user_id AS VARCHAR) || ',' || CAST(event_id AS VARCHAR) AS pair_ids
         FROM events""",
+    "flatten_open_props": """SELECT event_id, 'kept' AS record_k2, CASE event_id % 8
+        WHEN 0 THEN '1' WHEN 4 THEN CAST(event_id AS VARCHAR) END AS record_k, CASE event_id % 8
+        WHEN 4 THEN event_type END AS record_user, CASE event_id % 8
+        WHEN 0 THEN CAST(user_id AS VARCHAR) WHEN 1 THEN 'u' || CAST(user_id AS VARCHAR)
+        WHEN 2 THEN CAST(user_id AS VARCHAR) WHEN 5 THEN CAST(event_id AS VARCHAR) END AS record_user_id, CASE event_id % 8
+        WHEN 0 THEN '["a",' || CAST(event_id AS VARCHAR) || ']' END AS record_user_tags, CASE event_id % 8
+        WHEN 1 THEN event_type WHEN 5 THEN 'b' END AS record_user_home_city, CAST(NULL AS VARCHAR) AS record_user_home_zip,
+        CASE event_id % 8 WHEN 2 THEN 'x' END AS record_user_name, CAST(NULL AS VARCHAR) AS record_none,
+        CASE event_id % 8 WHEN 5 THEN '5' END AS "record_it's" FROM events""",
     "group_collect": """SELECT conv_id, (i - 1) // 1000 AS chunk, count(*) AS n,
         string_agg(role || ': ' || text, chr(10) ORDER BY i) AS talk
         FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS i FROM conversations)

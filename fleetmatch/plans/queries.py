@@ -43,7 +43,7 @@ from fleetmatch.operators.coverage import (
 from fleetmatch.operators.dedupe import duplicate_counts, first_wins
 from fleetmatch.operators.events import event_rows
 from fleetmatch.operators.inventory import parse_inventory, parse_rows, truncation_collisions
-from fleetmatch.operators.nested import collect_groups, flatten
+from fleetmatch.operators.nested import collect_groups, flatten, flatten_open
 from fleetmatch.operators.stats import duration_stats
 from fleetmatch.operators.validate import (
     constraint_audit,
@@ -462,6 +462,13 @@ def flatten_props(spark, sf_dir):
     return flat.withColumn("pair_ids", F.concat_ws(",", F.col("pair_ids").cast("array<string>")))
 
 
+@query
+def flatten_open_props(spark, sf_dir):
+    """Records whose keys differ by row; one column of the table has a name that a record could give."""
+    rows = fx.derived(spark, sf_dir, "events", {"event_id": "event_id", "record": fx.OPEN_JSON, "record_k2": "'kept'"})
+    return flatten_open(rows, "record", "string")
+
+
 @query
 def group_collect(spark, sf_dir):
     turns = fx.table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
