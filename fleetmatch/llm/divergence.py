@@ -8,12 +8,14 @@ kept terms and ``V`` the number of kept terms. Part ``pair`` sums ``|p - q|`` ov
 all kept terms for each two sources of a language; part ``term`` ranks the terms
 that a group uses more than its language does.
 
-Strings come late. One scan counts the terms of each task's documents and writes
-them once, with a digest of fixed width beside each string. All counting shuffles
-the digests alone. Only for digests that can be kept are the strings read again,
-as the least and the greatest string of each digest; where these differ, several
-terms share the digest and are counted by string. The text of a term joins the
-result for the ranks that are returned.
+Strings come late. A first scan counts documents by digests of fixed width, which
+alone are shuffled. A second one counts the terms whose digests can be kept, in
+each task, and writes the digests and counts, with each string once a language
+and table. The least and the greatest string of a digest tell whether several
+terms share it; those, if any, are counted by string in a scan of their own. The
+text of a term joins the result for the ranks that are returned. Up to
+``MAX_SHIPPED`` digests that can be kept go to the tasks; if there are more, the
+second scan writes all terms and Spark joins them.
 
 A term's share is constant in all groups that do not have it, so only the counts
 that are not zero are rows; a task puts those of a block of terms in a matrix
@@ -29,16 +31,19 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from fleetmatch.llm.common import pick, pieces, stored
+from fleetmatch.llm.tokens import Recent
 
 MIN_DOCUMENTS = 30
 SCALE = 1_000_000_000
@@ -46,7 +51,8 @@ SMOOTH = 5
 TOP_TERMS = 50
 DIGEST_BITS = 64
 SLICE = 1 << 20
-TABLE_TERMS = 1 << 17      # terms a task counts before it writes them
+TABLE_TERMS = 1 << 19      # terms a task counts before it writes them
+MAX_SHIPPED = 1 << 19      # digests that a task is given
 BLOCK_CELLS = 1 << 18      # of a matrix of terms and sources
 PAIR_CELLS = 1 << 21       # sums of pairs a task keeps
 
@@ -65,73 +71,159 @@ def _slices(text: bytes, most: int = SLICE) -> Iterator[bytes]:
     yield text[begin:] if begin else text
 
 
-def term_counts(text: bytes) -> Counter:
-    """Occurrences of each term; bytes are lower-cased in ASCII only."""
-    found = Counter()
-    for part in _slices(text):
-        found.update(_terms(part.lower()))
-    return found
+def terms_of(text: bytes) -> Iterable[bytes]:
+    """The terms in order, with repetitions; bytes are lower-cased in ASCII only."""
+    if len(text) <= SLICE:
+        return _terms(text.lower())
+    return chain.from_iterable(_terms(part.lower()) for part in _slices(text))
 
 
-def _signed(value: int, bits: int) -> int:
-    value >>= 64 - bits
-    return value - (1 << 64) if value >> 63 else value
+def _digests(words: list[bytes], bits: int) -> np.ndarray:
+    found = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+    return (found >> np.uint64(64 - bits)).astype(np.int64)
 
 
-def counted_terms(docs: DataFrame, bits: int = DIGEST_BITS) -> DataFrame:
-    """``lang``, ``source``, ``digest``, ``word``, ``n`` and ``docs``: sums of each task, as a table."""
-    def run(batches):
-        sums: dict[tuple, dict[bytes, list]] = {}
-        size = 0
+class _Wanted(Recent):
+    """Whether a term's digest is one of those given; the terms seen last are remembered."""
+
+    def __init__(self, digests: frozenset, bits: int):
+        super().__init__(lambda word: int(_digests([word], bits)[0]) in digests)
+
+
+def _batch(**columns) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
+
+
+def _repeated(value: str, number: int) -> pa.Array:
+    return pa.array([value], pa.string()).take(pa.array(np.zeros(number, np.int32)))
 
-        def batch_of():
-            rows = [(*group, _signed(xxhash.xxh3_64_intdigest(word), bits), word, n, docs)
-                    for group, table in sums.items() for word, (n, docs) in table.items()]
-            types = [pa.string(), pa.string(), pa.int64(), pa.binary(), pa.int64(), pa.int64()]
-            columns = list(zip(*rows)) or [[]] * len(types)
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)],
-                                              ["lang", "source", "digest", "word", "n", "docs"])
 
+def _counting(docs: DataFrame, schema: str, add, rows) -> DataFrame:
+    """What ``rows(tables)`` gives for tables that ``add(tables, lang, source, text)`` fills.
+
+    ``add`` returns by how many terms the tables have grown; they are emptied in between.
+    """
+    most = TABLE_TERMS
+
+    def run(batches):
+        tables, size = {}, 0
         for batch in pieces(batches, "text"):
             for text, lang, source in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                table = sums.setdefault((lang, source), {})
-                size -= len(table)
-                for word, n in term_counts(text).items():
-                    entry = table.get(word)
-                    if entry is None:
-                        table[word] = [n, 1]
-                    else:
-                        entry[0] += n
-                        entry[1] += 1
-                size += len(table)
-                if size >= TABLE_TERMS:
-                    yield batch_of()
-                    sums, size = {}, 0
-        if size:
-            yield batch_of()
-
-    counted = docs.select(F.col("text").cast("binary").alias("text"), "lang", "source").mapInArrow(
-        run, "lang string, source string, digest bigint, word binary, n bigint, docs bigint")
-    return stored(counted, "terms")
-
-
-def kept_counts(terms: DataFrame, min_documents: int) -> DataFrame:
-    """``lang``, ``digest``, ``split``, ``source`` and ``n`` of kept terms; ``split`` is the term if its digest has several, else empty."""
+                size += add(tables, lang, source, text)
+                if size >= most:
+                    yield from rows(tables)
+                    tables, size = {}, 0
+        yield from rows(tables)
+
+    return docs.select(F.col("text").cast("binary").alias("text"), "lang", "source").mapInArrow(run, schema)
+
+
+def document_counts(docs: DataFrame, bits: int) -> DataFrame:
+    """``lang``, ``digest``, ``docs``: documents with a term, by task."""
+    def add(tables, lang, source, text):
+        table = tables.setdefault(lang, Counter())
+        before = len(table)
+        table.update(set(terms_of(text)))
+        return len(table) - before
+
+    def rows(tables):
+        for lang, table in tables.items():
+            yield _batch(lang=_repeated(lang, len(table)), digest=pa.array(_digests(list(table), bits)),
+                         docs=pa.array(list(table.values()), pa.int64()))
+
+    return _counting(docs, "lang string, digest bigint, docs bigint", add, rows)
+
+
+def term_counts(docs: DataFrame, wanted: Broadcast | None, bits: int) -> DataFrame:
+    """``lang``, ``source``, ``digest``, ``n`` by task, as a table; ``word`` once a language, else null."""
+    def add(tables, lang, source, text):
+        table = tables.setdefault((lang, source), Counter())
+        before = len(table)
+        if wanted is None:
+            table.update(terms_of(text))
+        else:
+            known = tables.get(lang)
+            if known is None:
+                known = tables[lang] = _Wanted(wanted.value.get(lang, frozenset()), bits)
+            table.update(filter(known.__getitem__, terms_of(text)))
+        return len(table) - before
+
+    def rows(tables):
+        told = {}
+        for group, table in tables.items():
+            if isinstance(group, str) or not table:
+                continue
+            lang, source = group
+            seen, words = told.setdefault(lang, set()), list(table)
+            given = [None if word in seen else word for word in words]
+            seen.update(words)
+            yield _batch(lang=_repeated(lang, len(words)), source=_repeated(source, len(words)),
+                         digest=pa.array(_digests(words, bits)), n=pa.array(list(table.values()), pa.int64()),
+                         word=pa.array(given, pa.binary()))
+
+    return stored(_counting(docs, "lang string, source string, digest bigint, n bigint, word binary", add, rows), "terms")
+
+
+def split_counts(docs: DataFrame, wanted: Broadcast | None, bits: int) -> DataFrame:
+    """``lang``, ``source``, ``digest``, ``split`` (the term), ``n`` and ``docs`` of the terms wanted, by task."""
+    def add(tables, lang, source, text):
+        keep = wanted.value.get(lang, frozenset()) if wanted is not None else None
+        counted = Counter(terms_of(text))
+        words = list(counted)
+        table = tables.setdefault((lang, source), {})
+        before = len(table)
+        for word, digest in zip(words, _digests(words, bits).tolist()):
+            if keep is None or digest in keep:
+                n, held, _ = table.get(word, (0, 0, 0))
+                table[word] = (n + counted[word], held + 1, digest)
+        return len(table) - before
+
+    def rows(tables):
+        for (lang, source), table in tables.items():
+            n, held, digests = zip(*table.values()) if table else ((), (), ())
+            yield _batch(lang=_repeated(lang, len(table)), source=_repeated(source, len(table)),
+                         digest=pa.array(digests, pa.int64()), split=pa.array(list(table), pa.binary()),
+                         n=pa.array(n, pa.int64()), docs=pa.array(held, pa.int64()))
+
+    return _counting(docs, "lang string, source string, digest bigint, split binary, n bigint, docs bigint", add, rows)
+
+
+def _shipped(digests: DataFrame) -> Broadcast | None:
+    """The digests by language for the tasks, if they are few enough."""
+    if digests.count() > MAX_SHIPPED:
+        return None
+    found = digests.toPandas()
+    sets = {lang: frozenset(rows["digest"].tolist()) for lang, rows in found.groupby("lang")}
+    return digests.sparkSession.sparkContext.broadcast(sets)
+
+
+def kept_counts(docs: DataFrame, min_documents: int, bits: int) -> tuple[DataFrame, DataFrame]:
+    """The kept terms' counts, and ``lang``, ``digest``, ``word`` of all terms that can be kept.
+
+    The counts have ``lang``, ``digest``, ``split``, ``source`` and ``n``; ``split`` is the
+    term if its digest has several, else empty.
+    """
     key = ["lang", "digest"]
     # A term in enough documents has a digest in enough; a digest may have them from several terms.
-    possible = stored(terms.groupBy(*key).agg(F.sum("docs").alias("docs")).filter(F.col("docs") >= min_documents)
-                      .select(*key), "possible-terms")
-    words = terms.select(*key, "word").join(possible, key, "left_semi").distinct()
+    possible = stored(document_counts(docs, bits).groupBy(*key).agg(F.sum("docs").alias("docs"))
+                      .filter(F.col("docs") >= min_documents).select(*key), "possible-terms")
+    wanted = _shipped(possible)
+    terms = term_counts(docs, wanted, bits)
+    if wanted is None:
+        terms = terms.join(possible, key, "left_semi")
+    words = terms.filter("word is not null").select(*key, "word").distinct()
     shared = stored(words.groupBy(*key).agg(F.min("word").alias("low"), F.max("word").alias("high"))
                     .filter(F.col("low") < F.col("high")).select(*key), "shared-digests")
-    alone = (terms.select(*key, "source", "n").join(possible, key, "left_semi").join(shared, key, "left_anti")
-             .groupBy(*key, "source").agg(F.sum("n").alias("n")).withColumn("split", F.lit(b"")))
-    apart = (terms.join(shared, key, "left_semi").groupBy(*key, F.col("word").alias("split"), "source")
-             .agg(F.sum("n").alias("n"), F.sum("docs").alias("docs")))
-    enough = apart.groupBy(*key, "split").agg(F.sum("docs").alias("docs")).filter(F.col("docs") >= min_documents)
-    apart = apart.drop("docs").join(enough, [*key, "split"], "left_semi")
+    alone, apart = terms.select(*key, "source", "n"), None
     columns = [*key, "split", "source", "n"]
-    return stored(alone.select(*columns).unionByName(apart.select(*columns)), "kept-terms")
+    if not shared.isEmpty():
+        alone = alone.join(shared, key, "left_anti")
+        apart = split_counts(docs, _shipped(shared), bits).join(shared, key, "left_semi")
+        apart = apart.groupBy(*key, "split", "source").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+        enough = apart.groupBy(*key, "split").agg(F.sum("docs").alias("docs")).filter(F.col("docs") >= min_documents)
+        apart = apart.drop("docs").join(enough, [*key, "split"], "left_semi").select(*columns)
+    counts = alone.groupBy(*key, "source").agg(F.sum("n").alias("n")).withColumn("split", F.lit(b"")).select(*columns)
+    return stored(counts if apart is None else counts.unionByName(apart), "kept-terms"), words
 
 
 def _share(count, total, kept):
@@ -252,8 +344,7 @@ def divergence(df: DataFrame, text_col: str = "text", lang_col: str = "lang", so
     """``lang``, ``source``, ``part`` (pair or term), ``item``, ``value`` and ``rank``; ``top`` limits the terms reported."""
     rows = pick(df, {"text": text_col, "lang": lang_col, "source": source_col})
     docs = rows.select(*[F.coalesce(name, F.lit("")).alias(name) for name in ("text", "lang", "source")])
-    terms = counted_terms(docs, bits)
-    counts = kept_counts(terms, min_documents)
+    counts, words = kept_counts(docs, min_documents, bits)
     by_lang = counts.groupBy("lang", "digest", "split").agg(F.sum("n").alias("lang_n"))
     langs = by_lang.groupBy("lang").agg(F.count("*").alias("kept"), F.sum("lang_n").alias("lang_total"))
     totals = counts.groupBy("lang", "source").agg(F.sum("n").alias("total"))
@@ -280,8 +371,7 @@ def divergence(df: DataFrame, text_col: str = "text", lang_col: str = "lang", so
                .select("lang", "source", "digest", "split", "value"))
     leading = stored(leading, "leading-terms")
     wanted = leading.filter(F.length("split") == 0).select("lang", "digest").distinct()
-    words = (terms.select("lang", "digest", "word").join(wanted, ["lang", "digest"], "left_semi").distinct()
-             .withColumn("split", F.lit(b"")))
+    words = words.join(wanted, ["lang", "digest"], "left_semi").withColumn("split", F.lit(b""))
     named = leading.join(words, ["lang", "digest", "split"], "left").select(
         "lang", "source", F.lit("term").alias("part"), F.coalesce("word", "split").cast("string").alias("item"), "value")
     return _ranked(pairs).unionByName(_ranked(named, top))

@@ -108,10 +108,14 @@ def test_odd_rows_and_none(spark):
 
 def test_slices_end_between_terms():
     text = "Ähm, wörd Wörd é... end".encode() * 50
-    whole = divergence.term_counts(text)
+    whole = divergence.terms_of(text)
     for most in (1, 2, 3, 10, 100):
-        total = {}
-        for part in divergence._slices(text, most):
-            for term, n in divergence.term_counts(part).items():
-                total[term] = total.get(term, 0) + n
-        assert total == whole
+        assert [t for part in divergence._slices(text, most) for t in divergence.terms_of(part)] == whole
+
+
+def test_more_digests_than_tasks_are_given(spark, monkeypatch):
+    frame, rows = random_docs(spark, random.Random(5), 300)
+    wanted = plain(rows)
+    monkeypatch.setattr(divergence, "MAX_SHIPPED", 0)
+    for bits in (64, 2):
+        assert found(divergence.divergence(frame, bits=bits)) == wanted
