@@ -181,6 +181,17 @@ SECONDS = "(l_orderkey * l_linenumber - 100)"
 BYTES = "(l_orderkey * l_partkey * l_linenumber * l_suppkey)"
 
 
+# The current export of system A as files of three forms, dealt by order: own delimiters, names and orders of columns.
+FORM = "l_orderkey % 3"
+FORM_HEADERS = (HEADER_A, "id;Name;OS;IP", "platform\tComputer\tLast Seen\tDescription\tid2")
+FORM_LINES = (
+    LINE_A,
+    f"concat_ws(';', {RAW_A['host_raw']}, {RAW_A['description_raw']}, {RAW_A['platform_raw']}, {RAW_A['ip_raw']})",
+    f"""CASE WHEN l_linenumber = 7 THEN l_returnflag || l_linestatus ELSE concat_ws(chr(9), {RAW_A['platform_raw']}, {RAW_A['host_raw']},
+        {RAW_A['last_seen_raw']}, {RAW_A['description_raw']}) END""",
+)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -216,9 +227,19 @@ def previous_b(spark: SparkSession, sf_dir: str) -> Export:
                                     {"row_order": "c_custkey", "value": LINE_PREVIOUS_B}))
 
 
-def write_export(export: Export) -> str:
+def write_forms(spark: SparkSession, sf_dir: str) -> str:
+    """Write the export in three forms, each with its own header; returns a path for all of their files."""
+    path = scratch_path(spark, "forms")
+    for number, (header, line) in enumerate(zip(FORM_HEADERS, FORM_LINES)):
+        lines = select_once(table(spark, sf_dir, "lineitem").where(f"{FORM} = {number}"),
+                            {"value": F.expr(line), "row_order": F.struct(*ORDER_A)})
+        write_export(Export(header, lines), f"{path}/form-{number}")
+    return f"{path}/*"
+
+
+def write_export(export: Export, path: str | None = None) -> str:
     """Write an export as part files with a header each, in row order; returns the folder."""
-    path = scratch_path(export.lines.sparkSession, "export")
+    path = path or scratch_path(export.lines.sparkSession, "export")
     (
         export.lines.orderBy("row_order").select("value").toDF(export.header)
         .write.option("header", True).option("sep", "\u0001").option("quote", "").option("escapeQuotes", False)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import datetime
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,10 +22,12 @@ from fleetmatch.operators.coverage import (
     stale_keys,
 )
 from fleetmatch.operators.events import event_rows
-from fleetmatch.operators.inventory import parse_inventory
+from fleetmatch.operators.inventory import parse_with_rejects
 from fleetmatch.schemas import (
     COVERAGE_SCHEMA,
     EVENT_SCHEMA,
+    REJECT_SCHEMA,
+    STORED_COVERAGE_SCHEMA,
     InventorySpec,
     endpoint_inventory,
     remote_inventory,
@@ -36,12 +39,17 @@ from fleetmatch.sources.snapshots import SnapshotStore
 
 COVERAGE_TABLE = "device_coverage"
 EVENTS_DATASET = "etl_events"
+REJECTS_DATASET = "rejected_lines"
 
 
 @dataclass(frozen=True)
 class SyncResult:
+    """What became of an export's lines: imported + duplicates + rejected is their number."""
+
     imported: int
     stale: int
+    duplicates: int = 0
+    rejected: int = 0
 
 
 class CoverageJobs:
@@ -68,20 +76,33 @@ class CoverageJobs:
     def sync(self, source: str | Export, spec: InventorySpec, run_ts: datetime, min_rows: int = 0) -> SyncResult:
         """Make the stored inventory equal to the export: stale hosts go, the rest is replaced.
 
-        The export is parsed once, into the new run; all counts come from that
-        copy. An export without a usable row empties the inventory unless
-        ``min_rows`` refuses it. A retry with the same time finds what was
-        committed and does not import it again.
+        The export is parsed once, into the new run and the rejected lines; all
+        counts come from what was written. Every row gets the run's time, as it
+        replaces the one before. An export without a usable row empties the
+        inventory unless ``min_rows`` refuses it. A retry with the same time finds
+        what was committed and does not import it again.
         """
         run_id = run_id_of(run_ts)
         done = self.store.committed_rows(spec.table, run_id)
         if done is not None:
             stale = self.events().where((F.col("run_id") == run_id) & (F.col("system") == spec.label)
                                         & (F.col("action") == "delete_stale")).agg(F.sum("records_processed")).first()
-            return SyncResult(done, stale[0] or 0)
+            counts = self._read_counts(self.store.read_run(spec.table, run_id, spec.stored_schema), spec, run_id)
+            return SyncResult(done, stale[0] or 0, *counts)
         export = read_export(self.spark, source) if isinstance(source, str) else source
-        previous = self.store.read(spec.table, spec.schema)
-        current = self.store.stage(spec.table, run_id, parse_inventory(export, spec, run_ts), spec.schema)
+        previous = self.store.read(spec.table, spec.stored_schema)
+        now = F.lit(run_ts).cast("timestamp_ntz")
+        # Two tables from one pass; a lost executor's part is parsed again.
+        parsed = parse_with_rejects(export, spec, run_ts).persist(StorageLevel.DISK_ONLY)
+        try:
+            stored = parsed.where(F.col("reject_reason").isNull()).withColumns({"imported_at": now, "updated_at": now})
+            current = self.store.stage(spec.table, run_id, stored, spec.stored_schema)
+            rejects = parsed.where(F.col("reject_reason").isNotNull()).select(
+                F.lit(spec.table).alias("table_name"), F.lit(run_id).alias("run_id"), F.col("reject_reason").alias("reason"),
+                F.col("reject_line").alias("line"), now.alias("rejected_at"))
+            self.store.append(REJECTS_DATASET, f"{run_id}-{spec.table}", rejects)
+        finally:
+            parsed.unpersist()
         imported = current.count()
         if imported < min_rows:
             raise ValueError(f"{spec.table}: {imported} hosts in the export, at least {min_rows} expected")
@@ -89,7 +110,13 @@ class CoverageJobs:
         self._log(spec.table, [(spec.label, "delete_stale", spec.noun, stale),
                                (spec.label, "import", spec.noun, imported)], run_ts, run_id)
         self.store.commit(spec.table, run_id, imported)
-        return SyncResult(imported, stale)
+        return SyncResult(imported, stale, *self._read_counts(current, spec, run_id))
+
+    def _read_counts(self, run: DataFrame, spec: InventorySpec, run_id: str) -> tuple[int, int]:
+        """Duplicates and rejected lines of a run, from what it wrote."""
+        duplicates = run.agg(F.coalesce(F.sum(F.col("source_rows") - 1), F.lit(0))).first()[0]
+        rejected = self.rejects().where((F.col("run_id") == run_id) & (F.col("table_name") == spec.table)).count()
+        return duplicates, rejected
 
     def calculate_coverage(self, run_ts: datetime) -> int:
         """Match the current inventories and make the result the current coverage."""
@@ -98,11 +125,9 @@ class CoverageJobs:
         if done is not None:
             return done
         matched = match_coverage(
-            self.store.read(self.spec_a.table, self.spec_a.schema),
-            self.store.read(self.spec_b.table, self.spec_b.schema),
-            self.spec_a, self.spec_b, run_ts,
-        )
-        devices = self.store.stage(COVERAGE_TABLE, run_id, matched, COVERAGE_SCHEMA).count()
+            self.inventory(self.spec_a), self.inventory(self.spec_b), self.spec_a, self.spec_b, run_ts,
+        ).withColumn("last_updated", F.lit(run_ts).cast("timestamp_ntz"))
+        devices = self.store.stage(COVERAGE_TABLE, run_id, matched, STORED_COVERAGE_SCHEMA).count()
         self._log(COVERAGE_TABLE, [("Coverage", "calculate", "devices", devices)], run_ts, run_id)
         self.store.commit(COVERAGE_TABLE, run_id, devices)
         return devices
@@ -127,8 +152,19 @@ class CoverageJobs:
             return self.run(run_ts, export_b=paths[0])
         raise ValueError(f"unknown system or wrong number of paths: {system} {list(paths)}")
 
-    def coverage(self) -> DataFrame:
-        return self.store.read(COVERAGE_TABLE, COVERAGE_SCHEMA)
+    def inventory(self, spec: InventorySpec, run_times: bool = False) -> DataFrame:
+        """The current inventory, with ``imported_at`` and ``updated_at`` if ``run_times`` is set."""
+        rows = self.store.read(spec.table, spec.stored_schema)
+        return rows if run_times else rows.select(spec.schema.fieldNames())
+
+    def coverage(self, run_times: bool = False) -> DataFrame:
+        """The current coverage, with ``last_updated`` if ``run_times`` is set."""
+        rows = self.store.read(COVERAGE_TABLE, STORED_COVERAGE_SCHEMA)
+        return rows if run_times else rows.select(COVERAGE_SCHEMA.fieldNames())
+
+    def rejects(self) -> DataFrame:
+        """The lines that imports did not take, with the reason."""
+        return self.store.read_appended(REJECTS_DATASET, REJECT_SCHEMA)
 
     def events(self) -> DataFrame:
         return self.store.read_appended(EVENTS_DATASET, EVENT_SCHEMA)

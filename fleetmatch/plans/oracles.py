@@ -401,6 +401,39 @@ ORACLES: dict[str, str] = {
         CAST(json_extract_string(props, '$.k') AS INTEGER) AS props_k, 'first' AS actor_user,
         'second' AS pair_user, CAST(user_id AS VARCHAR) || ',' || CAST(event_id AS VARCHAR) AS pair_ids
         FROM events""",
+    "import_mixed_forms": _first(f"""SELECT * FROM (
+        SELECT l_orderkey % 3 AS form, {ORDER_A}, {hostname('host')} AS hostname, description,
+            {platform('platform')} AS platform, {missing_or_trimmed('ip')} AS ip_address, 'Online' AS status, last_seen
+        FROM (SELECT *, {trim("CASE l_orderkey % 3 WHEN 2 THEN f[2] ELSE f[1] END")} AS host,
+                {trim("CASE l_orderkey % 3 WHEN 0 THEN f[4] WHEN 1 THEN f[2] ELSE f[4] END")} AS description,
+                {trim("CASE l_orderkey % 3 WHEN 0 THEN f[2] WHEN 1 THEN f[3] ELSE f[1] END")} AS platform,
+                {trim("CASE l_orderkey % 3 WHEN 0 THEN f[3] WHEN 1 THEN f[4] END")} AS ip,
+                {trim("CASE l_orderkey % 3 WHEN 0 THEN f[5] WHEN 1 THEN '2024-01-31T00:00:00.000Z' ELSE f[3] END")}
+                    AS last_seen
+            FROM (SELECT *, string_split(value, CASE l_orderkey % 3 WHEN 0 THEN ',' WHEN 1 THEN ';' ELSE chr(9) END) AS f
+                FROM (SELECT *, CASE l_orderkey % 3 WHEN 0 THEN {fx.FORM_LINES[0]} WHEN 1 THEN {fx.FORM_LINES[1]}
+                    ELSE {fx.FORM_LINES[2]} END AS value FROM lineitem)) WHERE len(f) > 1))
+        WHERE hostname <> ''""", f"form, {ORDER_A}"),
+    "stored_run_times": f"""WITH {PREV_A}, {B}, times AS (
+        SELECT 'inventory_a' AS table_name, hostname, TIMESTAMP '2024-01-30 00:00:00' AS moment FROM prev_a
+        UNION ALL SELECT 'inventory_b', hostname, TIMESTAMP '2024-01-31 00:00:00' FROM b)
+        SELECT table_name, hostname, strftime(moment, '%Y-%m-%d %H:%M:%S') AS imported_at,
+            strftime(moment, '%Y-%m-%d %H:%M:%S') AS updated_at FROM times
+        UNION ALL SELECT DISTINCT 'device_coverage', hostname, NULL, '2024-01-31 00:00:00' FROM times""",
+    "rejected_lines": f"""SELECT 'inventory_a' AS table_name, CASE WHEN value LIKE '%,%' THEN 'unusable hostname'
+        ELSE 'too few fields' END AS reason, value AS line, count(*) AS n
+        FROM (SELECT {fx.LINE_A} AS value FROM lineitem)
+        WHERE {trim('value')} <> '' AND (value NOT LIKE '%,%' OR coalesce({hostname("split_part(value, ',', 1)")}, '') = '')
+        GROUP BY ALL""",
+    "import_counts": f"""WITH lines AS (
+        SELECT 'inventory_a' AS table_name, value, CASE WHEN value LIKE '%,%' THEN
+            coalesce({hostname("split_part(value, ',', 1)")}, '') END AS host FROM (SELECT {fx.LINE_A} AS value FROM lineitem)
+        UNION ALL SELECT 'inventory_b', value, CASE WHEN value LIKE '%;%' THEN
+            coalesce({hostname("split_part(value, ';', 1)")}, '') END FROM (SELECT {fx.LINE_B} AS value FROM orders))
+        SELECT table_name, count(DISTINCT nullif(host, '')) AS stored,
+            count(nullif(host, '')) - count(DISTINCT nullif(host, '')) AS duplicates,
+            count(*) FILTER (WHERE host IS NULL) AS too_few_fields, count(*) FILTER (WHERE host = '') AS unusable,
+            count(*) AS lines FROM lines WHERE {trim('value')} <> '' GROUP BY table_name""",
     "flatten_open_props": """SELECT event_id, 'kept' AS record_k2, CASE event_id % 8
         WHEN 0 THEN '1' WHEN 4 THEN CAST(event_id AS VARCHAR) END AS record_k, CASE event_id % 8
         WHEN 4 THEN event_type END AS record_user, CASE event_id % 8

@@ -42,7 +42,13 @@ from fleetmatch.operators.coverage import (
 )
 from fleetmatch.operators.dedupe import duplicate_counts, first_wins
 from fleetmatch.operators.events import event_rows
-from fleetmatch.operators.inventory import parse_inventory, parse_rows, truncation_collisions
+from fleetmatch.operators.inventory import (
+    TOO_FEW_FIELDS,
+    UNUSABLE_HOSTNAME,
+    parse_inventory,
+    parse_rows,
+    truncation_collisions,
+)
 from fleetmatch.operators.nested import collect_groups, flatten, flatten_open
 from fleetmatch.operators.stats import duration_stats
 from fleetmatch.operators.validate import (
@@ -55,7 +61,7 @@ from fleetmatch.plans import fixtures as fx
 from fleetmatch.plans.jobs import CoverageJobs
 from fleetmatch.session import run_id_of, scratch_path
 from fleetmatch.sinks.csv_text import csv_lines
-from fleetmatch.sources.delimited import detect_delimiter, field_positions
+from fleetmatch.sources.delimited import detect_delimiter, field_positions, read_export
 from fleetmatch.sources.logs import append_log, log_line, read_log, recent
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -135,6 +141,13 @@ def parse_inventory_b(spark, sf_dir):
     return current_b(spark, sf_dir)
 
 
+@query
+def import_mixed_forms(spark, sf_dir):
+    """One export in files of three forms, each with its own delimiter, names and order of columns."""
+    export = read_export(spark, fx.write_forms(spark, sf_dir))
+    return inventory_columns(parse_inventory(export, SPEC_A, RUN_TS))
+
+
 # --- snapshots ---------------------------------------------------------------
 
 @query
@@ -167,6 +180,48 @@ def snapshot_sync(spark, sf_dir):
     return jobs.store.read(SPEC_B.table, SPEC_B.schema)
 
 
+@query
+def stored_run_times(spark, sf_dir):
+    """When the rows that two imports and a match leave in the store were written."""
+    jobs = CoverageJobs(spark, scratch_path(spark, "store"))
+    jobs.run(RUN_TS - timedelta(days=1), fx.previous_a(spark, sf_dir), fx.previous_b(spark, sf_dir))
+    jobs.run(RUN_TS, export_b=fx.export_b(spark, sf_dir))
+
+    def times(name: str, rows: DataFrame, imported: str | None, updated: str) -> DataFrame:
+        shown = [F.date_format(column, "yyyy-MM-dd HH:mm:ss") if column else F.lit(None).cast("string")
+                 for column in (imported, updated)]
+        return rows.select(F.lit(name).alias("table_name"), "hostname", shown[0].alias("imported_at"),
+                           shown[1].alias("updated_at"))
+
+    stored = [times(spec.table, jobs.inventory(spec, run_times=True), "imported_at", "updated_at")
+              for spec in (SPEC_A, SPEC_B)]
+    return stored[0].union(stored[1]).union(
+        times("device_coverage", jobs.coverage(run_times=True), None, "last_updated"))
+
+
+@query
+def rejected_lines(spark, sf_dir):
+    """The lines that an import of A does not take, from its dataset of rejects."""
+    jobs = CoverageJobs(spark, scratch_path(spark, "store"))
+    jobs.sync(fx.export_a(spark, sf_dir), SPEC_A, RUN_TS)
+    return jobs.rejects().groupBy("table_name", "reason", "line").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def import_counts(spark, sf_dir):
+    """What became of the lines of both exports, from what the imports wrote."""
+    jobs = CoverageJobs(spark, scratch_path(spark, "store"))
+    jobs.sync(fx.export_a(spark, sf_dir), SPEC_A, RUN_TS)
+    jobs.sync(fx.export_b(spark, sf_dir), SPEC_B, RUN_TS)
+    rejects = jobs.rejects().groupBy("table_name").agg(
+        F.count_if(F.col("reason") == TOO_FEW_FIELDS).alias("too_few_fields"),
+        F.count_if(F.col("reason") == UNUSABLE_HOSTNAME).alias("unusable"))
+    stored = [jobs.inventory(spec).agg(F.lit(spec.table).alias("table_name"), F.count(F.lit(1)).alias("stored"),
+                                       F.sum(F.col("source_rows") - 1).alias("duplicates")) for spec in (SPEC_A, SPEC_B)]
+    counts = stored[0].union(stored[1]).join(rejects, "table_name", "left").fillna(0)
+    return counts.withColumn("lines", F.col("stored") + F.col("duplicates") + F.col("too_few_fields") + F.col("unusable"))
+
+
 # --- de-duplication ----------------------------------------------------------
 
 @query

@@ -16,6 +16,7 @@ from fleetmatch.functions import (
     parse_iso_date,
     trim_or_null,
 )
+from fleetmatch.functions.normalize import DOMAIN_SUFFIXES, HOSTNAME_LENGTH
 from fleetmatch.session import iso_text
 
 INVENTORY_A_SCHEMA = T.StructType([
@@ -49,6 +50,21 @@ COVERAGE_SCHEMA = T.StructType([
     T.StructField("coverage_status", T.StringType()),
 ])
 
+# When a run stored a row; stored tables have these columns after their own.
+RUN_TIMES = T.StructType([
+    T.StructField("imported_at", T.TimestampNTZType()),
+    T.StructField("updated_at", T.TimestampNTZType()),
+])
+STORED_COVERAGE_SCHEMA = T.StructType([*COVERAGE_SCHEMA.fields, T.StructField("last_updated", T.TimestampNTZType())])
+
+REJECT_SCHEMA = T.StructType([
+    T.StructField("table_name", T.StringType()),
+    T.StructField("run_id", T.StringType()),
+    T.StructField("reason", T.StringType()),
+    T.StructField("line", T.StringType()),
+    T.StructField("rejected_at", T.TimestampNTZType()),
+])
+
 EVENT_SCHEMA = T.StructType([
     T.StructField("event_ts", T.TimestampNTZType()),
     T.StructField("system", T.StringType()),
@@ -66,24 +82,32 @@ class InventorySpec:
 
     ``aliases`` lists, per field, the header names to look for in priority
     order. ``record`` maps the raw fields other than the hostname (NULL where the
-    export has no such field) to stored columns; ``mapped`` names those found.
+    export has no such field) to stored columns; ``mapped`` tells for each field
+    whether the line's file has it. ``suffixes`` are the domains cut off hostnames, in
+    this order, and ``hostname_length`` is the length they are cut to.
     """
 
     table: str
     label: str
     noun: str
     aliases: Mapping[str, tuple[str, ...]]
-    record: Callable[[Mapping[str, Column], frozenset[str], datetime], dict[str, Column]]
+    record: Callable[[Mapping[str, Column], Mapping[str, Column], datetime], dict[str, Column]]
     schema: T.StructType
     required: str = "hostname"
+    suffixes: tuple[str, ...] = DOMAIN_SUFFIXES
+    hostname_length: int = HOSTNAME_LENGTH
+
+    @property
+    def stored_schema(self) -> T.StructType:
+        return T.StructType([*self.schema.fields, *RUN_TIMES.fields])
 
     @property
     def only_status(self) -> str:
         return f"{self.label.upper()}_ONLY"
 
 
-def _record_a(raw: Mapping[str, Column], mapped: frozenset[str], run_ts: datetime) -> dict[str, Column]:
-    last_seen = raw["last_seen"] if "last_seen" in mapped else F.lit(iso_text(run_ts))
+def _record_a(raw: Mapping[str, Column], mapped: Mapping[str, Column], run_ts: datetime) -> dict[str, Column]:
+    last_seen = F.when(mapped["last_seen"], raw["last_seen"]).otherwise(iso_text(run_ts))
     return {
         "description": raw["description"],
         "platform": normalize_platform(raw["platform"]),
@@ -94,7 +118,7 @@ def _record_a(raw: Mapping[str, Column], mapped: frozenset[str], run_ts: datetim
     }
 
 
-def _record_b(raw: Mapping[str, Column], mapped: frozenset[str], run_ts: datetime) -> dict[str, Column]:
+def _record_b(raw: Mapping[str, Column], mapped: Mapping[str, Column], run_ts: datetime) -> dict[str, Column]:
     return {
         "os_version": trim_or_null(raw["os_version"]),
         "status": normalize_status(raw["status"]),
@@ -118,11 +142,15 @@ ALIASES_B = {
 }
 
 
-def remote_inventory(label: str = "Remote") -> InventorySpec:
+def remote_inventory(label: str = "Remote", suffixes: tuple[str, ...] = DOMAIN_SUFFIXES,
+                     hostname_length: int = HOSTNAME_LENGTH) -> InventorySpec:
     """System A: remote-access devices. ``label`` names it in reports."""
-    return InventorySpec("inventory_a", label, "devices", ALIASES_A, _record_a, INVENTORY_A_SCHEMA)
+    return InventorySpec("inventory_a", label, "devices", ALIASES_A, _record_a, INVENTORY_A_SCHEMA,
+                         suffixes=suffixes, hostname_length=hostname_length)
 
 
-def endpoint_inventory(label: str = "Endpoint") -> InventorySpec:
+def endpoint_inventory(label: str = "Endpoint", suffixes: tuple[str, ...] = DOMAIN_SUFFIXES,
+                       hostname_length: int = HOSTNAME_LENGTH) -> InventorySpec:
     """System B: endpoint-security hosts. ``label`` names it in reports."""
-    return InventorySpec("inventory_b", label, "hosts", ALIASES_B, _record_b, INVENTORY_B_SCHEMA)
+    return InventorySpec("inventory_b", label, "hosts", ALIASES_B, _record_b, INVENTORY_B_SCHEMA,
+                         suffixes=suffixes, hostname_length=hostname_length)

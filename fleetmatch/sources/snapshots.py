@@ -81,6 +81,15 @@ class SnapshotStore:
             return self.spark.createDataFrame([], schema)
         return self._open(table, run_id, schema, buckets)
 
+    def read_run(self, table: str, run_id: str, schema: T.StructType) -> DataFrame:
+        """A committed run; empty if it is not committed or has expired."""
+        found = self.commits().where((F.col("table_name") == table) & (F.col("run_id") == run_id)).first()
+        if found is None:
+            return self.spark.createDataFrame([], schema)
+        if found["buckets"] is None:
+            return self._existing(self._path(table, run_id), schema)
+        return self._open(table, run_id, schema, found["buckets"])
+
     def stage(self, table: str, run_id: str, rows: DataFrame, schema: T.StructType) -> DataFrame:
         """Write a run without making it current, and return what was written.
 

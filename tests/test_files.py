@@ -4,7 +4,7 @@ from datetime import datetime
 
 import pytest
 
-from fleetmatch.operators.inventory import parse_inventory
+from fleetmatch.operators.inventory import TOO_FEW_FIELDS, UNUSABLE_HOSTNAME, parse_inventory, parse_with_rejects
 from fleetmatch.schemas import endpoint_inventory, remote_inventory
 from fleetmatch.sources.delimited import EMPTY_EXPORT, read_export, resolve_layout, split_header
 
@@ -106,15 +106,57 @@ def test_part_files_are_one_export_in_name_order(spark, tmp_path):
     assert got == {"WKS-1": "from a", "WKS-2": "from a", "WKS-3": "from b"}
 
 
-def test_part_files_with_another_header_are_refused(spark, tmp_path):
+def test_each_part_file_has_its_own_layout(spark, tmp_path):
+    folder = tmp_path / "mixed"
+    folder.mkdir()
+    write(folder, "hostname,name,last seen\nwks-1,a,2024-01-05\nwks-2,first,x\n", "a.csv")
+    write(folder, "\nName;x;Computer\nfrom b;,;wks-2\nfrom b;;wks-3\nlone\n", "b.csv")
+    write(folder, "os\tid\nlinux\twks-4\nwindows\twks-1\n", "c.csv")
+    write(folder, "\n \n", "d.csv")
+    export = read_export(spark, str(folder))
+    assert len(export.headers) == 3
+    got = {r["hostname"]: r for r in imported(spark, str(folder))}
+    assert {name: (r["description"], r["platform"], r["last_seen"], r["source_rows"]) for name, r in got.items()} == {
+        "WKS-1": ("a", "UNKNOWN", "2024-01-05", 2), "WKS-2": ("first", "UNKNOWN", "x", 2),
+        "WKS-3": ("from b", "UNKNOWN", "2024-01-31T12:00:00.000Z", 1),
+        "WKS-4": (None, "Linux", "2024-01-31T12:00:00.000Z", 1)}
+    rows = parse_with_rejects(export, remote_inventory(), RUN_TS).collect()
+    assert [(r.reject_reason, r.reject_line) for r in rows if r.reject_reason] == [(TOO_FEW_FIELDS, "lone")]
+    assert sum(r.source_rows for r in rows) == 7
+
+
+def test_a_part_file_without_a_hostname_is_named(spark, tmp_path):
     folder = tmp_path / "mixed"
     folder.mkdir()
     write(folder, "hostname,name\nwks-1,a\n", "a.csv")
-    write(folder, "name,hostname\nb,wks-2\n", "b.csv")
-    with pytest.raises(Exception, match="(?s)header|FAILED_READ_FILE"):
+    write(folder, "nobody;os\nb;c\n", "b.csv")
+    with pytest.raises(ValueError, match="hostname column.*nobody;os"):
         imported(spark, str(folder))
 
 
+def test_files_of_one_header_need_no_header_numbers(spark, tmp_path):
+    folder = tmp_path / "same"
+    folder.mkdir()
+    for name in "ab":
+        write(folder, f"hostname,name\nwks-{name},x\n", f"{name}.csv")
+    export = read_export(spark, str(folder))
+    assert not export.headers and export.lines.columns == ["value", "row_order"]
+    assert [r.row_order.file for r in export.lines.orderBy("row_order").collect()] == [0, 1]
+
+
+def test_rejects_and_records_are_all_lines(spark, tmp_path):
+    text = "hostname,os,ip,name\nonly-host\nshort,linux\n\nSHORT.corp,x\n.local,x\n,linux\n,\nonly-host\n"
+    export = read_export(spark, write(tmp_path, text))
+    rows = parse_with_rejects(export, remote_inventory(), RUN_TS).collect()
+    assert sorted((r.reject_reason, r.reject_line) for r in rows if r.reject_reason) == [
+        (TOO_FEW_FIELDS, "only-host"), (TOO_FEW_FIELDS, "only-host"), (UNUSABLE_HOSTNAME, ","),
+        (UNUSABLE_HOSTNAME, ",linux"), (UNUSABLE_HOSTNAME, ".local,x")]
+    assert [(r.hostname, r.source_rows) for r in rows if not r.reject_reason] == [("SHORT", 2)]
+    plain = parse_inventory(export, remote_inventory(), RUN_TS)
+    kept = [r for r in rows if not r.reject_reason]
+    assert [tuple(r) for r in plain.collect()] == [tuple(r)[:len(plain.columns)] for r in kept]
+
+
 def test_many_splits_keep_file_order(spark, tmp_path):
     rows = 20000
     text = "hostname,name\n" + "".join(f"wks-{i % 500},row {i}\n" for i in range(rows))
@@ -139,9 +181,11 @@ def test_blank_unicode_lines_before_the_header(spark, tmp_path):
     assert export.header == "hostname,os"
     rows = [row.value for row in export.lines.orderBy("row_order").collect()]
     assert rows == ["h1,x", "hostname,os", "h2,y"]
-    (folder / "c.csv").write_text("name,os\nh2,y\n", encoding="utf-8")
-    with pytest.raises(ValueError, match="same header"):
-        read_export(spark, str(folder))
+    (folder / "c.csv").write_text("\u2003\nname;os;id\nh2;y;h3\n", encoding="utf-8")
+    export = read_export(spark, str(folder))
+    assert export.headers == ("hostname,os", "name;os;id")
+    rows = [(row.value, row.header_no) for row in export.lines.orderBy("row_order").collect()]
+    assert rows == [("h1,x", 0), ("hostname,os", 0), ("h2,y", 0), ("h2;y;h3", 1)]
 
 
 def test_unclear_order_of_lines_is_refused(spark):

@@ -204,3 +204,28 @@ def test_old_runs_expire(jobs, tmp_path):
     assert jobs.store.read(table, jobs.spec_a.schema).count() == 2
     with pytest.raises(ValueError):
         jobs.store.expire(table, keep=0)
+
+
+def test_run_times_and_rejects(jobs, tmp_path, spark):
+    first = jobs.sync(file_a(tmp_path, "p1", "p2", "p2.corp", ".corp"), jobs.spec_a, DAY[0])
+    assert (first.imported, first.duplicates, first.rejected) == (2, 1, 1)
+    jobs.run(DAY[1], file_a(tmp_path, "p2", "p3"), file_b(tmp_path, "p2"))
+    rows = jobs.inventory(jobs.spec_a, run_times=True).collect()
+    assert {(r.hostname, r.imported_at, r.updated_at) for r in rows} == {("P2", DAY[1], DAY[1]), ("P3", DAY[1], DAY[1])}
+    assert {r.last_updated for r in jobs.coverage(run_times=True).collect()} == {DAY[1]}
+    assert [(r.table_name, r.line, r.rejected_at) for r in jobs.rejects().collect()] == [
+        ("inventory_a", ".corp,about .corp", DAY[0])]
+    # A retry finds the same counts; a failed first try leaves no rejects twice.
+    again = CoverageJobs(spark, jobs.store.root).sync("/nowhere", jobs.spec_a, DAY[0])
+    assert again == first
+    assert "imported_at" not in jobs.inventory(jobs.spec_a).columns
+
+
+def test_other_domains_and_lengths(spark, tmp_path):
+    rules = {"suffixes": (".example.org".upper(), "-OLD"), "hostname_length": 6}
+    jobs = CoverageJobs(spark, str(tmp_path / "store"), remote_inventory("Remote", **rules),
+                        endpoint_inventory("Endpoint", **rules))
+    jobs.run(DAY[0], file_a(tmp_path, "web1.example.org", "db-7-old", "long-name-1", "x.corp"),
+             file_b(tmp_path, "WEB1", "db-7", "LONG-NAME-2", "x"))
+    assert statuses(jobs) == {"WEB1": "FULL_COVERAGE", "DB-7": "FULL_COVERAGE", "LONG-N": "FULL_COVERAGE",
+                              "X.CORP": "REMOTE_ONLY", "X": "ENDPOINT_ONLY"}
