@@ -53,6 +53,21 @@ def match_coverage(a: DataFrame, b: DataFrame, spec_a: InventorySpec, spec_b: In
     )
 
 
+def refresh_coverage(previous: DataFrame, changed: DataFrame, a: DataFrame, b: DataFrame, spec_a: InventorySpec,
+                     spec_b: InventorySpec, run_ts: datetime) -> DataFrame:
+    """The match of two inventories, from an earlier one and the hostnames changed since.
+
+    Only the changed hostnames are matched again. The other rows are carried over;
+    a host of B was seen by this run, as in a full match.
+    """
+    keys = changed.select("hostname").distinct()
+    fresh = match_coverage(a.join(keys, "hostname", "left_semi"), b.join(keys, "hostname", "left_semi"),
+                           spec_a, spec_b, run_ts)
+    seen_b = F.when(F.col("in_b") == 1, F.lit(iso_text(run_ts)))
+    kept = previous.join(keys, "hostname", "left_anti").withColumn("last_seen_b", seen_b)
+    return kept.select(fresh.columns).unionByName(fresh)
+
+
 def all_hostnames(a: DataFrame, b: DataFrame) -> DataFrame:
     """Hostnames of either inventory, once each, sorted."""
     return a.select("hostname").union(b.select("hostname")).distinct().orderBy("hostname")

@@ -18,6 +18,7 @@ from fleetmatch.operators.coverage import (
     coverage_report_rows,
     coverage_summary,
     match_coverage,
+    refresh_coverage,
     report_headings,
     stale_keys,
 )
@@ -26,6 +27,7 @@ from fleetmatch.operators.inventory import parse_with_rejects
 from fleetmatch.schemas import (
     COVERAGE_SCHEMA,
     EVENT_SCHEMA,
+    INPUTS_SCHEMA,
     REJECT_SCHEMA,
     STORED_COVERAGE_SCHEMA,
     InventorySpec,
@@ -35,11 +37,13 @@ from fleetmatch.schemas import (
 from fleetmatch.session import run_id_of
 from fleetmatch.sinks.csv_text import write_csv_text
 from fleetmatch.sources.delimited import Export, read_export
+from fleetmatch.sources.merged import MergedSnapshots
 from fleetmatch.sources.snapshots import SnapshotStore
 
 COVERAGE_TABLE = "device_coverage"
 EVENTS_DATASET = "etl_events"
 REJECTS_DATASET = "rejected_lines"
+INPUTS_DATASET = "coverage_inputs"
 
 
 @dataclass(frozen=True)
@@ -55,13 +59,17 @@ class SyncResult:
 class CoverageJobs:
     """The jobs over one store. Every job takes the time it stands for as ``run_ts``.
 
-    ``buckets`` makes the store keep its tables bucketed by hostname.
+    ``buckets`` makes the store keep its tables bucketed by hostname. With
+    ``merge_buckets`` a run writes only the buckets of an inventory that changed, and
+    the coverage is rebuilt for the hostnames that changed since the last one.
     """
 
     def __init__(self, spark: SparkSession, root: str, spec_a: InventorySpec | None = None,
-                 spec_b: InventorySpec | None = None, buckets: int | None = None):
+                 spec_b: InventorySpec | None = None, buckets: int | None = None, merge_buckets: int | None = None):
+        if buckets and merge_buckets:
+            raise ValueError("buckets and merge_buckets exclude each other")
         self.spark = spark
-        self.store = SnapshotStore(spark, root, buckets)
+        self.store = MergedSnapshots(spark, root, merge_buckets) if merge_buckets else SnapshotStore(spark, root, buckets)
         self.spec_a = spec_a or remote_inventory()
         self.spec_b = spec_b or endpoint_inventory()
 
@@ -124,14 +132,38 @@ class CoverageJobs:
         done = self.store.committed_rows(COVERAGE_TABLE, run_id)
         if done is not None:
             return done
-        matched = match_coverage(
-            self.inventory(self.spec_a), self.inventory(self.spec_b), self.spec_a, self.spec_b, run_ts,
-        ).withColumn("last_updated", F.lit(run_ts).cast("timestamp_ntz"))
+        inputs = {"run_a": self.store.current_run(self.spec_a.table), "run_b": self.store.current_run(self.spec_b.table)}
+        sides = (self.inventory(self.spec_a), self.inventory(self.spec_b), self.spec_a, self.spec_b, run_ts)
+        changed = self._changed_since_coverage(inputs)
+        matched = match_coverage(*sides) if changed is None else refresh_coverage(self.coverage(), changed, *sides)
+        matched = matched.withColumn("last_updated", F.lit(run_ts).cast("timestamp_ntz"))
+        self.store.append(INPUTS_DATASET, run_id, self.spark.range(0, 1, 1, 1).select(
+            F.lit(run_id).alias("run_id"), *[F.lit(run).cast("string").alias(name) for name, run in inputs.items()]))
         devices = self.store.stage(COVERAGE_TABLE, run_id, matched, STORED_COVERAGE_SCHEMA).count()
         self._log(COVERAGE_TABLE, [("Coverage", "calculate", "devices", devices)], run_ts, run_id)
         self.store.commit(COVERAGE_TABLE, run_id, devices)
         return devices
 
+    def _changed_since_coverage(self, inputs: dict[str, str | None]) -> DataFrame | None:
+        """Hostnames that changed since the current coverage was made; None if that cannot be told."""
+        run_id = self.store.current_run(COVERAGE_TABLE)
+        if run_id is None or not isinstance(self.store, MergedSnapshots):
+            return None
+        before = self.store.read_appended(INPUTS_DATASET, INPUTS_SCHEMA).where(F.col("run_id") == run_id).first()
+        if before is None:
+            return None
+        found = []
+        for name, spec in (("run_a", self.spec_a), ("run_b", self.spec_b)):
+            if before[name] == inputs[name]:
+                continue
+            changes = before[name] and self.store.changes(spec.table, before[name], inputs[name])
+            if changes is None:
+                return None
+            found.append(changes.select("hostname"))
+        if not found:
+            return self.spark.createDataFrame([], "hostname string")
+        return found[0] if len(found) == 1 else found[0].union(found[1])
+
     def run(self, run_ts: datetime, export_a: str | Export | None = None,
             export_b: str | Export | None = None) -> int:
         """Import the exports given, then recompute the coverage."""

@@ -414,6 +414,13 @@ ORACLES: dict[str, str] = {
                 FROM (SELECT *, CASE l_orderkey % 3 WHEN 0 THEN {fx.FORM_LINES[0]} WHEN 1 THEN {fx.FORM_LINES[1]}
                     ELSE {fx.FORM_LINES[2]} END AS value FROM lineitem)) WHERE len(f) > 1))
         WHERE hostname <> ''""", f"form, {ORDER_A}"),
+    "merged_coverage": f"{MATCH} SELECT * FROM coverage",
+    "stored_changes": f"""WITH {PREV_B}, {B} SELECT coalesce(b.hostname, p.hostname) AS hostname,
+        CASE WHEN p.hostname IS NULL THEN 'inserted' WHEN b.hostname IS NULL THEN 'stale' ELSE 'changed' END AS change
+        FROM prev_b p FULL OUTER JOIN b ON b.hostname = p.hostname
+        WHERE (p.os_version, p.status, p.agent_version, p.source_rows)
+            IS DISTINCT FROM (b.os_version, b.status, b.agent_version, b.source_rows)
+            OR p.hostname IS NULL OR b.hostname IS NULL""",
     "stored_run_times": f"""WITH {PREV_A}, {B}, times AS (
         SELECT 'inventory_a' AS table_name, hostname, TIMESTAMP '2024-01-30 00:00:00' AS moment FROM prev_a
         UNION ALL SELECT 'inventory_b', hostname, TIMESTAMP '2024-01-31 00:00:00' FROM b)

@@ -180,6 +180,25 @@ def snapshot_sync(spark, sf_dir):
     return jobs.store.read(SPEC_B.table, SPEC_B.schema)
 
 
+@query
+def merged_coverage(spark, sf_dir):
+    """Three imports that write only changed buckets, and a coverage rebuilt from what changed."""
+    jobs = CoverageJobs(spark, scratch_path(spark, "store"), merge_buckets=16)
+    jobs.run(RUN_TS - timedelta(days=2), fx.export_a(spark, sf_dir), fx.previous_b(spark, sf_dir))
+    jobs.run(RUN_TS - timedelta(days=1), export_b=fx.export_b(spark, sf_dir))
+    jobs.run(RUN_TS, fx.export_a(spark, sf_dir), fx.export_b(spark, sf_dir))
+    return jobs.coverage()
+
+
+@query
+def stored_changes(spark, sf_dir):
+    """How the rows of B differ between two runs, from the buckets that the runs do not share."""
+    jobs = CoverageJobs(spark, scratch_path(spark, "store"), merge_buckets=16)
+    jobs.sync(fx.previous_b(spark, sf_dir), SPEC_B, RUN_TS - timedelta(days=1))
+    jobs.sync(fx.export_b(spark, sf_dir), SPEC_B, RUN_TS)
+    return jobs.store.changes(SPEC_B.table, run_id_of(RUN_TS - timedelta(days=1)), run_id_of(RUN_TS))
+
+
 @query
 def stored_run_times(spark, sf_dir):
     """When the rows that two imports and a match leave in the store were written."""

@@ -57,6 +57,13 @@ RUN_TIMES = T.StructType([
 ])
 STORED_COVERAGE_SCHEMA = T.StructType([*COVERAGE_SCHEMA.fields, T.StructField("last_updated", T.TimestampNTZType())])
 
+# The runs of the inventories that a coverage run was made from.
+INPUTS_SCHEMA = T.StructType([
+    T.StructField("run_id", T.StringType()),
+    T.StructField("run_a", T.StringType()),
+    T.StructField("run_b", T.StringType()),
+])
+
 REJECT_SCHEMA = T.StructType([
     T.StructField("table_name", T.StringType()),
     T.StructField("run_id", T.StringType()),

@@ -71,6 +71,11 @@ def iso_text(moment: datetime) -> str:
     return moment.strftime("%Y-%m-%dT%H:%M:%S.") + f"{moment.microsecond // 1000:03d}Z"
 
 
+def moment_of(run_id: str) -> datetime:
+    """The moment, in UTC, that a run id stands for."""
+    return datetime.strptime(run_id, "%Y%m%dT%H%M%S%f")
+
+
 def run_id_of(moment: datetime) -> str:
     """Run ids sort like the moments they stand for."""
     if moment.tzinfo is not None:

@@ -136,9 +136,11 @@ class SnapshotStore:
                 .select("run_id").distinct().orderBy(F.desc("run_id")).collect()]  # one row per run
         gone = []
         for run_id in runs[keep:]:
-            folder = self.spark._jvm.org.apache.hadoop.fs.Path(self._path(table, run_id))
-            system = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
             self.spark.sql(f"DROP TABLE IF EXISTS {self._catalog_name(table, run_id)}")
-            if system.delete(folder, True):
+            if self._delete(self._path(table, run_id)):
                 gone.append(run_id)
         return gone
+
+    def _delete(self, path: str) -> bool:
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
