@@ -43,6 +43,7 @@ LEADER_ROUNDS = 2
 CENTRAL_ROUNDS = 1     # of leaders in large buckets, chosen by how little they have of their own
 CROWD = 32             # nodes of a bucket from which it gets such a leader
 GROUPS = 64            # of the shingles, by hash, whose weights bound what two texts have in common
+COARSE = 8             # parts of the groups, which are compared first
 
 SLICE = 1 << 18        # bytes of text worked on at a time
 
@@ -256,13 +257,14 @@ def limits(texts: DataFrame, inverse: np.ndarray) -> DataFrame:
 
 
 def profiles(texts: DataFrame, inverse: np.ndarray) -> DataFrame:
-    """``node`` with its weight in each of ``GROUPS`` hash groups of shingles, ``h0``, ``h1``, ..., and their sum, ``total``.
+    """``node`` with its weight in each of ``GROUPS`` hash groups of shingles, ``fine``, and their sum, ``total``.
 
-    Two texts have in common at most the sum over the groups of the smaller weight.
-    All are whole numbers of sixteenths, so the bound is exact.
+    ``h0``, ``h1``, ... are the sums of ``COARSE`` parts of the groups. Two texts have in
+    common at most the sum over the groups of the smaller weight. All are whole
+    numbers of sixteenths, so the bound is exact.
     """
     shared = texts.sparkSession.sparkContext.broadcast(inverse)
-    names = ["node", "total", *(f"h{i}" for i in range(GROUPS))]
+    coarse = [f"h{i}" for i in range(COARSE)]
 
     def run(batches):
         for batch in pieces(batches, "text", SLICE):
@@ -270,17 +272,19 @@ def profiles(texts: DataFrame, inverse: np.ndarray) -> DataFrame:
             rows = np.repeat(np.arange(batch.num_rows), np.diff(sets.first))
             groups = (mixed(sets.elements) % np.uint64(GROUPS)).astype(np.int64)
             weights = np.rint(weights_of(sets, shared.value) * 16)
-            held = np.bincount(rows * GROUPS + groups, weights, batch.num_rows * GROUPS).reshape(-1, GROUPS)
-            held = held.astype(np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(held.sum(1)), *(pa.array(np.ascontiguousarray(held[:, i])) for i in range(GROUPS))],
-                names)
+            held = np.bincount(rows * GROUPS + groups, weights, batch.num_rows * GROUPS).astype(np.int64)
+            fine = pa.ListArray.from_arrays(pa.array(np.arange(batch.num_rows + 1, dtype=np.int32) * GROUPS), pa.array(held))
+            held = held.reshape(-1, COARSE, GROUPS // COARSE).sum(2)
+            parts = [pa.array(np.ascontiguousarray(held[:, i])) for i in range(COARSE)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(held.sum(1)), *parts, fine],
+                                             ["node", "total", *coarse, "fine"])
 
-    return texts.select("node", "text").mapInArrow(run, ", ".join(f"{name} bigint" for name in names))
+    schema = ", ".join(f"{name} bigint" for name in ("node", "total", *coarse)) + ", fine array<bigint>"
+    return texts.select("node", "text").mapInArrow(run, schema)
 
 
 def _can_be_similar(similarity: float):
-    """Whether ``x`` and ``y`` with these profiles can reach the similarity; the quick test of the totals comes first.
+    """Whether ``x`` and ``y`` with these profiles can reach the similarity; the quick tests come first.
 
     A little is added for the product of doubles.
     """
@@ -288,10 +292,12 @@ def _can_be_similar(similarity: float):
         both = (F.col("x.total") + F.col("y.total")) * (similarity * (1 - 1e-9))
         return most * (1 + similarity) >= both
 
-    shared = F.least("x.h0", "y.h0")
-    for i in range(1, GROUPS):
-        shared = shared + F.least(f"x.h{i}", f"y.h{i}")
-    return reaches(F.least("x.total", "y.total")) & reaches(shared)
+    coarse = F.least("x.h0", "y.h0")
+    for i in range(1, COARSE):
+        coarse = coarse + F.least(f"x.h{i}", f"y.h{i}")
+    smaller = F.zip_with("x.fine", "y.fine", lambda x, y: F.least(x, y))
+    fine = F.aggregate(smaller, F.lit(0).cast("bigint"), lambda total, x: total + x)
+    return reaches(F.least("x.total", "y.total")) & reaches(coarse) & reaches(fine)
 
 
 def _open(placed: DataFrame) -> DataFrame:

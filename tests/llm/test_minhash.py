@@ -106,7 +106,7 @@ def test_profiles_bound_what_texts_share(spark):
     frame = spark.createDataFrame(list(enumerate(texts)), "node bigint, text string")
     rows = {r.node: r for r in minhash.profiles(frame, inverse).collect()}
     for (a, b), share in similarity(texts, inverse).items():
-        most = sum(min(x, y) for x, y in zip(rows[a][2:], rows[b][2:]))
+        most = sum(min(x, y) for x, y in zip(rows[a].fine, rows[b].fine))
         total = rows[a].total + rows[b].total
         assert most / (total - most) >= share - 1e-9
     pairs = spark.createDataFrame([(0, 0, i, i) for i in range(len(texts))], "band int, bucket bigint, node bigint, component bigint")
