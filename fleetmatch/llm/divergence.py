@@ -136,24 +136,24 @@ def document_counts(docs: DataFrame, bits: int) -> DataFrame:
 
 def term_counts(docs: DataFrame, wanted: Broadcast | None, bits: int) -> DataFrame:
     """``lang``, ``source``, ``digest``, ``n`` by task, as a table; ``word`` once a language, else null."""
+    known: dict[str, _Wanted] = {}  # of one task; it stays when the tables are emptied
+
     def add(tables, lang, source, text):
         table = tables.setdefault((lang, source), Counter())
         before = len(table)
         if wanted is None:
             table.update(terms_of(text))
         else:
-            known = tables.get(lang)
-            if known is None:
-                known = tables[lang] = _Wanted(wanted.value.get(lang, frozenset()), bits)
-            table.update(filter(known.__getitem__, terms_of(text)))
+            if lang not in known:
+                known[lang] = _Wanted(wanted.value.get(lang, frozenset()), bits)
+            table.update(filter(known[lang].__getitem__, terms_of(text)))
         return len(table) - before
 
     def rows(tables):
         told = {}
-        for group, table in tables.items():
-            if isinstance(group, str) or not table:
+        for (lang, source), table in tables.items():
+            if not table:
                 continue
-            lang, source = group
             seen, words = told.setdefault(lang, set()), list(table)
             given = [None if word in seen else word for word in words]
             seen.update(words)
