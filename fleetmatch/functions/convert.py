@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -69,22 +71,37 @@ def is_date(text: Column) -> Column:
     return known
 
 
+def _is_whole(number: Column) -> Column:
+    return F.typeof(number).isin("tinyint", "smallint", "int", "bigint")
+
+
+def _div(number: Column, by: int) -> Column:
+    return F.call_function("div", number, F.lit(by).cast("bigint"))
+
+
 def seconds_to_duration(seconds: Column) -> Column:
     """``1h 1m 1s``; N/A for 0, NULL and NaN, 0s for negatives.
 
     Seconds may have a fraction, which is printed as a double is; a whole number
     of seconds is printed as one, whatever its type.
     """
+    def parts(hours: Column, minutes: Column, rest: Column, shown: Column) -> Column:
+        return F.concat_ws(
+            " ",
+            F.when(hours > 0, F.concat(hours.cast("string"), F.lit("h"))),
+            F.when(minutes > 0, F.concat(minutes.cast("string"), F.lit("m"))),
+            F.when(rest > 0, F.concat(shown, F.lit("s"))),
+        )
+
+    # The type is known when the plan is made, so only one of the two ways is in it.
+    number = seconds.cast("bigint")
+    rest = number % 60
+    whole = parts(_div(number, 3600), _div(number, 60) % 60, rest, rest.cast("string"))
     rest = F.pmod(seconds, F.lit(60))
     minutes = F.floor(F.pmod(seconds, F.lit(3600)) / 60)
     hours = F.floor((seconds - F.pmod(seconds, F.lit(3600))) / 3600)
     shown = F.when(rest == F.floor(rest), F.floor(rest).cast("string")).otherwise(rest.cast("string"))
-    parts = F.concat_ws(
-        " ",
-        F.when(hours > 0, F.concat(hours.cast("string"), F.lit("h"))),
-        F.when(minutes > 0, F.concat(minutes.cast("string"), F.lit("m"))),
-        F.when(rest > 0, F.concat(shown, F.lit("s"))),
-    )
+    parts = F.when(_is_whole(seconds), whole).otherwise(parts(hours, minutes, rest, shown))
     return (
         F.when(F.coalesce(seconds, F.lit(0)) == 0, "N/A")
         .when(F.isnan(seconds.cast("double")), "N/A")
@@ -100,36 +117,30 @@ def format_bytes(size: Column) -> Column:
     doubles alike. It is rounded in whole numbers, where a float format would
     round ties by its own rule.
     """
-    whole_type = F.typeof(size).isin("tinyint", "smallint", "int", "bigint")
-    magnitude = F.abs(size.cast("double"))
-
-    def shown(whole: Column, cents: Column, power: int) -> Column:
-        full = whole + F.when(cents == 100, 1).otherwise(0)
-        rest = F.when(cents == 100, 0).otherwise(cents)
-        return F.concat(F.when(size < 0, "-").otherwise(""), full.cast("string"), F.lit("."),
-                        F.lpad(rest.cast("string"), 2, "0"), F.lit(" " + SIZE_UNITS[power]))
-
-    def from_whole(power: int) -> Column:
-        bits, number = 10 * power, F.abs(size.cast("bigint"))
-        rest = number.bitwiseAND(F.lit((1 << bits) - 1).cast("bigint"))
-        cents = F.shiftright(rest * 200 + F.lit(1 << bits).cast("bigint"), bits + 1)
-        return shown(F.shiftright(number, bits), cents, power)
-
-    def from_double(power: int) -> Column:
-        quotient = magnitude / float(1 << 10 * power)
-        whole = F.floor(quotient)
-        rest = ((quotient - whole) * float(1 << 53)).cast("bigint")  # no product below reaches 2 ** 63
-        return shown(whole, F.shiftright(rest * 200 + F.lit(1 << 53), 54), power)
-
-    def scaled(power: int) -> Column:
-        return F.when(whole_type, from_whole(power)).otherwise(from_double(power))
-
-    return (
-        F.when(size < 1 << 10, scaled(0))
-        .when(size < 1 << 20, scaled(1))
-        .when(size < 1 << 30, scaled(2))
-        .when(size.isNotNull(), scaled(3))
-    )
+    def by_unit(b, kb, mb, gb) -> Column:
+        return F.when(size < 1 << 10, b).when(size < 1 << 20, kb).when(size < 1 << 30, mb).otherwise(gb)
+
+    # The code stays short: longer methods are not compiled when a query has several such columns.
+    number = size.cast("bigint")
+
+    def near(bits: int) -> Column:
+        return F.shiftright(number * 100 + F.lit(1 << bits - 1).cast("bigint"), bits)
+
+    # A hundred times a number beyond 2 ** 56 is no BIGINT; such a negative one is whole bytes.
+    far = F.call_function("div", number.cast("decimal(20,0)") * 100 + (1 << 29), F.lit(Decimal(1 << 30)))
+    hundredths = by_unit(number * 100, near(10), near(20), F.when(number < 1 << 56, near(30)).otherwise(far))
+    whole = F.when(number > -(1 << 56), (hundredths.cast("decimal(20,0)") * F.lit(Decimal("0.01"))).cast("string")).otherwise(
+        F.concat(number.cast("string"), F.lit(".00")))
+
+    quotient = F.abs(size.cast("double")) / by_unit(*[float(1 << 10 * power) for power in range(4)])
+    rest = ((quotient - F.floor(quotient)) * float(1 << 53)).cast("bigint")  # no product below reaches 2 ** 63
+    cents = F.shiftright(rest * 200 + F.lit(1 << 53), 54).cast("decimal(3,0)") * F.lit(Decimal("0.01"))
+    binary = F.concat(F.when(size < 0, "-").otherwise(""),
+                      (F.floor(quotient).cast("decimal(20,0)") + cents).cast("string"))
+
+    # The type is known when the plan is made, so only one of the two ways is in it.
+    shown = F.when(_is_whole(size), whole).otherwise(binary)
+    return F.when(size.isNotNull(), F.concat(shown, by_unit(*[" " + unit for unit in SIZE_UNITS])))
 
 
 def percentage_text(part: Column, total: Column) -> Column:

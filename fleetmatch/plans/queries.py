@@ -50,6 +50,7 @@ from fleetmatch.operators.inventory import (
     truncation_collisions,
 )
 from fleetmatch.operators.nested import collect_groups, flatten, flatten_open
+from fleetmatch.operators.projection import select_once
 from fleetmatch.operators.stats import duration_stats
 from fleetmatch.operators.validate import (
     constraint_audit,
@@ -476,22 +477,22 @@ def parse_iso_date_(spark, sf_dir):
 def seconds_to_duration_(spark, sf_dir):
     rows = fx.derived(spark, sf_dir, "lineitem", {"seconds": fx.SECONDS})
     seconds = F.col("seconds")
-    return rows.select(
-        "seconds", seconds_to_duration(seconds).alias("duration"),
-        seconds_to_duration(seconds.cast("int")).alias("duration_int"),
-        seconds_to_duration(seconds.cast("double")).alias("duration_double"),
-        seconds_to_duration(seconds + F.lit(0.5)).alias("duration_half"))
+    return select_once(rows, {  # as one projection, the generated method is too long to be compiled
+        "seconds": seconds, "duration": seconds_to_duration(seconds),
+        "duration_int": seconds_to_duration(seconds.cast("int")),
+        "duration_double": seconds_to_duration(seconds.cast("double")),
+        "duration_half": seconds_to_duration(seconds + F.lit(0.5))})
 
 
 @query
 def format_bytes_(spark, sf_dir):
     rows = fx.derived(spark, sf_dir, "lineitem", {"bytes": fx.BYTES})
     size = F.col("bytes")
-    return rows.select(
-        "bytes", format_bytes(size).alias("text"),
-        format_bytes((size % (1 << 31)).cast("int")).alias("text_int"),
-        format_bytes(size.cast("double")).alias("text_double"),
-        format_bytes((size % (1 << 40)) + F.lit(0.25)).alias("text_quarter"))
+    return select_once(rows, {  # as one projection, the generated method is too long to be compiled
+        "bytes": size, "text": format_bytes(size),
+        "text_int": format_bytes((size % (1 << 31)).cast("int")),
+        "text_double": format_bytes(size.cast("double")),
+        "text_quarter": format_bytes((size % (1 << 40)) + F.lit(0.25))})
 
 
 # --- validation and nested data ----------------------------------------------
