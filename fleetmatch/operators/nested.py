@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fleetmatch.operators.ordering import with_row_index
+from fleetmatch.operators.ordering import PART, PLACE, part_offsets, range_sorted
 from fleetmatch.operators.projection import quoted
 from fleetmatch.operators.records import record_text, with_record
 
@@ -160,13 +160,21 @@ def collect_groups(df: DataFrame, key: str, order: Sequence[str], chunk_rows: in
 
     A list holds at most ``chunk_rows`` records; a larger group continues in the
     next chunk, so no record is lost and no group has to fit into one row or
-    task. Positions in a group come from the sorted table, which splits hot keys.
+    task. Positions in a group come from the sorted table, which splits hot keys;
+    where a group begins is known per sorted partition and key, and joined on both,
+    so that a hot key's rows never meet in one task.
     """
     items = [name for name in df.columns if name != key]
-    indexed = with_row_index(df, [key, *[name for name in order if name != key]])
-    starts = indexed.groupBy(F.col(key).alias("group_key")).agg(F.min("row_index").alias("start"))
+    placed = range_sorted(df, [key, *[name for name in order if name != key]])
+    offsets = part_offsets(placed)
+    per_part = placed.groupBy(PART, F.col(key).alias("group_key")).agg(F.min(PLACE).alias("first_place"))
+    per_part = per_part.join(F.broadcast(offsets), PART)
+    starts = per_part.groupBy("group_key").agg(F.min(F.col("offset") + F.col("first_place")).alias("start"))
+    starts = (per_part.alias("p").join(starts.alias("s"), F.col("p.group_key").eqNullSafe(F.col("s.group_key")))
+              .select(F.col(f"p.{PART}").alias("group_part"), "p.group_key", "offset", "start"))
     return (
-        indexed.join(starts, F.col(key).eqNullSafe(F.col("group_key")))
+        placed.join(starts, (F.col(PART) == F.col("group_part")) & F.col(key).eqNullSafe(F.col("group_key")))
+        .withColumn("row_index", F.col("offset") + F.col(PLACE))
         .withColumn("chunk", F.floor((F.col("row_index") - F.col("start")) / chunk_rows).cast("bigint"))
         .groupBy(key, "chunk")
         .agg(F.sort_array(F.collect_list(F.struct("row_index", F.struct(*items).alias("item")))).alias("rows"))

@@ -60,20 +60,26 @@ def range_sorted(df: DataFrame, order: Sequence[str], unique: bool = False) -> D
     return df.sparkSession.read.schema(placed.schema).parquet(path)
 
 
-def with_row_index(df: DataFrame, order: Sequence[str], name: str = "row_index",
-                   unique: bool = False) -> DataFrame:
-    """Add the 0-based position of each row in the order given."""
-    placed = range_sorted(df, order, unique)
-    # One row per partition comes to the driver, whatever the size of the table.
+def part_offsets(placed: DataFrame) -> DataFrame:
+    """For each sorted partition the number of rows before it, as ``offset``.
+
+    One row per partition comes to the driver, whatever the size of the table.
+    """
     sizes = placed.groupBy(PART).count().orderBy(PART).collect()
     offsets, before = [], 0
     for part, size in sizes:
         offsets.append((part, before))
         before += size
     schema = T.StructType([T.StructField(PART, T.IntegerType()), T.StructField("offset", T.LongType())])
-    offset_table = df.sparkSession.createDataFrame(offsets, schema)
+    return placed.sparkSession.createDataFrame(offsets, schema)
+
+
+def with_row_index(df: DataFrame, order: Sequence[str], name: str = "row_index",
+                   unique: bool = False) -> DataFrame:
+    """Add the 0-based position of each row in the order given."""
+    placed = range_sorted(df, order, unique)
     return (
-        placed.join(F.broadcast(offset_table), PART)
+        placed.join(F.broadcast(part_offsets(placed)), PART)
         .withColumn(name, F.col("offset") + F.col(PLACE))
         .drop(PART, PLACE, "offset")
     )

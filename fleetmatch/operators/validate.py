@@ -119,18 +119,25 @@ def validate_devices(df: DataFrame, record: str) -> DataFrame:
 
 
 def constraint_audit(df: DataFrame, table: str, key: str = "hostname",
-                     flags: tuple[str, ...] = ()) -> DataFrame:
+                     flags: tuple[str, ...] = (), rows_per_key: str | None = None) -> DataFrame:
     """One row: rows, NULL keys, surplus rows of repeated keys, flags other than 0 and 1.
 
     The distinct count is planned as a partial aggregation by key, so a repeated
-    key is reduced before the shuffle.
+    key is reduced before the shuffle. A row stands for as many rows as the column
+    ``rows_per_key`` says, if it is given.
     """
+    number = F.lit(1) if rows_per_key is None else F.col(rows_per_key)
+    keyed = F.col(key).isNotNull()
+
+    def rows(condition: Column) -> Column:
+        return F.coalesce(F.sum(F.when(condition, number).cast("bigint")), F.lit(0).cast("bigint"))
+
     bad = F.lit(False)
     for flag in flags:
         bad = bad | F.coalesce(~F.col(flag).isin(0, 1), F.lit(False))
     return df.agg(
-        F.count(F.lit(1)).alias("total_rows"),
-        F.count_if(F.col(key).isNull()).alias("null_keys"),
-        (F.count(key) - F.count_distinct(key)).alias("duplicate_keys"),
-        F.count_if(bad).alias("bad_flags"),
+        rows(F.lit(True)).alias("total_rows"),
+        rows(~keyed).alias("null_keys"),
+        (rows(keyed) - F.count_distinct(key)).alias("duplicate_keys"),
+        rows(bad).alias("bad_flags"),
     ).select(F.lit(table).alias("table_name"), "total_rows", "null_keys", "duplicate_keys", "bad_flags")

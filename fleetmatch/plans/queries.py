@@ -41,7 +41,7 @@ from fleetmatch.operators.coverage import (
     upsert,
 )
 from fleetmatch.operators.dedupe import duplicate_counts, first_wins
-from fleetmatch.operators.events import event_rows
+from fleetmatch.operators.events import event_rows, import_counts_of
 from fleetmatch.operators.inventory import (
     TOO_FEW_FIELDS,
     UNUSABLE_HOSTNAME,
@@ -63,7 +63,7 @@ from fleetmatch.plans.jobs import CoverageJobs
 from fleetmatch.session import run_id_of, scratch_path
 from fleetmatch.sinks.csv_text import csv_lines
 from fleetmatch.sources.delimited import detect_delimiter, field_positions, read_export
-from fleetmatch.sources.logs import append_log, log_line, read_log, recent
+from fleetmatch.sources.logs import append_log, log_line, read_log, read_recent, recent
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -93,6 +93,13 @@ def stored_b(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_inventory(fx.previous_b(spark, sf_dir), SPEC_B, RUN_TS)
 
 
+def staged(rows: DataFrame, name: str) -> DataFrame:
+    """The rows as a table in the shared folder, for several readers."""
+    path = scratch_path(rows.sparkSession, name)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return match_coverage(current_a(spark, sf_dir), current_b(spark, sf_dir), SPEC_A, SPEC_B, RUN_TS)
 
@@ -350,22 +357,15 @@ def import_both_report(spark, sf_dir):
 
 @query
 def etl_event_log(spark, sf_dir):
-    """Events of the second import, from counts that Spark computes in one plan."""
-    a, b = current_a(spark, sf_dir), current_b(spark, sf_dir)
-
-    def counted(rows: DataFrame, system: str, action: str, noun: str) -> DataFrame:
-        return rows.agg(F.count(F.lit(1)).alias("records_processed")).select(
-            F.lit(system).alias("system"), F.lit(action).alias("action"), F.lit(noun).alias("noun"),
-            "records_processed")
-
-    counts = (
-        counted(stale_keys(stored_a(spark, sf_dir), a), SPEC_A.label, "delete_stale", SPEC_A.noun)
-        .union(counted(a, SPEC_A.label, "import", SPEC_A.noun))
-        .union(counted(stale_keys(stored_b(spark, sf_dir), b), SPEC_B.label, "delete_stale", SPEC_B.noun))
-        .union(counted(b, SPEC_B.label, "import", SPEC_B.noun))
-        .union(counted(match_coverage(a, b, SPEC_A, SPEC_B, RUN_TS), "Coverage", "calculate", "devices"))
-    )
-    rows = event_rows(counts, RUN_TS, run_id_of(RUN_TS))
+    """Events of the second import, from one aggregate over the hostnames of all four exports."""
+    sides = {"current_a": (fx.export_a, SPEC_A), "stored_a": (fx.previous_a, SPEC_A),
+             "current_b": (fx.export_b, SPEC_B), "stored_b": (fx.previous_b, SPEC_B)}
+    hostnames = None
+    for side, (export, spec) in sides.items():
+        rows = parse_rows(export(spark, sf_dir), spec)[0].select(
+            "hostname", *[F.lit(side == name).alias(name) for name in sides])
+        hostnames = rows if hostnames is None else hostnames.union(rows)
+    rows = event_rows(import_counts_of(hostnames, SPEC_A, SPEC_B), RUN_TS, run_id_of(RUN_TS))
     return rows.withColumn("event_ts", F.date_format("event_ts", "yyyy-MM-dd HH:mm:ss"))
 
 
@@ -390,8 +390,9 @@ def export_report_files(spark, sf_dir):
 
 @query
 def constraint_audit_(spark, sf_dir):
-    a, b = current_a(spark, sf_dir), current_b(spark, sf_dir)
-    records, _ = parse_rows(fx.export_a(spark, sf_dir), SPEC_A)
+    """Audits of inventories that are parsed once and written, as an import writes them."""
+    a = staged(current_a(spark, sf_dir), "inventory-a")
+    b = staged(current_b(spark, sf_dir), "inventory-b")
     raw = fx.derived(spark, sf_dir, "customer", {
         "hostname": "CASE WHEN c_nationkey = 3 THEN NULL ELSE c_mktsegment END", "flag": "c_nationkey % 4"})
     return (
@@ -399,7 +400,7 @@ def constraint_audit_(spark, sf_dir):
         .union(constraint_audit(b, SPEC_B.table))
         .union(constraint_audit(match_coverage(a, b, SPEC_A, SPEC_B, RUN_TS), "device_coverage",
                                 flags=("in_a", "in_b")))
-        .union(constraint_audit(records, "records_a"))
+        .union(constraint_audit(a, "records_a", rows_per_key="source_rows"))
         .union(constraint_audit(raw, "customer_segments", flags=("flag",)))
     )
 
@@ -634,7 +635,7 @@ def recent_logs_stored(spark, sf_dir):
     lines = event_log_lines(spark, sf_dir).withColumn("late", F.col("event_id") % 2 == 1)
     for late in (False, True):
         append_log(lines.where(F.col("late") == late).select("event_id", "line"), path, f"run-{int(late)}", "event_id")
-    return recent(read_log(spark, path), "line_order", lines=50).select(F.col("value").alias("line"))
+    return read_recent(spark, path, lines=50).select(F.col("value").alias("line"))
 
 
 @query

@@ -1,6 +1,7 @@
 import os
 """Imports, coverage, exports and the event log over a store."""
 
+import shutil
 from datetime import datetime
 
 import pytest
@@ -8,7 +9,7 @@ import pytest
 from fleetmatch.operators.coverage import match_coverage, stale_keys
 from fleetmatch.plans.jobs import CoverageJobs
 from fleetmatch.schemas import endpoint_inventory, remote_inventory
-from fleetmatch.sources.logs import append_log, read_log, recent
+from fleetmatch.sources.logs import append_log, read_log, read_recent, recent
 from tests.conftest import plan_of
 
 DAY = [datetime(2024, 1, day) for day in range(1, 10)]
@@ -229,3 +230,19 @@ def test_other_domains_and_lengths(spark, tmp_path):
              file_b(tmp_path, "WEB1", "db-7", "LONG-NAME-2", "x"))
     assert statuses(jobs) == {"WEB1": "FULL_COVERAGE", "DB-7": "FULL_COVERAGE", "LONG-N": "FULL_COVERAGE",
                               "X.CORP": "REMOTE_ONLY", "X": "ENDPOINT_ONLY"}
+
+
+def test_a_tail_opens_the_newest_appends_only(spark, tmp_path):
+    path = str(tmp_path / "log")
+    for number in range(6):
+        lines = spark.createDataFrame([(i, f'{{"level": "INFO", "message": "{number}-{i}"}}') for i in range(4)], "i int, line string")
+        append_log(lines.where("i < 0") if number == 4 else lines, path, f"run-{number}", "i")
+    tail = read_recent(spark, path, lines=6)
+    assert [r.message for r in tail.collect()] == ["3-2", "3-3", "5-0", "5-1", "5-2", "5-3"]
+    assert {f.split("append_id=")[1][:5] for f in tail.inputFiles()} == {"run-3", "run-4", "run-5"}  # run-4 is empty
+    assert [r.value for r in tail.collect()] == [
+        r.value for r in recent(read_log(spark, path), "line_order", lines=6).collect()]
+    # An append whose lines were not counted is opened too; fewer lines than asked for are all lines.
+    shutil.rmtree(tmp_path / "log" / "_counts" / "append_id=run-5")
+    assert [r.message for r in read_recent(spark, path, lines=3).collect()] == ["5-1", "5-2", "5-3"]
+    assert read_recent(spark, path, lines=100).count() == 20

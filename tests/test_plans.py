@@ -63,3 +63,22 @@ def test_no_single_partition_for_ranked_operators(spark, sf_dir):
 def test_recent_logs_keep_a_top_n_per_partition(spark, sf_dir):
     plan = plan_of(QUERIES["recent_logs"](spark, sf_dir))
     assert "TakeOrderedAndProject" in plan
+
+
+def test_event_counts_scan_each_export_once(spark, sf_dir):
+    plan = plan_of(QUERIES["etl_event_log"](spark, sf_dir))
+    scans = re.findall(r"FileScan parquet.*?Location: \S+ \S*?(\w+)\.parquet", plan)
+    assert sorted(scans) == ["customer", "events", "lineitem", "orders"]
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+
+
+def test_audits_read_staged_inventories(spark, sf_dir):
+    plan = plan_of(QUERIES["constraint_audit"](spark, sf_dir))
+    assert "lineitem.parquet" not in plan and "orders.parquet" not in plan
+
+
+def test_groups_are_not_joined_by_key_alone(spark, sf_dir):
+    plan = plan_of(QUERIES["group_collect_large"](spark, sf_dir))
+    rows = [line for line in plan.split("\n") if "Join" in line and "order_part" in line]
+    assert any("group_part" in line for line in rows)
+    assert not re.search(r"Exchange hashpartitioning\(coalesce\(kind[^,]*, \), isnull\(kind[^,]*\), \d+\)", plan)
