@@ -60,7 +60,10 @@ FRAME_WORDS = frozenset("""ad ads advert adverts advertisement advertising adver
 FIRM_WORDS = frozenset("""ad ads advert adverts advertisement advertorial sponsor sponsored promo promotion comment comments
     disqus replies reply respond discussion""".split())
 # A name with one of these is about the state or the topic of what it names: has-sidebar, comments-open.
-STATE_WORDS = frozenset("has no not with without enabled disabled open closed on off category tag type format".split())
+STATE_WORDS = frozenset("has no not with without enabled disabled open closed on off".split())
+# These too, but not beside a word for adverts: ad-type-banner.
+TOPIC_WORDS = frozenset("category tag type format".split())
+AD_WORDS = frozenset("ad ads advert adverts advertisement advertorial sponsor sponsored promo promotion".split())
 # Frequent function words of the languages the rules know.
 STOP_WORDS = frozenset("""a an and are as at be been but by for from had has have he her his i if in into is it its
     me my no not of on or our she so that the their them then there these they this to was we were what when which
@@ -83,7 +86,8 @@ VERY_LONG_WORDS = 40   # words from which it is text whatever its stop words
 
 _TAG = re.compile(r"<(?:(!--)|([!?])|(/?)([A-Za-z][^\s/>]*))")
 _ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
-_TAG_REST = re.compile(r"(?:[^>\"']|\"[^\"]*\"|'[^']*')*>")
+# Quotes hold a value only right after the sign; elsewhere they are characters like others.
+_TAG_REST = re.compile(r"(?>[^>=]++|=\s*(?:\"[^\"]*\"|'[^']*')|=)*+>")
 _WORDS = re.compile(r"[^\W_]+").findall
 _NAME_WORDS = re.compile(r"[a-z]+").findall
 _SPACE = re.compile(r"\s+")
@@ -113,7 +117,8 @@ class Frame:
     words: int = 0
 
 
-def _frames(name: str, rest: str) -> int:
+def _frames(name: str, rest: str, inside: bool = False) -> int:
+    """What the element frames; inside the article's mark a header is the article's own."""
     if name in FRAME:
         return HARD
     kind = SOFT if name in SOFT_FRAME else FREE
@@ -121,8 +126,11 @@ def _frames(name: str, rest: str) -> int:
         key, value = key.lower(), "".join(values).lower()
         if key in ("class", "id", "role") and name not in NEVER_NAMED:
             for token in value.split():
-                words = _NAME_WORDS(token)
-                if STATE_WORDS.isdisjoint(words) and not FRAME_WORDS.isdisjoint(words):
+                words = set(_NAME_WORDS(token))
+                if inside:
+                    words.discard("header")
+                about = STATE_WORDS if words & AD_WORDS else STATE_WORDS | TOPIC_WORDS
+                if about.isdisjoint(words) and not FRAME_WORDS.isdisjoint(words):
                     kind = max(kind, SOFT if FIRM_WORDS.isdisjoint(words) else FIRM)
         if key == "hidden" or (key == "aria-hidden" and value == "true") or (key == "style" and "display:none" in value.replace(" ", "")):
             return HARD
@@ -179,8 +187,9 @@ def blocks_of(page: str) -> list[Block]:
         add(page[at:tag.start()])
         comment, declaration, closing, name = tag.groups()
         if comment:
+            empty = 1 if page.startswith(">", tag.end()) else 2 if page.startswith("->", tag.end()) else 0
             close = page.find("-->", tag.end())
-            at = end if close < 0 else close + 3
+            at = tag.end() + empty if empty else end if close < 0 else close + 3
             continue
         rest = _TAG_REST.match(page, tag.end())
         if rest is None:  # a tag that never ends: up to the next bracket, or the end
@@ -216,7 +225,7 @@ def blocks_of(page: str) -> list[Block]:
                 if stack[depth][0] in BLOCK:
                     break
         marks = name in ("article", "main") or 'itemprop="articlebody"' in attributes.lower()
-        kind = _frames(name, attributes)
+        kind = _frames(name, attributes, article > 0)
         # Inside the article a header element is the article's own heading, and all paragraphs are its text.
         frames = kind == HARD and not marks and not (article > 0 and name == "header")
         hides = name in HIDDEN

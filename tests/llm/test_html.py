@@ -18,6 +18,12 @@ SENTENCE = "This is the text of the page and it is long enough for the rules to
     (f"<form><label>Your name</label><p>{SENTENCE}</form><p>Text", "Text"),
     ("<div hidden>no</div><div style='display: none'>no</div><p>yes", "yes"),
     ("<title>no</title><p>a<p >b</P\n>c", "a\nb\nc"),
+    (f"<article><p title=it's>{SENTENCE}</p><p data-x='a>b' y=\"c>d\" z=\"o'p\">two</article>", f"{SENTENCE}\ntwo"),
+    ("<!--><p>one<!---><p>two<!-- > no --><p>three", "one\ntwo\nthree"),
+    (f"<article><p>{SENTENCE}<div class='ad-type-banner'>Buy now</div><p class='post type-post'>two</article>",
+     f"{SENTENCE}\ntwo"),
+    (f"<main><div class='page-header'><h1>Title</h1></div><p>{SENTENCE}</main>", f"Title\n{SENTENCE}"),
+    (f"<div class='no-ads has-sidebar'><p>{SENTENCE}</div>", SENTENCE),
 ])
 def test_blocks(page, text):
     assert html.main_text(page) == text
@@ -31,7 +37,7 @@ def test_open_blocks_follow_their_neighbours():
     assert html.settle([]) == []
 
 
-@pytest.mark.parametrize("page", ["<div>" * 50000, "<p " * 50000, '<a "' * 20000, "<b></p>" * 50000, "<b><p></i>" * 20000,
+@pytest.mark.parametrize("page", ["<div>" * 50000, "<p " * 50000, "<p a=" * 30000, "<p a='" * 20000, "<p =\"" * 20000, '<a "' * 20000, "<b></p>" * 50000, "<b><p></i>" * 20000,
                                   "<!--" * 20000, "&amp" * 50000])
 def test_time_grows_with_the_page(page):
     html.main_text(page)
