@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from fleetmatch.llm.common import numbered, pick, pieces, position_of
 from fleetmatch.llm.wordhash import window_hashes, words_of
@@ -130,9 +131,8 @@ class Matcher:
 
     def _verify(self, results, hashes, first, at, owner, place, offset) -> None:
         known = results.get((owner, place))
-        if known and (known[0] == 0 or known[1] <= at - first[owner] - offset + self.items[place].budget
-                      and at - first[owner] < known[2]):
-            return  # exact already, or a piece of the occurrence found
+        if known and known[0] == 0:
+            return  # no occurrence can be better
         item = self.items[place]
         size = len(item.words)
         low, high = int(first[owner]), int(first[owner + 1])
@@ -159,7 +159,8 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
                error_rate: float = ERROR_RATE, min_words: int = MIN_WORDS) -> DataFrame:
     """``id``, ``item_id``, ``distance``, ``first_word``, ``end_word`` for every item found in every document."""
     rows = pick(docs, {"id": id_col, "text": text_col})
-    item_type = items.schema[position_of(items, item_id_col)].dataType.simpleString()
+    item_field = items.schema[position_of(items, item_id_col)].dataType
+    item_type, item_arrow = item_field.simpleString(), to_arrow_type(item_field)
     schema = (f"id {rows.schema['id'].dataType.simpleString()}, item_id {item_type}, "
               "distance int, first_word bigint, end_word bigint")
     found = None
@@ -174,7 +175,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
                 places, which, distances, begins, ends = zip(*leaks) if leaks else ((),) * 5
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).take(pa.array(places, pa.int64())),
-                    pa.array([ids[i] for i in which], _arrow(item_type)), pa.array(distances, pa.int32()),
+                    pa.array([ids[i] for i in which], item_arrow), pa.array(distances, pa.int32()),
                     pa.array(begins, pa.int64()), pa.array(ends, pa.int64())],
                     names=["id", "item_id", "distance", "first_word", "end_word"])
 
@@ -183,10 +184,6 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
     return found if found is not None else docs.sparkSession.createDataFrame([], schema)
 
 
-def _arrow(spark_type: str) -> pa.DataType:
-    return {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[spark_type]
-
-
 def drop_leaks(docs: DataFrame, items: DataFrame, text_col: str = "text", error_rate: float = ERROR_RATE,
                min_words: int = MIN_WORDS) -> DataFrame:
     """The rows and columns of ``docs`` without the documents that hold any item."""

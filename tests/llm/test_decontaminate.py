@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 
 from fleetmatch.llm import decontaminate as dc
 from fleetmatch.llm.common import read_table
@@ -33,9 +34,10 @@ def items(spark, texts):
     return spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], "item_id long, text string, TEXT string")
 
 
-def test_every_edit_within_the_budget_is_found(spark):
+@pytest.mark.parametrize("size", [60, 6])  # with few words an item has many occurrences, better and worse ones
+def test_every_edit_within_the_budget_is_found(spark, size):
     rng = random.Random(3)
-    vocabulary = [f"w{i}" for i in range(60)]
+    vocabulary = [f"w{i}" for i in range(size)]
     texts = [" ".join(rng.choices(vocabulary, k=rng.randrange(5, 30))) for _ in range(12)]
     rows, lists = [], [t.split() for t in texts]
     for i in range(250):
