@@ -10,8 +10,8 @@ that a group uses more than its language does.
 
 Strings come late. A first scan counts documents by digests of fixed width, which
 alone are shuffled. A second one counts the terms whose digests can be kept, in
-each task, and writes the digests and counts, with each string once a language
-and table. The least and the greatest string of a digest tell whether several
+each task, and writes the digests and counts; each string is written once a
+language and task, or again when the task has met too many others. The least and the greatest string of a digest tell whether several
 terms share it; those, if any, are counted by string in a scan of their own. The
 text of a term joins the result for the ranks that are returned. Up to
 ``MAX_SHIPPED`` digests that can be kept go to the tasks; if there are more, the
@@ -30,6 +30,7 @@ columns do not matter.
 from __future__ import annotations
 
 import re
+from array import array
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from itertools import chain
@@ -52,11 +53,13 @@ TOP_TERMS = 50
 DIGEST_BITS = 64
 SLICE = 1 << 20
 TABLE_TERMS = 1 << 19      # terms a task counts before it writes them
+TERM_NUMBERS = 16          # occurrences, kept as numbers, that take no more memory than a term
 MAX_SHIPPED = 1 << 19      # digests that a task is given
 BLOCK_CELLS = 1 << 18      # of a matrix of terms and sources
 PAIR_CELLS = 1 << 21       # sums of pairs a task keeps
 
-_terms = re.compile(rb"[a-z\x80-\xff]+").findall
+# Lower-case letters and other characters; what separates terms becomes a space.
+_LETTERS = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b > 127 else 32 for b in range(256))
 _between = re.compile(rb"[^A-Za-z\x80-\xff]").search
 
 
@@ -74,8 +77,8 @@ def _slices(text: bytes, most: int = SLICE) -> Iterator[bytes]:
 def terms_of(text: bytes) -> Iterable[bytes]:
     """The terms in order, with repetitions; bytes are lower-cased in ASCII only."""
     if len(text) <= SLICE:
-        return _terms(text.lower())
-    return chain.from_iterable(_terms(part.lower()) for part in _slices(text))
+        return text.translate(_LETTERS).split()
+    return chain.from_iterable(part.translate(_LETTERS).split() for part in _slices(text))
 
 
 def _digests(words: list[bytes], bits: int) -> np.ndarray:
@@ -83,11 +86,23 @@ def _digests(words: list[bytes], bits: int) -> np.ndarray:
     return (found >> np.uint64(64 - bits)).astype(np.int64)
 
 
-class _Wanted(Recent):
-    """Whether a term's digest is one of those given; the terms seen last are remembered."""
+class _Numbers(Recent):
+    """The place of a term's digest among those given, or -1; the terms seen last are remembered.
 
-    def __init__(self, digests: frozenset, bits: int):
-        super().__init__(lambda word: int(_digests([word], bits)[0]) in digests)
+    ``told`` gets the terms with a place when they are looked up.
+    """
+
+    def __init__(self, digests: np.ndarray, bits: int):
+        places = {digest: place for place, digest in enumerate(digests.astype(np.uint64).tolist())}
+        self.digests, self.told, shift = digests, {}, 64 - bits
+
+        def place_of(word: bytes) -> int:
+            place = places.get(xxhash.xxh3_64_intdigest(word) >> shift, -1)
+            if place >= 0:
+                self.told[word] = place
+            return place
+
+        super().__init__(place_of)
 
 
 def _batch(**columns) -> pa.RecordBatch:
@@ -98,12 +113,12 @@ def _repeated(value: str, number: int) -> pa.Array:
     return pa.array([value], pa.string()).take(pa.array(np.zeros(number, np.int32)))
 
 
-def _counting(docs: DataFrame, schema: str, add, rows) -> DataFrame:
+def _counting(docs: DataFrame, schema: str, add, rows, each: int = 1) -> DataFrame:
     """What ``rows(tables)`` gives for tables that ``add(tables, lang, source, text)`` fills.
 
-    ``add`` returns by how many terms the tables have grown; they are emptied in between.
+    ``add`` returns by how many terms, times ``each``, the tables have grown; they are emptied in between.
     """
-    most = TABLE_TERMS
+    most = TABLE_TERMS * each
 
     def run(batches):
         tables, size = {}, 0
@@ -135,18 +150,21 @@ def document_counts(docs: DataFrame, bits: int) -> DataFrame:
 
 
 def term_counts(docs: DataFrame, wanted: Broadcast | None, bits: int) -> DataFrame:
-    """``lang``, ``source``, ``digest``, ``n`` by task, as a table; ``word`` once a language, else null."""
-    known: dict[str, _Wanted] = {}  # of one task; it stays when the tables are emptied
+    """``lang``, ``source``, ``digest``, ``n`` by task, as a table; rows with a ``word`` give the digest's string.
+
+    Each string has a row; it may be a row without ``source`` and ``n``.
+    """
+    schema = "lang string, source string, digest bigint, n bigint, word binary"
+    if wanted is None:
+        return stored(_counting(docs, schema, *_by_word(bits)), "terms")
+    return stored(_counting(docs, schema, *_by_number(wanted, bits), each=TERM_NUMBERS), "terms")
+
 
+def _by_word(bits: int):
     def add(tables, lang, source, text):
         table = tables.setdefault((lang, source), Counter())
         before = len(table)
-        if wanted is None:
-            table.update(terms_of(text))
-        else:
-            if lang not in known:
-                known[lang] = _Wanted(wanted.value.get(lang, frozenset()), bits)
-            table.update(filter(known[lang].__getitem__, terms_of(text)))
+        table.update(terms_of(text))
         return len(table) - before
 
     def rows(tables):
@@ -161,13 +179,48 @@ def term_counts(docs: DataFrame, wanted: Broadcast | None, bits: int) -> DataFra
                          digest=pa.array(_digests(words, bits)), n=pa.array(list(table.values()), pa.int64()),
                          word=pa.array(given, pa.binary()))
 
-    return stored(_counting(docs, "lang string, source string, digest bigint, n bigint, word binary", add, rows), "terms")
+    return add, rows
+
+
+def _by_number(wanted: Broadcast, bits: int):
+    """Occurrences are kept as numbers of four bytes, and counted when the tables are emptied."""
+    known: dict[str, _Numbers] = {}  # of one task; it stays when the tables are emptied
+
+    def add(tables, lang, source, text):
+        if lang not in known:
+            known[lang] = _Numbers(wanted.value.get(lang, np.zeros(0, np.int64)), bits)
+        told = known[lang].told
+        before = len(told)
+        found = np.fromiter(map(known[lang].__getitem__, terms_of(text)), np.int32)
+        found = found[found >= 0]
+        tables.setdefault((lang, source), array("i")).frombytes(found.tobytes())
+        return len(found) + TERM_NUMBERS * (len(told) - before)
+
+    def rows(tables):
+        for lang, numbers in known.items():
+            words, told = list(numbers.told), len(numbers.told)
+            digests = numbers.digests[np.fromiter(numbers.told.values(), np.int64, told)]
+            numbers.told.clear()
+            yield _batch(lang=_repeated(lang, told), source=pa.nulls(told, pa.string()), digest=pa.array(digests),
+                         n=pa.nulls(told, pa.int64()), word=pa.array(words, pa.binary()))
+        for (lang, source), found in tables.items():
+            counts = np.bincount(np.frombuffer(found, np.int32)) if found else np.zeros(0, np.int64)
+            some = np.flatnonzero(counts)
+            yield _batch(lang=_repeated(lang, len(some)), source=_repeated(source, len(some)),
+                         digest=pa.array(known[lang].digests[some]), n=pa.array(counts[some], pa.int64()),
+                         word=pa.nulls(len(some), pa.binary()))
+
+    return add, rows
 
 
 def split_counts(docs: DataFrame, wanted: Broadcast | None, bits: int) -> DataFrame:
     """``lang``, ``source``, ``digest``, ``split`` (the term), ``n`` and ``docs`` of the terms wanted, by task."""
+    sets: dict[str, frozenset] = {}
+
     def add(tables, lang, source, text):
-        keep = wanted.value.get(lang, frozenset()) if wanted is not None else None
+        if wanted is not None and lang not in sets:
+            sets[lang] = frozenset(wanted.value.get(lang, np.zeros(0, np.int64)).tolist())
+        keep = sets.get(lang)
         counted = Counter(terms_of(text))
         words = list(counted)
         table = tables.setdefault((lang, source), {})
@@ -193,12 +246,12 @@ def _shipped(digests: DataFrame) -> Broadcast | None:
     if digests.count() > MAX_SHIPPED:
         return None
     found = digests.toPandas()
-    sets = {lang: frozenset(rows["digest"].tolist()) for lang, rows in found.groupby("lang")}
-    return digests.sparkSession.sparkContext.broadcast(sets)
+    return digests.sparkSession.sparkContext.broadcast(
+        {lang: rows["digest"].to_numpy(np.int64) for lang, rows in found.groupby("lang")})
 
 
 def kept_counts(docs: DataFrame, min_documents: int, bits: int) -> tuple[DataFrame, DataFrame]:
-    """The kept terms' counts, and ``lang``, ``digest``, ``word`` of all terms that can be kept.
+    """The kept terms' counts, and ``lang``, ``digest``, ``word`` of all terms that can be kept, with repetitions.
 
     The counts have ``lang``, ``digest``, ``split``, ``source`` and ``n``; ``split`` is the
     term if its digest has several, else empty.
@@ -211,10 +264,10 @@ def kept_counts(docs: DataFrame, min_documents: int, bits: int) -> tuple[DataFra
     terms = term_counts(docs, wanted, bits)
     if wanted is None:
         terms = terms.join(possible, key, "left_semi")
-    words = terms.filter("word is not null").select(*key, "word").distinct()
+    words = terms.filter("word is not null").select(*key, "word")
     shared = stored(words.groupBy(*key).agg(F.min("word").alias("low"), F.max("word").alias("high"))
                     .filter(F.col("low") < F.col("high")).select(*key), "shared-digests")
-    alone, apart = terms.select(*key, "source", "n"), None
+    alone, apart = terms.filter("n is not null").select(*key, "source", "n"), None
     columns = [*key, "split", "source", "n"]
     if not shared.isEmpty():
         alone = alone.join(shared, key, "left_anti")
@@ -371,7 +424,7 @@ def divergence(df: DataFrame, text_col: str = "text", lang_col: str = "lang", so
                .select("lang", "source", "digest", "split", "value"))
     leading = stored(leading, "leading-terms")
     wanted = leading.filter(F.length("split") == 0).select("lang", "digest").distinct()
-    words = words.join(wanted, ["lang", "digest"], "left_semi").withColumn("split", F.lit(b""))
+    words = words.join(wanted, ["lang", "digest"], "left_semi").distinct().withColumn("split", F.lit(b""))
     named = leading.join(words, ["lang", "digest", "split"], "left").select(
         "lang", "source", F.lit("term").alias("part"), F.coalesce("word", "split").cast("string").alias("item"), "value")
     return _ranked(pairs).unionByName(_ranked(named, top))

@@ -1,6 +1,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -119,3 +120,22 @@ def test_more_digests_than_tasks_are_given(spark, monkeypatch):
     monkeypatch.setattr(divergence, "MAX_SHIPPED", 0)
     for bits in (64, 2):
         assert found(divergence.divergence(frame, bits=bits)) == wanted
+
+
+def test_a_task_tells_a_term_once_and_counts_by_number(spark, monkeypatch):
+    from collections import Counter
+
+    rng = random.Random(12)
+    rows = [(" ".join(rng.choice(["Aa", "bb", "cé", "unwanted", "x" * 70]) for _ in range(30)), "en", rng.choice("st"))
+            for _ in range(200)]
+    kept = [b"aa", b"bb", "cé".encode(), b"x" * 70]
+    docs = spark.createDataFrame(rows, "text string, lang string, source string").coalesce(1)
+    wanted = spark.sparkContext.broadcast({"en": np.sort(divergence._digests(kept, 64))})
+    found = divergence.term_counts(docs, wanted, 64).collect()
+    told = [r["word"] for r in found if r["word"] is not None]
+    assert sorted(map(bytes, told)) == sorted(kept)
+    digest = dict(zip(divergence._digests(kept, 64).tolist(), kept))
+    counts = Counter({(r["source"], digest[r["digest"]]): r["n"] for r in found if r["n"] is not None})
+    assert counts == Counter((source, word) for text, _, source in rows for word in divergence.terms_of(text.encode())
+                             if word in kept)
+    assert len([r for r in found if r["n"] is not None]) == len(counts)
