@@ -26,6 +26,7 @@ import sys
 import zlib
 from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
@@ -136,6 +137,12 @@ class WordTokenizer:
                 yield b"".join(map(part, text.replace("\n", " ").split(" ")))
 
 
+@lru_cache(maxsize=1)
+def shared_tokenizer(path: str, dtype: str) -> WordTokenizer:
+    """The tokenizer of this process: the tasks that a Python worker runs one after the other share its tables."""
+    return WordTokenizer(path, dtype)
+
+
 def vocabulary_type(path: str) -> str:
     from tokenizers import Tokenizer
 
@@ -148,7 +155,7 @@ def tokenize(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path
     end = b"" if end_id is None else np.array([end_id], dtype).tobytes()
 
     def run(batches):
-        tokenizer = WordTokenizer(path, dtype)
+        tokenizer = shared_tokenizer(path, dtype)
         for batch in pieces(batches, "text"):
             ids = [packed + end for packed in tokenizer.encode(batch.column(1).to_pylist())]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], ["id", "ids"])
@@ -225,6 +232,18 @@ class Coder:
         return out
 
 
+def id_counts(batches: Iterator[pa.RecordBatch], dtype: str) -> np.ndarray:
+    """How often each id occurs in the packed ids of the only column, counted about ``BLOCK_IDS`` ids at a time."""
+    total = np.zeros(0, np.int64)
+    for batch in batches:
+        for piece in pieces([batch], batch.schema.names[0], BLOCK_IDS * np.dtype(dtype).itemsize):
+            ids = np.frombuffer(b"".join(piece.column(0).to_pylist()), dtype)
+            found = np.bincount(ids, minlength=len(total))
+            found[:len(total)] += total
+            total = found
+    return total
+
+
 def _block_schema(id_type: str) -> str:
     return (f"shard int, block bigint, shard_start bigint, n_ids bigint, doc_ids array<{id_type}>, "
             "lengths array<bigint>, lanes int, words binary, "
@@ -242,12 +261,7 @@ def write_token_files(df: DataFrame, path: str, id_col: str = "doc_id", text_col
     raw = spark.read.schema(raw.schema).parquet(raw_path)
 
     def count(batches):
-        total = np.zeros(0, np.int64)
-        for batch in batches:
-            for ids in batch.column(0).to_pylist():
-                found = np.bincount(np.frombuffer(ids, dtype), minlength=len(total))
-                found[:len(total)] += total
-                total = found
+        total = id_counts(batches, dtype)
         ids = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(total[ids], pa.int64())], ["id", "n"])
 

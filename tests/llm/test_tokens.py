@@ -2,6 +2,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -73,3 +74,24 @@ def test_a_damaged_block_is_noticed(spark, tmp_path):
     assert tokens.read_token_files(spark, path).count() == len(ODD_TEXTS)
     with pytest.raises(Exception, match="checksum"):
         tokens.read_token_files(spark, f"{path}-bad").collect()
+
+
+def test_ids_are_counted_many_documents_at_a_time(monkeypatch):
+    rng, calls = np.random.default_rng(5), []
+    documents_ = [rng.integers(0, 50, rng.integers(0, 9)).astype("<u2") for _ in range(3000)]
+    batches = [pa.RecordBatch.from_arrays([pa.array([d.tobytes() for d in documents_[a:b]], pa.binary())], ["ids"])
+               for a, b in ((0, 1000), (1000, 1000), (1000, 3000))]
+    whole = np.bincount(np.concatenate(documents_))
+    counted = np.bincount
+    monkeypatch.setattr(np, "bincount", lambda *a, **b: calls.append(1) or counted(*a, **b))
+    assert (tokens.id_counts(batches, "<u2") == whole).all() and len(calls) == 2
+    monkeypatch.setattr(tokens, "BLOCK_IDS", 100)
+    assert (tokens.id_counts(batches, "<u2") == whole).all()
+    assert len(tokens.id_counts([], "<u2")) == 0
+
+
+def test_tasks_of_a_worker_share_a_tokenizer():
+    first = tokens.shared_tokenizer(tokens.DEFAULT_TOKENIZER, "<u2")
+    assert tokens.shared_tokenizer(tokens.DEFAULT_TOKENIZER, "<u2") is first
+    packed = tokens.shared_tokenizer(tokens.DEFAULT_TOKENIZER, "<u4")
+    assert [len(next(t.encode(["a b"]))) for t in (first, packed)] == [4, 8]
