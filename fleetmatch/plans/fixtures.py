@@ -196,35 +196,44 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def derived(spark: SparkSession, sf_dir: str, name: str, columns: dict[str, str]) -> DataFrame:
-    return select_once(table(spark, sf_dir, name),
+def dealt(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The table's rows, dealt evenly to the tasks.
+
+    A row group is read by one task, however many rows it has; lines made from them
+    cost far more than reading. Adaptive execution chooses the number of tasks.
+    """
+    return table(spark, sf_dir, name).hint("rebalance")
+
+
+def derived(spark: SparkSession, sf_dir: str, name: str, columns: dict[str, str], source=table) -> DataFrame:
+    return select_once(source(spark, sf_dir, name),
                        {column: F.expr(expression) for column, expression in columns.items()})
 
 
-def export_a(spark: SparkSession, sf_dir: str) -> Export:
-    lines = select_once(table(spark, sf_dir, "lineitem"),
+def export_a(spark: SparkSession, sf_dir: str, source=table) -> Export:
+    lines = select_once(source(spark, sf_dir, "lineitem"),
                         {"value": F.expr(LINE_A), "row_order": F.struct(*ORDER_A)})
     return Export(HEADER_A, lines.where(~is_blank(F.col("value"))))
 
 
-def lines_b(spark: SparkSession, sf_dir: str) -> DataFrame:
+def lines_b(spark: SparkSession, sf_dir: str, source=table) -> DataFrame:
     """Raw lines with the header in front, as a file would hold them."""
     header = spark.range(1).select(F.lit(-1).cast("bigint").alias("line_no"), F.lit(HEADER_B).alias("value"))
-    return header.union(derived(spark, sf_dir, "orders", {"line_no": "o_orderkey", "value": LINE_B}))
+    return header.union(derived(spark, sf_dir, "orders", {"line_no": "o_orderkey", "value": LINE_B}, source))
 
 
-def export_b(spark: SparkSession, sf_dir: str) -> Export:
-    return split_header(lines_b(spark, sf_dir), "line_no")
+def export_b(spark: SparkSession, sf_dir: str, source=table) -> Export:
+    return split_header(lines_b(spark, sf_dir, source), "line_no")
 
 
-def previous_a(spark: SparkSession, sf_dir: str) -> Export:
+def previous_a(spark: SparkSession, sf_dir: str, source=table) -> Export:
     return Export(HEADER_A, derived(spark, sf_dir, "events",
-                                    {"row_order": "event_id", "value": LINE_PREVIOUS_A}))
+                                    {"row_order": "event_id", "value": LINE_PREVIOUS_A}, source))
 
 
-def previous_b(spark: SparkSession, sf_dir: str) -> Export:
+def previous_b(spark: SparkSession, sf_dir: str, source=table) -> Export:
     return Export(HEADER_B, derived(spark, sf_dir, "customer",
-                                    {"row_order": "c_custkey", "value": LINE_PREVIOUS_B}))
+                                    {"row_order": "c_custkey", "value": LINE_PREVIOUS_B}, source))
 
 
 def write_forms(spark: SparkSession, sf_dir: str) -> str:

@@ -192,9 +192,9 @@ def snapshot_sync(spark, sf_dir):
 def merged_coverage(spark, sf_dir):
     """Three imports that write only changed buckets, and a coverage rebuilt from what changed."""
     jobs = CoverageJobs(spark, scratch_path(spark, "store"), merge_buckets=16)
-    jobs.run(RUN_TS - timedelta(days=2), fx.export_a(spark, sf_dir), fx.previous_b(spark, sf_dir))
-    jobs.run(RUN_TS - timedelta(days=1), export_b=fx.export_b(spark, sf_dir))
-    jobs.run(RUN_TS, fx.export_a(spark, sf_dir), fx.export_b(spark, sf_dir))
+    jobs.run(RUN_TS - timedelta(days=2), fx.export_a(spark, sf_dir, fx.dealt), fx.previous_b(spark, sf_dir, fx.dealt))
+    jobs.run(RUN_TS - timedelta(days=1), export_b=fx.export_b(spark, sf_dir, fx.dealt))
+    jobs.run(RUN_TS, fx.export_a(spark, sf_dir, fx.dealt), fx.export_b(spark, sf_dir, fx.dealt))
     return jobs.coverage()
 
 
@@ -350,8 +350,8 @@ def coverage_percentages(spark, sf_dir):
 def import_both_report(spark, sf_dir):
     """Write both exports as files, import them over earlier ones, match, and report."""
     jobs = CoverageJobs(spark, scratch_path(spark, "store"))
-    jobs.run(RUN_TS - timedelta(days=1), fx.previous_a(spark, sf_dir), fx.previous_b(spark, sf_dir))
-    jobs.run(RUN_TS, fx.write_export(fx.export_a(spark, sf_dir)), fx.write_export(fx.export_b(spark, sf_dir)))
+    jobs.run(RUN_TS - timedelta(days=1), fx.previous_a(spark, sf_dir, fx.dealt), fx.previous_b(spark, sf_dir, fx.dealt))
+    jobs.run(RUN_TS, fx.write_export(fx.export_a(spark, sf_dir, fx.dealt)), fx.write_export(fx.export_b(spark, sf_dir, fx.dealt)))
     return jobs.report()
 
 

@@ -2,6 +2,8 @@
 
 import re
 
+from pyspark.sql import functions as F
+
 from fleetmatch.operators.batches import assign_batches
 from fleetmatch.operators.inventory import keyed_rows
 from fleetmatch.operators.stats import duration_stats
@@ -82,3 +84,11 @@ def test_groups_are_not_joined_by_key_alone(spark, sf_dir):
     rows = [line for line in plan.split("\n") if "Join" in line and "order_part" in line]
     assert any("group_part" in line for line in rows)
     assert not re.search(r"Exchange hashpartitioning\(coalesce\(kind[^,]*, \), isnull\(kind[^,]*\), \d+\)", plan)
+
+
+def test_rows_of_one_row_group_are_dealt_to_several_tasks(spark, tmp_path):
+    rows = spark.range(400_000).select(F.xxhash64("id").alias("o_orderkey"), F.xxhash64("id", F.lit(1)).alias("o_custkey"))
+    rows.coalesce(1).write.parquet(f"{tmp_path}/orders.parquet")
+    found = fx.dealt(spark, str(tmp_path), "orders")
+    assert found.rdd.getNumPartitions() > 1
+    assert found.exceptAll(rows).isEmpty() and found.count() == 400_000
