@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetmatch.llm.common import is_latin_1, pick, pieces
+from fleetmatch.llm.common import BATCH_BYTES, pick, pieces
 from fleetmatch.session import scratch_path
 
 DEFAULT_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -49,14 +49,73 @@ MAX_WORDS = 1 << 18    # ids of words kept at a time
 _U32, _U64 = np.dtype("<u4"), np.dtype("<u8")
 
 
-# The pieces of lower-case texts below U+0250, with letters, numbers and white space written out.
+# Letters, numbers and white space below U+0250, written out.
 _L, _N, _S = "A-Za-zªµºÀ-ÖØ-öø-ɏ", "0-9²³¹¼-¾", "\t-\r \x85\xa0"
-_latin_pieces = re.compile(rf"[{_L}]+|[{_N}]|'s|'t|'re|'ve|'m|'ll|'d|[^{_S}{_L}{_N}]+").findall
 _not_latin = re.compile(r"[^\x00-\u024f]|\u0130").search  # U+0130 has no lower case of one letter
-# The parts of a tokenizer that the above stands for.
+# The parts of a tokenizer that the rules below stand for.
 _KNOWN_NORMALIZERS = ["NFC", {"Regex": r"\s+"}, "Lowercase"]
 _KNOWN_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
+_SPACE, _LETTER, _NUMBER, _OTHER, _HARD = range(5)
+
+
+def _kind(char: str) -> int:
+    if _not_latin(char):
+        return _HARD
+    return next((k for k, chars in ((_SPACE, _S), (_LETTER, _L), (_NUMBER, _N)) if re.match(f"[{chars}]", char)), _OTHER)
+
+
+_KINDS = np.array([_kind(chr(i)) for i in range(0x250)], np.uint8)
+_BYTE_KINDS = _KINDS[:128].tobytes() + bytes([_HARD]) * 128
+_ASCII_LOWER = bytes(range(128)).lower() + bytes(range(128, 256))
+
+
+def split_pieces(text: bytes) -> tuple[pa.BinaryArray, np.ndarray]:
+    """The pieces of a text in UTF-8 that ends with white space, and the place where each begins.
+
+    Pieces are those of the known pattern, A-Z and À-Þ in lower case. What stands between white space
+    and holds a character that is not below U+0250, or U+0130, stays one piece, as it is.
+    """
+    raw, lower = np.frombuffer(text, np.uint8), np.frombuffer(bytearray(text.translate(_ASCII_LOWER)), np.uint8)
+    kind = np.frombuffer(bytearray(text.translate(_BYTE_KINDS)), np.uint8)
+    two = np.flatnonzero((raw >= 0xC2) & (raw < 0xCA))  # the first bytes of U+0080 to U+027F
+    if len(two):
+        code = (raw[two].astype(np.uint16) & 0x1F) << 6 | raw[two + 1] & 0x3F
+        known = code < len(_KINDS)
+        two, code = two[known], code[known]
+        kind[two] = kind[two + 1] = _KINDS[code]
+        lower[two[(code >= 0xC0) & (code <= 0xDE) & (code != 0xD7)] + 1] += 0x20
+    start = np.empty(len(raw), bool)
+    start[0] = True
+    np.not_equal(kind[1:], kind[:-1], out=start[1:])
+    start |= (kind == _NUMBER) & (raw & 0xC0 != 0x80)
+    quote = np.flatnonzero((raw == ord("'")) & start)
+    if len(quote):  # the text ends with white space, so a letter after a quote is never its last byte
+        first = lower[quote + 1]
+        second = lower[np.minimum(quote + 2, len(raw) - 1)]
+        short = np.isin(first, np.frombuffer(b"stmd", np.uint8))
+        long = (second == ord("e")) & ((first == ord("r")) | (first == ord("v"))) | (first == ord("l")) & (second == ord("l"))
+        start[quote[short | long] + 1] = False
+        start[quote[short] + 2] = start[quote[long] + 3] = True
+    hard = np.flatnonzero(kind == _HARD)
+    visible = kind != _SPACE
+    if len(hard):
+        change = np.flatnonzero(visible[1:] != visible[:-1]) + 1
+        borders = np.concatenate([[0], change, [len(raw)]])
+        part = np.unique(np.searchsorted(borders, hard, "right") - 1)
+        inside = np.zeros(len(raw) + 1, np.int8)
+        inside[borders[part]] = 1
+        inside[borders[part + 1]] -= 1
+        inside = np.cumsum(inside[:-1], dtype=np.int8).view(bool)
+        lower = np.where(inside, raw, lower)
+        start &= ~inside
+        start[borders[part]] = True
+    data = np.compress(visible, lower)
+    offsets = np.append(np.flatnonzero(np.compress(visible, start)), len(data)).astype(np.int32)
+    found = pa.BinaryArray.from_buffers(
+        pa.binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+    return found, np.flatnonzero(start & visible)
+
 
 def byte_letters() -> list[str]:
     """The letter that stands for each byte: itself where it prints, else the next letter from U+0100."""
@@ -87,11 +146,12 @@ class Recent(dict):
 class WordTokenizer:
     """Ids of a text, put together from the library's ids of its parts.
 
-    A text of Latin letters is split into the pieces that the library's model
-    gets one by one. For any other text, the tokenizer splits at white space and
-    drops it, so the ids are those of the parts between spaces and line breaks,
-    one after the other. What stays in the tables of the pieces and parts used
-    last is not encoded again.
+    Texts are split, many at a time, into the pieces that the library's model gets
+    one by one; each different piece is looked up once. The tokenizer splits at white
+    space and drops it, so for any other text the ids are those of the parts between
+    spaces and line breaks, one after the other; so are those of a part with
+    characters that the split does not know. What stays in the tables of the pieces
+    and parts used last is not encoded again.
     """
 
     def __init__(self, path: str, dtype: str):
@@ -105,7 +165,7 @@ class WordTokenizer:
             rules = json.load(file)
         normalizers = [n.get("pattern", n["type"]) for n in (rules["normalizer"] or {}).get("normalizers", [])]
         splits = [p.get("pattern", {}).get("Regex") for p in (rules["pre_tokenizer"] or {}).get("pretokenizers", [])]
-        self.latin = normalizers == _KNOWN_NORMALIZERS and splits == [_KNOWN_PATTERN, None]
+        self.known = normalizers == _KNOWN_NORMALIZERS and splits == [_KNOWN_PATTERN, None]
         self.pieces = Recent(self._piece)
         self.parts = Recent(self._part)
 
@@ -115,26 +175,52 @@ class WordTokenizer:
             packed.byteswap()
         return packed.tobytes()
 
-    def _piece(self, piece: str) -> bytes:
-        if not (piece.isascii() and piece.isalnum()):
-            piece = "".join(map(self.letters.__getitem__, piece.encode()))
+    def _piece(self, key: bytes) -> bytes:
+        piece = key.decode()
+        if not key.isascii():
+            if _not_latin(piece):
+                return self._part(piece)
+            key = piece.lower().encode()
+        if not (key.isascii() and key.isalnum()):
+            piece = "".join(map(self.letters.__getitem__, key))
         return self._packed([token.id for token in self.model.tokenize(piece)])
 
-    def _by_pieces(self, text: str) -> bool:
-        return self.latin and "<|" not in text and (is_latin_1(text) or not _not_latin(text))
-
     def _part(self, part: str) -> bytes:
         return self._packed(self.tokenizer.encode(part, add_special_tokens=False).ids)
 
+    def _by_parts(self, text: str) -> bytes:
+        return b"".join(map(self.parts.__getitem__, text.replace("\n", " ").split(" ")))
+
+    def _by_pieces(self, texts: list[bytes]) -> list[bytes]:
+        found, places = split_pieces(b"\n".join([*texts, b""]))
+        coded = found.dictionary_encode()
+        keys = coded.dictionary.to_numpy(zero_copy_only=False).tolist()  # faster than to_pylist
+        packed = list(map(self.pieces.__getitem__, keys))
+        ids = np.frombuffer(b"".join(packed), self.dtype)
+        length = np.fromiter(map(len, packed), np.int64, len(packed)) // ids.itemsize
+        piece = coded.indices.to_numpy()
+        lengths = length[piece]
+        ends = np.cumsum(lengths)
+        shift = (np.cumsum(length) - length)[piece] - (ends - lengths)
+        out = ids[np.arange(len(ids) and ends[-1]) + np.repeat(shift, lengths)].tobytes()
+        borders = np.cumsum([0, *(len(text) + 1 for text in texts)])
+        cuts = (np.concatenate([[0], ends])[np.searchsorted(places, borders)] * ids.itemsize).tolist()
+        return [out[a:b] for a, b in zip(cuts, cuts[1:])]
+
+    def _in_cuts(self, text: bytes) -> bytes:
+        """A long text, taken from space to space, so that arrays made from it stay small."""
+        out, begin = [], 0
+        while begin < len(text):
+            end = text.find(b" ", begin + BATCH_BYTES) + 1 or len(text)
+            out += self._by_pieces([text[begin:end]])
+            begin = end
+        return b"".join(out)
+
     def encode(self, texts: list[str | None]) -> Iterator[bytes]:
-        piece, part = self.pieces.__getitem__, self.parts.__getitem__
-        for text in texts:
-            if not text:
-                yield b""
-            elif self._by_pieces(text):
-                yield b"".join(map(piece, _latin_pieces(text.lower())))
-            else:
-                yield b"".join(map(part, text.replace("\n", " ").split(" ")))
+        known = [text.encode() if self.known and text and "<|" not in text else b"" for text in texts]
+        found = self._by_pieces([text if len(text) <= BATCH_BYTES else b"" for text in known]) if known else []
+        for text, data, ids in zip(texts, known, found):
+            yield ids if not text or data and len(data) <= BATCH_BYTES else self._in_cuts(data) if data else self._by_parts(text)
 
 
 @lru_cache(maxsize=1)
@@ -156,7 +242,7 @@ def tokenize(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path
 
     def run(batches):
         tokenizer = shared_tokenizer(path, dtype)
-        for batch in pieces(batches, "text"):
+        for batch in pieces(batches, "text", BATCH_BYTES):
             ids = [packed + end for packed in tokenizer.encode(batch.column(1).to_pylist())]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], ["id", "ids"])
 

@@ -95,3 +95,31 @@ def test_tasks_of_a_worker_share_a_tokenizer():
     assert tokens.shared_tokenizer(tokens.DEFAULT_TOKENIZER, "<u2") is first
     packed = tokens.shared_tokenizer(tokens.DEFAULT_TOKENIZER, "<u4")
     assert [len(next(t.encode(["a b"]))) for t in (first, packed)] == [4, 8]
+
+
+def test_a_piece_is_looked_up_once_in_many_texts(library):
+    words, asked = tokens.WordTokenizer(tokens.DEFAULT_TOKENIZER, "<u2"), []
+
+    class Table(dict):
+        def __getitem__(self, key):
+            asked.append(key)
+            return words._piece(key)
+
+    words.pieces = Table()
+    texts = ["The cat isn't", None, "the CAT", "", "cat, the"] * 200
+    found = [np.frombuffer(ids, "<u2").tolist() for ids in words.encode(texts)]
+    assert found == [library.encode(text or "", add_special_tokens=False).ids for text in texts]
+    assert sorted(asked) == [b"'t", b",", b"cat", b"isn", b"the"]
+    assert list(words.encode([])) == [] and list(words.encode([None, "", " \n", "\u2003"])) == [b""] * 4
+
+
+def test_ids_of_many_texts_and_of_long_ones_are_those_of_the_library(library, monkeypatch):
+    rng, words = random.Random(7), tokens.WordTokenizer(tokens.DEFAULT_TOKENIZER, "<u4")
+    parts = ["a", "Be", "É", "œ", "Ⱥ", "İ", "ſ", "Σ", "ς", "K", "'", "'s", "'RE", "'l", "'ll", "'ve", "’", "“", "—", "…", "¿", "7", "٣",
+             "½", ".", "!?", " ", " ", "\n", "\t", "\x85", "\xa0", "\u2003", "\x00", "\xad", "\u0301", "e\u0301", "中文", "가",
+             "🙂", "×", "÷", "ʰ", "<|endoftext|>", "<|", "ɏ", "ɐ", "µ", "ª"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(12))) for _ in range(20000)]
+    wanted = [library.encode(text, add_special_tokens=False).ids for text in texts]
+    assert [np.frombuffer(ids, "<u4").tolist() for ids in words.encode(texts)] == wanted
+    monkeypatch.setattr(tokens, "BATCH_BYTES", 9)
+    assert [np.frombuffer(ids, "<u4").tolist() for ids in words.encode(texts)] == wanted
